@@ -9,10 +9,17 @@ from pyspark.sql import functions as F
 
 from .embedding_dedup import near_vectors
 from .near_dedup import near_duplicates
+from .packing import pack
 from .substring_dedup import remove_repeats
 from .warc import archive_round_trip
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -30,6 +37,10 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), capacity=2048)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
