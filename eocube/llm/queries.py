@@ -12,6 +12,7 @@ from .embedding_dedup import near_vectors
 from .near_dedup import near_duplicates
 from .packing import pack
 from .substring_dedup import remove_repeats
+from .token_files import token_counts
 from .warc import archive_round_trip
 
 
@@ -34,6 +35,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=49407)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=13, share=20)
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), "contaminated")
