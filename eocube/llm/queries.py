@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from .decontaminate import contamination
 from .embedding_dedup import near_vectors
+from .language import declared_in, fit, host_of, identify, visible
 from .near_dedup import near_duplicates
 from .packing import pack
 from .substring_dedup import remove_repeats
 from .token_files import token_counts
+from .urls import filter_urls
 from .warc import archive_round_trip
 
 
@@ -35,10 +37,30 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return identify(docs, fit(docs.select("doc_id", "text", "lang")), host_col="source")
+
+
+def op3b_language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with markup, address suffix and host: pages, with the text model of the documents."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", visible(F.col("html")).alias("text"), host_of(F.col("url")).alias("host"), declared_in(F.col("html")).alias("declared"))
+    out = identify(pages, fit(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")), id_col="page_id", host_col="host", declared_col="declared")
+    return out.withColumnRenamed("doc_id", "page_id")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=49407)
 
 
+#: Fixed values of the contract.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(_table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=13, share=20)
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), "contaminated")

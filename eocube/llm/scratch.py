@@ -13,7 +13,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-_open: list["Scratch"] = []
+_open: dict[str, list["Scratch"]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,9 +42,10 @@ def shuffle_cleanup(spark: SparkSession):
 class Scratch:
     """A folder of tables that belong to one call of an operator."""
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, owner: str = ""):
         self.spark, self.path = spark, f"{shared_dir(spark)}/eocube/{name}-{uuid.uuid4().hex[:12]}"
-        _open.append(self)
+        if owner:
+            _open.setdefault(owner, []).append(self)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and read it again: the plan so far is run once and forgotten."""
@@ -60,7 +61,7 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def release() -> None:
-    """Remove the tables of all earlier calls. Only for callers who have stored or dropped those results."""
-    while _open:
-        _open.pop().drop()
+def release(owner: str) -> None:
+    """Remove what ``owner`` has open: for owners that store each result before they go on."""
+    for s in _open.pop(owner, ()):
+        s.drop()

@@ -31,10 +31,10 @@ _U = np.uint64
 ROWS = "bucket int, block_id long, a binary, b binary"
 
 
-def ladder(window: int) -> list[int]:
-    """Lengths from the first level to ``window``, each at most twice the one before."""
+def ladder(window: int, first: int = 8) -> list[int]:
+    """Lengths from the first level, of ``first`` words at most, to ``window``, each at most twice the one before."""
     out = [window]
-    while out[0] > 8:
+    while out[0] > first:
         out.insert(0, (out[0] + 1) // 2)
     return out
 
@@ -131,7 +131,7 @@ def _finish(levels, n_buckets):
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, scratch: Scratch | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, first: int = 8, scratch: Scratch | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, text (the words that stay, joined by one blank), n_words, n_removed.
 
     A word goes if a window of ``window`` words covers it whose sequence also
@@ -142,7 +142,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n_buckets = buckets_for(spark)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     blocks = scratch.keep(blocks_of(src), "blocks")
-    levels = ladder(window)
+    levels = ladder(window, first)
     for i, n in enumerate(levels):
         exact = i == len(levels) - 1
         asked = blocks.mapInArrow(_ask(levels[: i + 1], n_buckets, exact), ROWS)
