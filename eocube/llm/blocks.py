@@ -97,6 +97,18 @@ def answer(rows: DataFrame, judge: Callable[[list[np.ndarray], list[np.ndarray]]
     return rows.groupBy("bucket").applyInArrow(run, "block_id long, bucket int, bits binary")
 
 
+def answer_rows(rows: DataFrame, columns: list[str], judge: Callable[[int, list[dict]], list[np.ndarray]]) -> DataFrame:
+    """The same for rows with any ``columns``: ``judge(bucket, rows)`` gives each row's flags."""
+
+    def run(table: pa.Table) -> pa.Table:
+        flags = judge(table.column("bucket")[0].as_py(), table.select(columns).to_pylist())
+        some = pa.array([i for i, f in enumerate(flags) if f.any()], pa.int64())
+        bits = pa.array([np.packbits(flags[i]).tobytes() for i in some.to_pylist()], pa.binary())
+        return pa.table({"block_id": table.column("block_id").take(some), "bucket": table.column("bucket").take(some), "bits": bits})
+
+    return rows.groupBy("bucket").applyInArrow(run, "block_id long, bucket int, bits binary")
+
+
 def with_answers(blocks: DataFrame, answers: DataFrame, name: str) -> DataFrame:
     """Blocks with all that the buckets answered, in column ``name``."""
     got = answers.groupBy("block_id").agg(F.collect_list(F.struct("bucket", "bits")).alias(name))

@@ -13,6 +13,7 @@ from .language import declared_in, fit, host_of, identify, visible
 from .near_dedup import near_duplicates
 from .packing import pack
 from .substring_dedup import remove_repeats
+from .suffix_dedup import remove_repeated_bytes
 from .token_files import token_counts
 from .urls import filter_urls
 from .warc import archive_round_trip
@@ -78,6 +79,11 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeated_bytes(_table(spark, sf_dir, "documents"), length=100)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
