@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
-from .text import NO_ID
+from .text import NO_ID, documents
 from .tokens import tokenizer
 
 GROUP, ISLANDS, EPOCHS, POPULATION, GENERATIONS = 2048, 3, 2, 5, 8
@@ -40,22 +40,14 @@ GROUPS = "grp long, items binary, best binary, done boolean"
 
 def _pieces(path: str, capacity: int, end_id: int):
     def run(batches):
-        for b in batches:
-            docs, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
-            rows, lo = [], 0
-            while lo < len(texts):
-                hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size < 4 << 20):
-                    size += len(texts[hi] or "")
-                    hi += 1
-                ids, offs = tokenizer(path).encode(texts[lo:hi])
-                ids = ids.astype("<u4")
-                for d, s, e in zip(docs[lo:hi], offs[:-1].tolist(), offs[1:].tolist(), strict=True):
-                    own = np.append(ids[s:e], np.uint32(end_id)).astype("<u4")
-                    for k, at in enumerate(range(0, len(own), capacity)):
-                        part = own[at : at + capacity]
-                        rows.append((d, k, at, len(part), zlib.crc32(part.tobytes())))
-                lo = hi
+        for docs, buf, offs in documents(batches):
+            rows = []
+            ids, at = tokenizer(path).encode(buf, offs)
+            for d, s, e in zip(docs.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                own = np.append(ids[s:e], np.uint32(end_id)).astype("<u4")
+                for k, lo in enumerate(range(0, len(own), capacity)):
+                    part = own[lo : lo + capacity]
+                    rows.append((None if d == NO_ID else d, k, lo, len(part), zlib.crc32(part.tobytes())))
             cols = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()), strict=True)], ["doc_id", "piece", "start", "length", "crc"])
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
-from .text import NO_ID
+from .text import NO_ID, documents
 from .tokens import tokenizer
 
 BLOCK_IDS, GROUP_BLOCKS = 1 << 18, 1024
@@ -39,25 +39,18 @@ def _write(path: str, end_id: int, dtype: str):
             block += 1
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([block - 1], pa.int64()), pa.array([ids.tobytes()], pa.binary()), pa.array([None], pa.int64()), pa.array([None], pa.int64())], ["file", "block", "ids", "doc", "doc_id"])
 
-        for b in batches:
-            texts, docs = b.column("text").to_pylist(), b.column("doc_id").fill_null(int(NO_ID)).to_pylist()
-            lo = 0
-            while lo < len(texts):
-                hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size < 4 << 20):
-                    size += len(texts[hi] or "")
-                    hi += 1
-                ids, offs = tokenizer(path, True).encode(texts[lo:hi])
-                held.append(np.insert(ids, offs[1:], end_id).astype(dtype))
-                at += len(held[-1])
-                yield pa.RecordBatch.from_arrays([pa.array([part] * (hi - lo), pa.int64()), pa.array([None] * (hi - lo), pa.int64()), pa.array([None] * (hi - lo), pa.binary()), pa.array(range(seen, seen + hi - lo), pa.int64()), pa.array(docs[lo:hi], pa.int64())], ["file", "block", "ids", "doc", "doc_id"])
-                seen, lo = seen + hi - lo, hi
-                if at >= BLOCK_IDS:
-                    flat = np.concatenate(held)
-                    for s in range(0, len(flat) - BLOCK_IDS + 1, BLOCK_IDS):
-                        yield row(flat[s : s + BLOCK_IDS])
-                    held = [flat[len(flat) // BLOCK_IDS * BLOCK_IDS :]]
-                    at = len(held[0])
+        for docs, buf, offs in documents(batches):
+            ids, ends = tokenizer(path, True).encode(buf, offs)
+            held.append(np.insert(ids, ends[1:], end_id).astype(dtype))
+            at, n = at + len(held[-1]), len(docs)
+            yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int64()), pa.array([None] * n, pa.int64()), pa.array([None] * n, pa.binary()), pa.array(range(seen, seen + n), pa.int64()), pa.array(docs, pa.int64())], ["file", "block", "ids", "doc", "doc_id"])
+            seen += n
+            if at >= BLOCK_IDS:
+                flat = np.concatenate(held)
+                whole = len(flat) // BLOCK_IDS * BLOCK_IDS
+                for s in range(0, whole, BLOCK_IDS):
+                    yield row(flat[s : s + BLOCK_IDS])
+                held, at = [flat[whole:]], len(flat) - whole
         if at:
             yield row(np.concatenate(held))
 
