@@ -12,6 +12,7 @@ from .embedding_dedup import near_vectors
 from .language import declared_in, fit, host_of, identify, visible
 from .near_dedup import near_duplicates
 from .packing import pack
+from .sql import SQL
 from .substring_dedup import remove_repeats
 from .suffix_dedup import remove_repeated_bytes
 from .token_files import token_counts
@@ -89,4 +90,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
