@@ -33,11 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import answer, answer_rows, blocks_of, buckets_for, elsewhere_earlier, expand, flags, lists, opened, squeeze, twice, with_answers
-from .bwt import merge, transform
+from .bwt import MOST_SHARDS, merge, transform
 from .scratch import Scratch
 from .text import _BYTE, NO_ID, covered, doc_windows, mix, powers, spread
 
-HOT = 512
+HOT, PART = 512, 96 << 10
 _U = np.uint64
 _BASE = 0xA0761D6478BD642F
 _PLACE = 28
@@ -55,6 +55,13 @@ class _Hashed:
     def of(self, start, stop) -> np.ndarray:
         return mix((self.h[stop] - self.h[start]) * self.q[start] + (stop - start).astype(_U))
 
+    def all(self, n: int) -> np.ndarray:
+        """Those of all pieces of ``n`` bytes."""
+        x = self.h[n:] - self.h[:-n]
+        x *= self.q[: len(x)]
+        x += _U(n)
+        return mix(x)
+
 
 def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
     """The least of each ``n`` neighbours."""
@@ -76,16 +83,19 @@ class _Block:
             self.s0 = self.s1 = self.at = self.doc = z
             self.anchor = self.text = np.zeros(0, _U)
             return
-        every = np.arange(len(buf) - half + 1)
-        grams = self.hash.of(every, every + half)
-        key = (grams >> _U(_PLACE) << _U(_PLACE)) | every.astype(_U)
-        at = (sliding_min(key, length - half + 1)[pos] & _U((1 << _PLACE) - 1)).astype(np.int64)
+        grams = self.hash.all(half)
+        key = grams >> _U(_PLACE)
+        key <<= _U(_PLACE)
+        key |= np.arange(len(grams), dtype=_U)
+        key = sliding_min(key, length - half + 1)
+        key &= _U((1 << _PLACE) - 1)
+        at = key[pos].astype(np.int64)
         new = np.ones(len(pos), bool)
         new[1:] = (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(pos)) - 1
         self.s0, self.s1, self.at, self.doc = pos[first], pos[last], at[first], doc[first]
-        self.anchor = grams[self.at]
+        self.anchor = mix(grams[self.at])  # anchors are the smallest hashes; buckets need even ones
         self.text = mix(self.hash.of(self.s0, self.s1 + length) + (self.at - self.s0).astype(_U))
 
     def anchors(self):
@@ -247,10 +257,34 @@ def _judge_windows(length: int, n_buckets: int):
 
 
 def repeats(items: np.ndarray, shard: np.ndarray, text: np.ndarray, length: int) -> np.ndarray:
-    """For each window of each run: is there an earlier one among them?"""
+    """For each window of each run: is there an earlier one among them?
+
+    Runs of different anchors have no window in common, so they are taken in
+    parts that fit the processor's cache.
+    """
+    count = items["count"].astype(np.int64)
+    size = count + length - 1
+    offs, windows = np.cumsum(size) - size, np.cumsum(count) - count
+    out = np.zeros(int(count.sum()), bool)
+    order = np.argsort(items["anchor"], kind="stable")
+    anchor = items["anchor"][order]
+    ends = np.flatnonzero(np.concatenate([anchor[1:] != anchor[:-1], [True]])) + 1 if len(order) else np.zeros(0, np.int64)
+    total, lo = np.cumsum(size[order]), 0
+    for at, hi in enumerate(ends.tolist()):
+        if total[hi - 1] - (total[lo - 1] if lo else 0) < PART and at < len(ends) - 1:
+            continue
+        part = np.sort(order[lo:hi])
+        out[spread(windows[part], count[part])] = _repeats(items[part], shard[part], text[spread(offs[part], size[part])], length)
+        lo = hi
+    return out
+
+
+def _repeats(items: np.ndarray, shard: np.ndarray, text: np.ndarray, length: int) -> np.ndarray:
     size = items["count"].astype(np.int64) + length - 1
     offs = np.concatenate([[0], np.cumsum(size)])
-    before, start, own = transform(text + np.uint8(1), offs, shard.astype(np.uint16) if len(shard) and shard.max() < 65536 else shard, length)
+    # blocks share a shard where there are more of them than the merge tells apart
+    several = shard.astype(np.int64) * MOST_SHARDS // max(int(shard.max(initial=0)) + 1, MOST_SHARDS)
+    before, start, own = transform(text + np.uint8(1), offs, several, length)
     place, group = merge(before, own, length)
     begin = start[place]  # with ends of strings counted
     begins = offs[:-1] + np.arange(len(items))

@@ -55,9 +55,9 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words whose output bits all depend on all input bits."""
     x = x ^ (x >> _U(30))
-    x = x * _U(0xBF58476D1CE4E5B9)
+    x *= _U(0xBF58476D1CE4E5B9)
     x ^= x >> _U(27)
-    x = x * _U(0x94D049BB133111EB)
+    x *= _U(0x94D049BB133111EB)
     x ^= x >> _U(31)
     return x
 
