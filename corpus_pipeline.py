@@ -35,6 +35,13 @@ def _scratch(spark: SparkSession, name: str) -> Scratch:
     return Scratch(spark, name, OWNER)
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that the documents don't have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
 
@@ -52,17 +59,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = near_duplicates(docs, shingle=SHINGLE, percent=PERCENT, scratch=scratch)
     own = Window.partitionBy("doc_id").orderBy("text", "lang", "source")
     left = _only(docs, found.where("kept").select("doc_id"))
-    return left.select(*docs.columns, F.row_number().over(own).alias("_place")).where("_place = 1").select(docs.columns)
+    place = _free(docs, "place")
+    return left.withColumn(place, F.row_number().over(own)).where(F.col(place) == 1).select(docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of PASSAGE words or more that an earlier document has; other texts unchanged."""
     scratch = _scratch(spark, "stage-substring")
     cut = remove_repeats(docs, window=PASSAGE, first=PASSAGE_FIRST, scratch=scratch)
-    cut = cut.where("n_removed > 0").select("doc_id", F.struct(F.col("text").alias("left")).alias("_cut"))
+    name = _free(docs, "cut")
+    cut = cut.where("n_removed > 0").select("doc_id", F.struct(F.col("text").alias("left")).alias(name))
     both = docs.join(cut, "doc_id", "left")
-    text = F.when(F.col("_cut").isNotNull(), F.col("_cut.left")).otherwise(docs["text"])
-    size = F.when(F.col("_cut").isNotNull(), F.length("_cut.left").cast("long")).otherwise(docs["n_chars"])
+    found, left = F.col(name).isNotNull(), F.col(name)["left"]
+    text = F.when(found, left).otherwise(docs["text"])
+    size = F.when(found, F.length(left).cast("long")).otherwise(docs["n_chars"])
     new = {"text": text, "n_chars": size}
     return both.select([new.get(c, docs[c]).alias(c) for c in docs.columns])
 

@@ -160,7 +160,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     sums = lambda c: F.array(*[F.sum(F.element_at(c, i + 1)) for i in range(n)])
     hosts = scratch.keep(scored.groupBy("host").agg(sums("by_text").alias("own")).withColumn("parent", parent), "hosts")
     parents = hosts.groupBy("parent").agg(sums("own").alias("wide"))
-    world = hosts.agg(sums("own").alias("all")).first()[0] or [1.0] * n
+    world = [x or 0.0 for x in hosts.agg(sums("own").alias("all")).first()[0]]  # an empty table has no sums
     total = sum(world) + n
     ground = F.array(*[F.lit((x + 1.0) / total) for x in world])
     size = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)

@@ -257,7 +257,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         left = pool.count()
         if not left:
             break
-        last = left <= GROUP or (before is not None and 2 * left > before)
+        last = left <= GROUP or (level > 1 and 10 * left > 9 * before)  # level 1 is the first that is mixed
         if left <= GROUP:
             pool = pool.coalesce(1)
         elif level:
