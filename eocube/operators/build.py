@@ -103,3 +103,20 @@ def map_bands(collection: str, assets: list[str] | dict | None) -> dict[str, str
         return assets
     own = COMMON[collection]
     return {own[a]: a for a in assets if a in own}
+
+
+#: Resampling kernels by number.
+KERNELS = ("nearest", "bilinear", "cubic", "cubic_spline", "lanczos", "average", "mode", "gauss", "max", "min", "med", "q1", "q3")
+
+
+def load_options(**options) -> dict:
+    """Options under their own names: epsg as crs, kernels by name, and of several areas the most exact one."""
+    out = {k: v for k, v in options.items() if v is not None}
+    if "epsg" in out:
+        out["crs"] = f"EPSG:{out.pop('epsg')}"
+    if isinstance(out.get("resampling"), int):
+        out["resampling"] = KERNELS[out["resampling"]]
+    for better, worse in (("geobox", "geopolygon"), ("geobox", "intersects"), ("geobox", "bbox"), ("geopolygon", "intersects"), ("intersects", "bbox")):
+        if better in out:
+            out.pop(worse, None)
+    return out

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.collections import scale_rows
 from ..functions.query_lang import property_of
 
 
@@ -41,7 +42,7 @@ def footprint(items: DataFrame) -> Column:
 
 def anchors(times: Column, minutes: float) -> Column:
     """Of sorted times, those that begin a group: each more than ``minutes`` after the last anchor."""
-    gap = F.lit(int(minutes * 60_000_000))
+    gap = F.lit(round(minutes * 60_000_000))
     return F.aggregate(times, F.array().cast("array<bigint>"), lambda acc, t: F.when((F.size(acc) > 0) & (t - F.element_at(acc, -1) <= gap), acc).otherwise(F.concat(acc, F.array(t))))
 
 
@@ -154,3 +155,39 @@ def filter_by_cloud_cover(items: DataFrame, most: float, name: str = "eo:cloud_c
 def item_info(items: DataFrame, names: dict[str, str]) -> DataFrame:
     """The id and some properties under new names."""
     return items.select("id", *(property_of(items, p).alias(n) for n, p in names.items()))
+
+
+def default_scale_table(spark) -> DataFrame:
+    """The known default scales as a table for ``default_scales``."""
+    return spark.createDataFrame(scale_rows(), "collection string, asset string, scale double, offset double, nodata double")
+
+
+def enhance_assets(items: DataFrame, alternate: str | None = "download", http: bool = False, add_default_scale: bool = False) -> DataFrame:
+    """Alternate addresses, https addresses and default scales for the items' assets, in this order."""
+    out = replace_hrefs(items, f"alternate.{alternate}.href") if alternate else items
+    if http:
+        out = out.withColumn("assets", F.transform_values("assets", lambda _, a: a.withField("href", http_href(a["href"]))))
+    if add_default_scale:
+        # the table has a few rows; it becomes a literal map, so the items need no join
+        known = F.create_map(*[x for c, a, s, o, n in scale_rows() for x in (F.lit(f"{c}/{a}"), F.struct(F.lit(s).alias("scale"), F.lit(o).alias("offset"), F.lit(n).alias("nodata")))])
+
+        def filled(name, a):
+            d = known[F.concat(F.col("collection"), F.lit("/"), name)]
+
+            def one(b):
+                for f in ("scale", "offset"):
+                    b = b.withField(f, F.coalesce(F.nullif(b[f], F.lit(0.0)), d[f], b[f]))
+                return b.withField("nodata", F.coalesce(b["nodata"], d["nodata"]))
+
+            return a.withField("raster_bands", F.transform(a["raster_bands"], one))
+
+        out = out.withColumn("assets", F.transform_values("assets", filled))
+    return out
+
+
+def thin(items: DataFrame, place: list[str], minutes: float = 5, time: str = "datetime") -> DataFrame:
+    """Items of a place that are ``minutes`` or more after the last one kept; of equal times all are kept."""
+    named = items.withColumn("_t", F.unix_micros(F.col(time).cast("timestamp")))
+    # anchors are more than a gap apart; times count in whole microseconds
+    kept = named.groupBy(*place).agg(anchors(F.array_sort(F.collect_set("_t")), minutes - 1 / 60_000_000).alias("_a"))
+    return named.join(kept.select(*place, F.explode("_a").alias("_t")), [*place, "_t"], "left_semi").drop("_t")

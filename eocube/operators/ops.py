@@ -110,6 +110,42 @@ def regrid_nearest(df: DataFrame, source: GridSpec, target: GridSpec) -> DataFra
     return own.join(cells, ["_i", "_j"]).select("time", F.col("_y").alias("y"), F.col("_x").alias("x"), *bands_of(df))
 
 
+def regrid_bilinear(df: DataFrame, source: GridSpec, target: GridSpec) -> DataFrame:
+    """The weighted mean of the four source cells around each target cell; missing ones lose their weight."""
+    spark = df.sparkSession
+    cells = spark.range(target.nx * target.ny).select((target.x0 + (F.col("id") % target.nx) * target.dx).alias("_x"), (target.y0 + F.floor(F.col("id") / target.nx) * target.dy).alias("_y"))
+    u, v = (F.col("_x") - source.x0) / source.dx, (F.col("_y") - source.y0) / source.dy
+    corner = [F.struct((F.floor(u) + a).cast("int").alias("i"), (F.floor(v) + b).cast("int").alias("j"), ((1 - F.abs(u - F.floor(u) - a)) * (1 - F.abs(v - F.floor(v) - b))).alias("w")) for a in (0, 1) for b in (0, 1)]
+    near = cells.select("_x", "_y", F.inline(F.array(*corner)).alias("_i", "_j", "_w")).where("_w > 0")
+    own = df.withColumn("_i", source.column(F.col("x"))).withColumn("_j", source.row(F.col("y"))).drop("x", "y")
+    both = own.join(near, ["_i", "_j"])
+    mean = lambda b: F.sum(F.col(b) * F.col("_w")) / F.sum(F.when(F.col(b).isNotNull(), F.col("_w")))
+    return both.groupBy("time", F.col("_y").alias("y"), F.col("_x").alias("x")).agg(*(mean(b).alias(b) for b in bands_of(df)))
+
+
+def multi_collection(cubes: list[tuple[DataFrame, GridSpec]], how: str = "avg") -> DataFrame:
+    """Cubes of several collections on the first one's grid, as one."""
+    (first, grid), *rest = cubes
+    return union(first, *(df if g == grid else regrid_nearest(df, g, grid) for df, g in rest), how=how)
+
+
+def centroid_pixel(df: DataFrame, grid: GridSpec) -> DataFrame:
+    """The series of the grid's middle cell."""
+    return df.where((grid.column(F.col("x")) == grid.nx // 2) & (grid.row(F.col("y")) == grid.ny // 2))
+
+
+def times_with_few(df: DataFrame, hit: Column, most: float) -> DataFrame:
+    """Pixels of times where less than ``most`` of the pixels meet a condition."""
+    share = df.groupBy("time").agg(F.avg(F.coalesce(hit, F.lit(False)).cast("int")).alias("_share"))
+    return df.join(share.where(F.col("_share") < most).select("time"), "time", "left_semi")
+
+
+def above_percentile(df: DataFrame, band: str, p: float) -> DataFrame:
+    """Pixels of a band above its percentile over the whole cube."""
+    cut = df.agg(F.percentile(band, F.lit(p)).alias("_cut"))
+    return df.crossJoin(F.broadcast(cut)).where(F.col(band) > F.col("_cut")).drop("_cut")
+
+
 #: Names of aggregates that a coarser grid can take of a cell's pixels.
 RESAMPLING = {"average": "avg({})", "min": "min({})", "max": "max({})", "sum": "sum({})", "med": "median({})", "q1": "percentile({}, 0.25)", "q3": "percentile({}, 0.75)", "mode": "mode({}, true)"}
 

@@ -7,10 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..cube import Datacube
 from ..functions import geometry as G
 from ..functions import indices as I
 from ..functions import query_lang as Q
-from ..operators import mask, ops, temporal, xcal, zonal
+from ..model import CubeMeta
+from ..operators import build, mask, mutate, ops, temporal, xcal, zonal
+from ..operators import items as items_ops
 from ..sources import catalog
 
 
@@ -59,11 +62,9 @@ def sentinel2_cube(pixels: DataFrame, items: DataFrame, most_cloud: float = 20.0
 
 def sentinel1_items(items: DataFrame, polarizations: list[str] | None = None, orbit_state: str | None = None, mode: str | None = None) -> DataFrame:
     """Items with these polarisations, orbit direction and instrument mode."""
-    from ..operators.items import filter_by_polarization
-
     query = {k: {"eq": v} for k, v in (("sat:orbit_state", orbit_state), ("sar:instrument_mode", mode)) if v}
     out = catalog.search(items, query=query) if query else items
-    return filter_by_polarization(out, polarizations) if polarizations else out
+    return items_ops.filter_by_polarization(out, polarizations) if polarizations else out
 
 
 def index_by_zone(pixels: DataFrame, zones, mask_band: str, exclude: list[int], least_clear: float, index: str, reducers: list[str], **letters: str) -> DataFrame:
@@ -78,3 +79,46 @@ def index_by_zone(pixels: DataFrame, zones, mask_band: str, exclude: list[int],
     return out.agg(*(zonal.REDUCERS[r](F.col(index)).alias(f"{index.lower()}_{r}") for r in reducers))
 
 
+
+
+def legacy_search(items: DataFrame, *, assets=None, alternate: str | None = "download", raise_no_items: bool = True, deduplicate: bool = True, **search) -> DataFrame:
+    """Search in the order of time, with chosen assets, alternate addresses and near-duplicates left out."""
+    out = catalog.search(items, **search)
+    if assets is not None:
+        out = catalog.select_assets(out, assets)
+    if alternate and "assets" in out.columns:
+        out = items_ops.replace_hrefs(out, f"alternate.{alternate}.href")
+    if raise_no_items:
+        catalog.require_items(out)
+    if deduplicate:
+        out = items_ops.near_duplicates(out.withColumn("_place", items_ops.footprint(out)), ["_place"]).drop("_place", "group_start")
+    return out.orderBy("datetime", "id")
+
+
+def bulk_search(items: DataFrame, path: str, export_format: str = "parquet", **search) -> DataFrame:
+    """Export the items found; the job's one row."""
+    found = catalog.search(items, **search)
+    mutate.export(found, path, export_format)
+    written = found.sparkSession.read.format("json" if "json" in export_format else "parquet").schema(found.schema).load(path)
+    zero, none = F.lit(0).cast("long"), F.array().cast("array<string>")
+    return written.agg(F.count("*").alias("n")).select(
+        F.uuid().alias("job_id"), F.lit("SEARCH").alias("job_type"), F.lit("COMPLETED").alias("status"), F.lit(path).alias("message"), F.col("n").alias("items_total_count"), F.col("n").alias("items_written_count"),
+        zero.alias("items_deleted_count"), zero.alias("items_skipped_count"), zero.alias("items_error_count"), none.alias("items_skipped_subset"), none.alias("item_errors_subset"),
+    )
+
+
+def create_cube(items: DataFrame, pixels: DataFrame, assets=None, deduplicate_by=None, deduplicate_keep: str = "last", properties: list[str] | None = None, params: DataFrame | None = None) -> Datacube:
+    """Pixels of the times of (de-duplicated) items, scaled, with properties as coordinates of time."""
+    chosen = items_ops.deduplicate(items, deduplicate_by, deduplicate_keep) if deduplicate_by else items
+    df = build.build(pixels.sparkSession, pixels, assets=assets).join(chosen.select(F.col("datetime").alias("time")).distinct(), "time", "left_semi")
+    if params is not None:
+        df = build.scale_offset(df, params)
+    coords = build.time_properties(df, chosen, properties) if properties else None
+    return Datacube(df, CubeMeta(attrs={"engine": "spark"}), coords)
+
+
+def helper_items(items: DataFrame, geometry=None, intersects=None, time_range=None, **search) -> DataFrame:
+    """Items of one geometry and span of time."""
+    if geometry is not None and intersects is not None:
+        raise ValueError("geometry and intersects don't go together")
+    return catalog.search(items, intersects=geometry if geometry is not None else intersects, datetime=time_range, **search)

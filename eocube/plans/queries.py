@@ -356,6 +356,28 @@ def regrid_nearest(spark, d):
     return ops.regrid_nearest(D.pixels(spark, d, "red"), D.GRID, GridSpec(1.0, 0.0, 3.0, 2.0, 100, 20)).select("time", "y", "x", r("red"))
 
 
+@query(f"""WITH {PX}, t AS (SELECT (i * 10 + 0.25)::DOUBLE AS x, (j * 4 + 0.5)::DOUBLE AS y FROM generate_series(0, 198) a(i), generate_series(0, 23) b(j)),
+c AS (SELECT t.x, t.y, floor(t.x) + a AS i, floor(t.y) + b AS j, (1 - abs(t.x - floor(t.x) - a)) * (1 - abs(t.y - floor(t.y) - b)) AS w FROM t, (VALUES (0), (1)) u(a), (VALUES (0), (1)) v(b))
+SELECT px.time, c.y, c.x, round(sum(red * w) / sum(w), 6) AS red FROM c JOIN px ON px.x = c.i AND px.y = c.j GROUP BY ALL""")
+def regrid_bilinear(spark, d):
+    return ops.regrid_bilinear(D.pixels(spark, d, "red"), D.GRID, GridSpec(0.25, 0.5, 10.0, 4.0, 199, 24)).select("time", "y", "x", r("red"))
+
+
+@query(f"WITH {PX} SELECT px.time, y, x, round(red, 6) AS red FROM px SEMI JOIN (SELECT time FROM px GROUP BY 1 HAVING avg(CASE WHEN scl = 7 THEN 1.0 ELSE 0 END) < 0.1) t ON px.time = t.time")
+def times_with_few(spark, d):
+    return ops.times_with_few(D.pixels(spark, d, "red", "scl"), F.col("scl") == 7, 0.1).select("time", "y", "x", r("red"))
+
+
+@query(f"WITH {PX} SELECT time, y, x, round(blue, 6) AS blue FROM px WHERE blue > (SELECT quantile_cont(blue, 0.9) FROM px)")
+def above_percentile(spark, d):
+    return ops.above_percentile(D.pixels(spark, d, "blue"), "blue", 0.9).select("time", "y", "x", r("blue"))
+
+
+@query(f"WITH {PX} SELECT time, y, x, round(red, 6) AS red FROM px WHERE x = 25 AND y = 5")
+def centroid_pixel(spark, d):
+    return ops.centroid_pixel(D.pixels(spark, d, "red"), GridSpec(0.0, 0.0, 1.0, 1.0, 51, 11)).select("time", "y", "x", r("red"))
+
+
 @query(f"WITH {PX} SELECT time, round(sum(CASE WHEN nir > 25 THEN 1 ELSE 0 END) * 1e-4, 6) AS hectares FROM px GROUP BY 1")
 def area_hectares(spark, d):
     return ops.area_hectares(D.pixels(spark, d, "nir"), F.col("nir") > 25, D.GRID).select("time", r("hectares"))
@@ -533,6 +555,15 @@ def near_dup_latest(spark, d):
     return items_ops.near_duplicates(rows, ["pixel"]).select("event_id", "group_start")
 
 
+@query("""WITH RECURSIVE s AS (SELECT user_id, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+f AS (SELECT user_id, rn, event_id, ts AS anchor, true AS kept FROM s WHERE rn = 1 UNION ALL
+ SELECT s.user_id, s.rn, s.event_id, CASE WHEN s.ts - f.anchor < INTERVAL 90 MINUTE THEN f.anchor ELSE s.ts END, s.ts - f.anchor >= INTERVAL 90 MINUTE OR s.ts = f.anchor FROM f JOIN s ON s.user_id = f.user_id AND s.rn = f.rn + 1)
+SELECT event_id FROM f WHERE kept""")
+def thin_items(spark, d):
+    rows = D.series(spark, d).select("event_id", "pixel", F.col("time").alias("datetime"))
+    return items_ops.thin(rows, ["pixel"], 90).select("event_id")
+
+
 @query("SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events WHERE json_extract(props, '$.k')::BIGINT > 50")
 def json_props(spark, d):
     rows = D.series(spark, d).select("event_id", F.col("props").alias("properties"))
