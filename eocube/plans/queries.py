@@ -132,7 +132,7 @@ def mask_statistics(spark, d):
 
 
 @query(f"""WITH {PX}, u AS (SELECT count(*) AS n FROM (SELECT DISTINCT y, x FROM px WHERE {TRIANGLE}))
-SELECT time, {_CLEAR.format('AND ' + TRIANGLE)}::INT AS clear_pixels, round(least(100.0 * {_CLEAR.format('AND ' + TRIANGLE)} / (SELECT n FROM u), 100), 4) AS clear_percent FROM px GROUP BY 1""")
+SELECT time, {_CLEAR.format('AND ' + TRIANGLE)}::INT AS clear_pixels, round(least(coalesce(100.0 * {_CLEAR.format('AND ' + TRIANGLE)} / nullif((SELECT n FROM u), 0), 0), 100), 4) AS clear_percent FROM px GROUP BY 1""")
 def mask_statistics_geometry(spark, d):
     df = D.pixels(spark, d, "scl")
     out = mask.statistics(df, mask.clear_condition(df, "scl", exclude_values=[3, 7]), geometry=D.TRIANGLE)
