@@ -68,7 +68,7 @@ def opened(batches: Iterable[pa.RecordBatch]):
             yield row, row["block_id"], expand(row["ids"], np.int64), expand(row["body"], np.uint8), expand(row["offs"], np.int64)
 
 
-def buckets_for(spark, docs_bytes: int = 0) -> int:
+def buckets_for(spark) -> int:
     """Hash buckets: several for each shuffle partition, so that they even out."""
     return max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 

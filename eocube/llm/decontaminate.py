@@ -20,13 +20,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import _cut as cut_blocks
-from .blocks import expand, opened, squeeze
+from .blocks import BLOCK_BYTES, expand, squeeze
 from .scratch import Scratch
-from .text import ALNUM, LOWER, NO_ID, spread, word_hashes, words
+from .text import ALNUM, LOWER, NO_ID, documents, spread, word_hashes, words
 
 SHARD = "block_id long, ids binary, first binary, terms binary, counts binary, places binary"
 GROUP_CHARS = 16 << 20
@@ -34,8 +34,9 @@ _U = np.uint64
 
 
 def _index(batches):
-    for _, block, ids, buf, offs in opened(cut_blocks(batches)):
-        buf = LOWER[buf]
+    part = TaskContext.get().partitionId()
+    for seq, (ids, buf, offs) in enumerate(documents(batches, most=BLOCK_BYTES)):
+        block, buf = (part << 32) | seq, LOWER[buf]
         starts, ends, first = words(buf, offs, ALNUM)
         w = word_hashes(buf, starts, ends)
         order = np.argsort(w, kind="stable")

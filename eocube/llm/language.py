@@ -42,30 +42,36 @@ _CLASS[128:] = np.arange(128, 256)
 
 
 def trigrams(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of the byte trigrams that have a letter, and the document of each."""
+    """Slots of the byte trigrams that have a letter, and each document's offsets among them."""
     if len(buf) < 3:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint16), np.zeros(len(offs), np.int64)
     c = _CLASS[buf].astype(np.uint32)
     t = c[:-2] | (c[1:-1] << np.uint32(8)) | (c[2:] << np.uint32(16))
-    doc = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
-    good = (doc[2:] == doc[:-2]) & (t != 0x202020)
-    t = t[good] * np.uint32(0x9E3779B1)
-    return (t >> np.uint32(16)).astype(np.int64), doc[:-2][good]
+    good = t != 0x202020
+    for back in (1, 2):  # none runs into the next document
+        at = offs[1:] - back
+        good[at[(at >= 0) & (at < len(good))]] = False
+    t = t[good]
+    t *= np.uint32(0x9E3779B1)
+    before = np.zeros(len(good) + 1, np.int32)
+    np.cumsum(good, out=before[1:])
+    return (t >> np.uint32(16)).astype(np.uint16), before[np.minimum(offs, len(good))].astype(np.int64)
 
 
 def _count(languages: list[str]):
     def run(batches):
         total = np.zeros((len(languages), SLOTS), np.int64)
-        at = {x: i for i, x in enumerate(languages)}
+        number = {x: i for i, x in enumerate(languages)}
         for b in batches:
-            lang = np.array([at.get(x, -1) for x in b.column("lang").to_pylist()])
+            lang = np.array([number.get(x, -1) for x in b.column("lang").to_pylist()])
             lo = 0
             for ids, buf, offs in documents([b]):
                 own = lang[lo : lo + len(ids)]
                 lo += len(ids)
-                slot, doc = trigrams(buf, offs)
-                k = own[doc]
-                total += np.bincount(k[k >= 0] * SLOTS + slot[k >= 0], minlength=total.size).reshape(total.shape)
+                slot, at = trigrams(buf, offs)
+                which = np.repeat(own, np.diff(at))
+                for k in np.unique(own[own >= 0]).tolist():
+                    total[k] += np.bincount(slot[which == k], minlength=SLOTS)
         for i in np.flatnonzero(total.any(1)).tolist():
             some = np.flatnonzero(total[i])
             yield pa.RecordBatch.from_arrays([pa.array([i] * len(some), pa.int32()), pa.array(some, pa.int32()), pa.array(total[i, some], pa.int64())], ["language", "slot", "n"])
@@ -81,11 +87,12 @@ class Model:
 
     def score(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Mean log-likelihood by language, and the number of trigrams, of each document."""
-        slot, doc = trigrams(buf, offs)
-        n = np.bincount(doc, minlength=len(offs) - 1)
-        out = np.zeros((len(offs) - 1, len(self.languages)))
-        for k in range(len(self.languages)):
-            out[:, k] = np.bincount(doc, self.logp[k][slot], len(offs) - 1)
+        slot, at = trigrams(buf, offs)
+        n = np.diff(at)
+        out, some = np.zeros((len(offs) - 1, len(self.languages))), n > 0
+        if some.any():
+            for k in range(len(self.languages)):
+                out[some, k] = np.add.reduceat(self.logp[k][slot], at[:-1][some], dtype=np.float64)
         return out / np.maximum(n, 1)[:, None], n
 
 
@@ -100,7 +107,7 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     if languages:
         for r in sample.select("doc_id", "text", "lang").mapInArrow(_count(languages), "language int, slot int, n long").groupBy("language", "slot").agg(F.sum("n").alias("n")).toArrow().to_batches():
             counts[r.column(0).to_numpy(), r.column(1).to_numpy()] = r.column(2).to_numpy()
-    logp = np.log((counts + 0.5) / (counts.sum(1, keepdims=True) + 0.5 * SLOTS))
+    logp = np.log((counts + 0.5) / (counts.sum(1, keepdims=True) + 0.5 * SLOTS)).astype(np.float32)
     return Model(languages, logp)
 
 

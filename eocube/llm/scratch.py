@@ -25,18 +25,22 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Rows that a Python worker gets at once; documents may be long, and several copies of a batch live at a time.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 @contextmanager
-def shuffle_cleanup(spark: SparkSession):
-    """Shuffle files go as soon as the job that wrote them has ended."""
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
+def careful(spark: SparkSession):
+    """Shuffle files go as soon as the job that wrote them has ended, and Python workers get small batches."""
+    new = {SHUFFLE_CLEANUP: "true", BATCH_ROWS: "1000"}
+    before = {k: spark.conf.get(k, None) for k in new}
+    for k, v in new.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(SHUFFLE_CLEANUP)
-        else:
-            spark.conf.set(SHUFFLE_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 class Scratch:
@@ -50,7 +54,7 @@ class Scratch:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and read it again: the plan so far is run once and forgotten."""
         path = f"{self.path}/{name}"
-        with shuffle_cleanup(self.spark):
+        with careful(self.spark):
             df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

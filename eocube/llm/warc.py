@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import Scratch, shuffle_cleanup
+from .scratch import Scratch, careful
 
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -76,7 +76,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     src = src.withColumn("digest", F.sha1(F.col("html").cast("binary")))
     first = src.where(F.octet_length("html") >= least_bytes).groupBy("digest").agg(F.min("page_id").alias("first"))
     marked = src.join(first, "digest", "left").select("page_id", "url", "timestamp", "html", "first")
-    with shuffle_cleanup(pages.sparkSession):
+    with careful(pages.sparkSession):
         marked.mapInArrow(_records, "value string").write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", 20_000).mode("overwrite").text(path)
 
 
