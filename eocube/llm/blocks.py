@@ -1,7 +1,7 @@
 """Blocks of documents, and exchange of packed lists between blocks and hash buckets.
 
 Operators that look at every window of every document would shuffle far more
-than the text if each window were a row. Here a row is a block of about two
+than the text if each window were a row. Here a row is a block of one and a half
 megabytes of text; for each hash bucket a block sends one sorted, compressed
 list, and the bucket answers with one bit for each entry. A window that occurs
 everywhere is one entry of each block's list, so no bucket is hot.
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .text import documents
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 3 << 19
 BLOCK = "block_id long, ids binary, offs binary, body binary"
 _U = np.uint64
 _zstd = None

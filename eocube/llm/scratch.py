@@ -26,13 +26,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 #: Rows that a Python worker gets at once; documents may be long, and several copies of a batch live at a time.
-BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS, BATCH_BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 @contextmanager
 def careful(spark: SparkSession):
     """Shuffle files go as soon as the job that wrote them has ended, and Python workers get small batches."""
-    new = {SHUFFLE_CLEANUP: "true", BATCH_ROWS: "1000"}
+    new = {SHUFFLE_CLEANUP: "true", BATCH_ROWS: "1000", BATCH_BYTES: "8m"}
     before = {k: spark.conf.get(k, None) for k in new}
     for k, v in new.items():
         spark.conf.set(k, v)

@@ -12,7 +12,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 2 << 20
+CHUNK = 1 << 20
+STEP = 1 << 17
 NO_ID = np.int64(2**63 - 1)
 _rng = np.random.Generator(np.random.PCG64(20260101))
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -42,7 +43,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64, at least ``n`` of each."""
     got = _powers.get(base)
     if got is None or len(got[0]) < n:
-        size = max(1 << 16, 1 << int(n - 1).bit_length()) if n > 1 else 1 << 16
+        size = -(-n // STEP) * STEP  # kept by the worker, so hardly more than is needed
         out = []
         for b in (base, pow(base, -1, 2**64)):
             steps = np.full(size, b, _U)
