@@ -17,9 +17,11 @@ link counts when the full sets, built again from both texts, confirm it.
 
 A large group of near copies has members at its fringe that are linked to few
 others and to no leader. So members of large nodes that resemble a leader meet a
-second time, with their full sets, in nodes of a few more trees, cut to PIECE
-rows: there all that aren't in the node's largest component are compared with
-all others, and what is linked by then is left alone.
+second time, with their full sets, in nodes of a few more trees: there all that
+aren't in the node's largest component are compared with all others, and what is
+linked by then is left alone. A node is cut into pieces, and all pairs of pieces
+meet but those within the largest component, so a node of any size is compared
+as a whole, PIECE rows at a time.
 
 Defined results: a null text is an empty one; a document without words has no
 shingles and no link; a row whose id is null takes no part (component null, kept);
@@ -46,6 +48,7 @@ DEPTH = 12
 SMALL = 16
 PIECE = 1024
 AGAIN = 10
+COLUMNS = 2048
 EXPECTED_DEPTH = 3
 _U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(77))
@@ -268,25 +271,62 @@ def fringe_links(ids: np.ndarray, comp: np.ndarray, sets: list[np.ndarray], perc
     """Links that tie together what isn't in the largest component yet; each such document is compared with all."""
     if len(ids) < 2 or (comp == comp[0]).all():
         return []
-    size = np.array([len(x) for x in sets])
-    owner = np.repeat(np.arange(len(ids)), size)
+    total, size = len(ids), np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(total), size)
     every, back = np.unique(np.concatenate(sets), return_inverse=True)
-    order = np.argsort(back, kind="stable")
-    owner, count = owner[order], np.bincount(back, minlength=len(every))
-    begin, first = np.cumsum(count) - count, np.cumsum(size) - size
+    count = np.bincount(back, minlength=len(every))
     labels, at, n = np.unique(comp, return_inverse=True, return_counts=True)
     forest, main, links = Forest(), int(labels[n.argmax()]), []
-    for i in np.argsort(n[at], kind="stable").tolist():
+    loose = np.argsort(n[at], kind="stable")
+    loose = loose[comp[loose] != main]
+    # shingles that many have are counted as products of matrices, the others by lists of who has them
+    often = np.flatnonzero(16 * count > total)
+    column = np.full(len(every), -1)
+    column[often] = np.arange(len(often))
+    column = column[back]
+    shared = np.zeros((len(loose), total), np.float32)
+    for c in range(0, len(often), COLUMNS):
+        some = (column >= c) & (column < c + COLUMNS)
+        has = np.zeros((total, min(COLUMNS, len(often) - c)), np.float32)
+        has[owner[some], column[some] - c] = 1
+        shared += has[loose] @ has.T
+    back, owner = back[column < 0], owner[column < 0]
+    count[often] = 0
+    begin, own = np.cumsum(count) - count, np.bincount(owner, minlength=total)
+    first = np.cumsum(own) - own
+    owner = owner[np.argsort(back, kind="stable")]
+    for k, i in enumerate(loose.tolist()):
         if forest.root(int(comp[i])) == forest.root(main):
             continue
-        mine = back[first[i] : first[i] + size[i]]
-        both = np.bincount(owner[spread(begin[mine], count[mine])], minlength=len(ids))
+        mine = back[first[i] : first[i] + own[i]]
+        both = np.bincount(owner[spread(begin[mine], count[mine])], minlength=total) + shared[k].astype(np.int64)
         for j in np.flatnonzero(100 * both >= percent * (size + size[i] - both)).tolist():
             if j != i and forest.join(int(comp[i]), int(comp[j])):
                 links.append((int(ids[i]), int(ids[j])))
     return links
 
 
+def _meetings(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows of ``nodes(tree, token, comp, ...)`` by the pieces (a, b) in which they meet.
+
+    A node of more than PIECE rows is cut into pieces of half of that, those of
+    its largest component apart from the others. Every piece of the others meets
+    every piece of the node, so no link between two components falls between pieces.
+    """
+    sizes = nodes.groupBy("tree", "token", "comp").agg(F.count("*").alias("n"))
+    cut = sizes.groupBy("tree", "token").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("total")).where("total > most")
+    whole, half = F.col("total") <= PIECE, PIECE // 2
+    cut = cut.withColumn("loose", F.when(whole, 1).otherwise(F.ceil((F.col("total") - F.col("most")) / half)))
+    cut = cut.withColumn("pieces", F.when(whole, 1).otherwise(F.col("loose") + F.ceil(F.col("most") / half)))
+    cut = scratch.keep(cut, "cut")  # stored, so that the join below can split a node that is far larger than others
+    dealt = F.xxhash64("doc_id", "tree")
+    settled = (F.col("comp") == F.col("main")) & (F.col("pieces") > 1)
+    nodes = nodes.join(cut, ["tree", "token"]).withColumn("piece", F.when(settled, F.col("loose") + F.pmod(dealt, F.col("pieces") - F.col("loose"))).otherwise(F.pmod(dealt, F.col("loose"))))
+    others = F.sequence(F.lit(0).cast("long"), F.when(settled, F.col("loose")).otherwise(F.col("pieces")) - 1)
+    nodes = nodes.withColumn("other", F.explode(F.filter(others, lambda x: (F.col("pieces") == 1) | (x != F.col("piece")))))
+    return nodes.withColumn("a", F.least("piece", "other")).withColumn("b", F.greatest("piece", "other"))
+
+
 def _one(text: str, size: int) -> np.ndarray:
     raw = np.frombuffer(text.encode(), np.uint8)
     return shingle_sets(raw, np.array([0, len(raw)]), size)[0]
@@ -320,11 +360,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         texts = sieve(src, again, "doc_id").join(marked, "doc_id").dropDuplicates(["doc_id", "text"])
         sets = scratch.keep(texts.select("doc_id", "text", "comp").mapInArrow(_sets(shingle), "doc_id long, comp long, shingles binary, tokens array<long>"), "sets")
         nodes = sets.select("doc_id", "comp", "shingles", F.posexplode("tokens").alias("tree", "token"))
-        cut = nodes.groupBy("tree", "token").agg(F.ceil(F.count("*") / PIECE).alias("pieces"), F.count_distinct("comp").alias("comps")).where("comps > 1")
-        cut = scratch.keep(cut, "cut")  # stored, so that the join below can split a node that is far larger than others
-        nodes = nodes.join(cut, ["tree", "token"]).withColumn("piece", F.pmod(F.xxhash64("doc_id", "tree"), F.col("pieces")))
-        # dealt by the piece too, so that a node of any size is spread
-        fringe = nodes.repartition("tree", "token", "piece").groupBy("tree", "token", "piece").applyInArrow(_fringe(percent), "u long, v long")
+        # dealt by the pieces too, so that a node of any size is spread
+        met = _meetings(nodes, scratch).select("tree", "token", "a", "b", "doc_id", "comp", "shingles")
+        fringe = met.repartition("tree", "token", "a", "b").groupBy("tree", "token", "a", "b").applyInArrow(_fringe(percent), "u long, v long")
         links = links.unionByName(scratch.keep(fringe, "fringe"))
     copies = known.join(classes.select("set_key", "rep"), "set_key").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
     found = components(links.unionByName(copies.where("u <> v")), scratch)

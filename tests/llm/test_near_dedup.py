@@ -2,6 +2,7 @@ import random
 import re
 import string
 
+import numpy as np
 import pytest
 
 from eocube.llm import near_dedup as N
@@ -66,6 +67,40 @@ def test_groups_of_near_copies(spark):
     assert got == brute(rows, 4)
 
 
+def pairs_in_boilerplate(n, seed=3):
+    """Pairs of 0.8 whose members have 0.765 with all others: 78 of a union of 100 words are everyone's."""
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choice(string.ascii_lowercase) for _ in range(8))
+    line, rows = [word() for _ in range(78)], []
+    for i in range(0, n, 2):
+        both = [word() for _ in range(2)]
+        rows += [(k, " ".join(line + both + [word() for _ in range(10)])) for k in (i, i + 1)]
+    return rows
+
+
+def test_links_between_pieces_of_a_node(spark, monkeypatch):
+    """A node of several pieces whose members are linked to one other each."""
+    monkeypatch.setattr(N, "PIECE", 64)
+    rows = pairs_in_boilerplate(600)
+    got = {r.doc_id: r.component_id for r in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=1).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
+def test_fringe_links_match_brute_force():
+    rnd = np.random.default_rng(5)
+    sets = [np.unique(np.concatenate([np.flatnonzero(rnd.random(60) < 0.93), rnd.integers(100, 160, rnd.integers(1, 9))])).astype(np.uint64) for _ in range(150)]
+    ids, comp = np.arange(150), np.where(rnd.random(150) < 0.3, 0, np.arange(150))
+    want, got = N.Forest(), N.Forest()
+    for i in range(150):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                want.join(int(comp[i]), int(comp[j]))
+    for u, v in N.fringe_links(ids, comp, sets, 80):
+        got.join(int(comp[u]), int(comp[v]))
+    assert [got.root(int(c)) for c in comp] == [want.root(int(c)) for c in comp]
+
+
 def test_empty_table(spark, empty):
     out = N.near_duplicates(empty)
     assert out.count() == 0 and out.columns == ["doc_id", "n_shingles", "component_id", "kept"]
