@@ -51,6 +51,24 @@ def test_accept_list(docs):
     assert got.where("accepted and language <> 'en'").count() == 0 < got.where("accepted").count()
 
 
+def test_texts_in_none_of_the_languages(spark, docs):
+    model = L.fit(docs.select("doc_id", "text", "lang"))
+    rnd = random.Random(4)
+    texts = [
+        "Il governo ha deciso che la nuova legge sarà discussa in parlamento la prossima settimana, mentre i cittadini aspettano una risposta",
+        "Rząd zdecydował, że nowa ustawa zostanie omówiona w parlamencie w przyszłym tygodniu, a obywatele czekają na odpowiedź",
+        "Правительство решило что новый закон будет обсуждаться в парламенте на следующей неделе",
+        "政府决定下周在议会讨论新法律公民们正在等待答复",
+        "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(300)),
+    ]
+    none = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.accepted for r in L.identify(none, model).collect()} == {False}
+    # clean texts stay, however short
+    short = docs.select("doc_id", F.explode(F.array(*[F.concat_ws(" ", F.slice(F.split("text", "\\s+"), 1, k)) for k in (3, 8, 20)])).alias("text")).where("text rlike '[a-zA-Z]{3}'")
+    got = L.identify(short, model, least=0.0)
+    assert got.where("not accepted").count() <= 0.001 * got.count()
+
+
 def test_markup(spark):
     row = spark.createDataFrame([('<HTML class=a LANG="pt-BR"><style>p{}</style><!-- x --><p>Hi&amp; there</p>', "HTTP://WWW.Example.COM:80/a")], "h string, u string")
     r = row.select(L.declared_in(F.col("h")).alias("d"), L.visible(F.col("h")).alias("t"), L.host_of(F.col("u")).alias("host")).first()
