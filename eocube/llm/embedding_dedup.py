@@ -11,13 +11,18 @@ with probability ``recall``.
 
 Vectors of one label are sorted by the first projection and cut into blocks.
 Blocks whose intervals are farther apart than a difference of projections can
-be (Cauchy-Schwarz) never meet. Equal vectors are one representative with a
+be (Cauchy-Schwarz) never meet. Two blocks that meet are counted on projections
+alone: each projection is sorted, every vector's window is an interval of that
+order, and intervals add up to counts. Vectors are sent only to pairs of blocks
+with candidates, once. Equal vectors are one representative with a
 multiplicity, so a common vector costs no more than a rare one, and a task
 returns counts and a spanning forest of its links, never all pairs of a group.
 Work within a label still grows with the square of its blocks.
 
 Defined results: a vector that is null, empty, zero or has a null or non-finite
-component, or whose label is null, has no link; vectors of different lengths
+component, or whose label is null, has no link; vectors of any finite size are
+compared, since they are scaled by a power of two first; a block has fewer of
+very long vectors (BLOCK_BYTES in all); vectors of different lengths
 are never compared; rows that repeat both id and vector count once as a partner;
 a row with a null id is returned alone (component null, kept).
 """
@@ -25,6 +30,7 @@ a row with a null id is returned alone (component null, kept).
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +40,11 @@ from pyspark.sql import functions as F
 
 from .components import components, local_stars
 from .scratch import Scratch
-from .text import spread
+from .text import tidy
 
-PROJECTIONS = 32
-WIDE = 2.0
-ROWS = 1024
+PROJECTIONS = 24
+WIDE = 3.3
+ROWS, BLOCK_BYTES = 1024, 8 << 20
 
 
 def directions(dim: int) -> np.ndarray:
@@ -71,84 +77,106 @@ def _parse(batches):
         yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("label"), pa.array(out, pa.binary())], ["vec_id", "label", "vec"])
 
 
-def _first(batches):
-    """The first projection of each representative."""
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows with a largest component of about 1: exact, and no square of it overflows or vanishes."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
+def _project(batches):
+    """The projections of each representative."""
     for b in batches:
         vecs = [np.frombuffer(x, np.float64) for x in b.column("vec").to_pylist()]
-        p = np.array([float(v / np.linalg.norm(v) @ directions(len(v))[:, 0]) for v in vecs]) if len({len(v) for v in vecs}) > 1 else _unit(vecs) @ directions(len(vecs[0]))[:, 0] if vecs else np.zeros(0)
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array([len(v) for v in vecs], pa.int32()), pa.array(p, pa.float64())], [*b.schema.names, "dim", "p"])
+        dims = np.array([len(v) for v in vecs], np.int32)
+        proj, first = [b""] * len(vecs), np.zeros(len(vecs))
+        for dim in np.unique(dims).tolist():
+            some = np.flatnonzero(dims == dim)
+            x = scaled(np.stack([vecs[i] for i in some]))
+            x = (x / np.linalg.norm(x, axis=1, keepdims=True) @ directions(dim)).astype(np.float32)
+            first[some] = x[:, 0]
+            for i, row in zip(some.tolist(), x, strict=True):
+                proj[i] = row.tobytes()
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(dims), pa.array(first), pa.array(proj, pa.binary())], [*b.schema.names, "dim", "p", "proj"])
+        tidy()
+
+
+def _cut(most: int):
+    """Sorted rows as blocks of ``most`` vectors of one label and length."""
+    names = ["label", "dim", "rep", "n", "p", "vec", "proj"]
+
+    def block(seq, rows):
+        part = TaskContext.get().partitionId()
+        own = dict(zip(names, zip(*rows, strict=True), strict=True))
+        proj = np.ascontiguousarray(np.frombuffer(b"".join(own["proj"]), np.float32).reshape(len(rows), -1).T)
+        cols = [[(part << 32) | seq], [own["label"][0]], [own["dim"][0]], [own["p"][0]], [own["p"][-1]], [np.array(own["rep"], np.int64).tobytes()], [np.array(own["n"], np.int64).tobytes()], [b"".join(own["vec"])], [proj.tobytes()]]
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), *[pa.binary()] * 4]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["block_id", "label", "dim", "lo", "hi", "ids", "copies", "vecs", "proj"])
 
+    def run(batches):
+        seq, held = 0, []
+        for b in batches:
+            for r in zip(*(b.column(c).to_pylist() for c in names), strict=True):
+                if held and (len(held) >= min(most, max(1, BLOCK_BYTES // (8 * held[0][1]))) or held[0][:2] != r[:2]):
+                    yield block(seq, held)
+                    seq, held = seq + 1, []
+                held.append(r)
+        if held:
+            yield block(seq, held)
 
-def _unit(vecs) -> np.ndarray:
-    x = np.stack(vecs)
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+    return run
 
 
-def _cut(batches):
-    """Sorted rows as blocks of one label and length."""
-    part, seq, held = TaskContext.get().partitionId(), 0, []
+def candidates(x: np.ndarray, y: np.ndarray, half: float, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of columns of ``x`` and ``y`` [projection, vector] that collide at least ``least`` times."""
+    n, m = x.shape[1], y.shape[1]
+    count, every = np.zeros((m, n), np.uint8), np.arange(n)
+    for a, b in zip(x, y, strict=True):
+        order = np.argsort(b, kind="stable")
+        s = b[order]
+        step = np.zeros((m + 1, n), np.int8)  # +1 where a window begins in this order, -1 behind its end
+        step[np.searchsorted(s, a - half), every] += 1
+        step[np.searchsorted(s, a + half, "right"), every] -= 1
+        count[order] += np.cumsum(step[:m], axis=0, dtype=np.int8).view(np.uint8)
+    j, i = np.nonzero(count >= least)
+    return i, j
 
-    def block(rows):
-        nonlocal seq
-        seq += 1
-        label, dim, p = rows[0][1], rows[0][4], [r[5] for r in rows]
-        cols = [[(part << 32) | seq], [label], [dim], [p[0]], [p[-1]], [np.array([r[0] for r in rows], np.int64).tobytes()], [np.array([r[3] for r in rows], np.int64).tobytes()], [b"".join(r[2] for r in rows)]]
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["block_id", "label", "dim", "lo", "hi", "ids", "copies", "vecs"])
 
-    for b in batches:
-        for r in zip(*(b.column(c).to_pylist() for c in ("rep", "label", "vec", "n", "dim", "p")), strict=True):
-            if held and (len(held) == ROWS or (held[0][1], held[0][4]) != (r[1], r[4])):
-                yield block(held)
-                held = []
-            held.append(r)
-    if held:
-        yield block(held)
+PACKED = np.dtype([("i", "<u2"), ("j", "<u2")])
 
 
-def candidates(x: np.ndarray, y: np.ndarray, half: float, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of projected rows of ``x`` and ``y`` that collide at least ``least`` times."""
-    order = np.argsort(y[:, 0], kind="stable")
-    s = y[order, 0]
-    lo, hi = np.searchsorted(s, x[:, 0] - half), np.searchsorted(s, x[:, 0] + half, "right")
-    hit = np.zeros((len(x), len(y)), bool)
-    i = np.repeat(np.arange(len(x)), hi - lo)
-    hit[i, order[spread(lo, hi - lo)]] = True
-    missed = (~hit).astype(np.uint8)
-    allowed = PROJECTIONS - least
-    head = 10
-    for r in range(1, head):
-        missed += np.abs(x[:, r, None] - y[None, :, r]) > half
-    i, j = np.nonzero(missed <= allowed)
-    m = missed[i, j]
-    for r in range(head, PROJECTIONS):
-        m = m + (np.abs(x[i, r] - y[j, r]) > half)
-        good = m <= allowed
-        i, j, m = i[good], j[good], m[good]
-    return i, j
+def _collide(half: float, least: int):
+    def run(batches):
+        for b in batches:
+            for k in range(b.num_rows):
+                row = {c: b.column(c)[k].as_py() for c in b.schema.names}
+                x, y = (np.frombuffer(row[f"proj{s}"], np.float32).reshape(PROJECTIONS, -1) for s in "ab")
+                i, j = candidates(x, y, half, least)
+                if row["block_a"] == row["block_b"]:
+                    i, j = i[i < j], j[i < j]
+                if len(i):
+                    pairs = np.empty(len(i), PACKED)
+                    pairs["i"], pairs["j"] = i, j
+                    yield pa.RecordBatch.from_arrays([pa.array([row["block_a"]], pa.int64()), pa.array([row["block_b"]], pa.int64()), pa.array([row["dim"]], pa.int32()), pa.array([pairs.tobytes()], pa.binary())], ["block_a", "block_b", "dim", "pairs"])
+            tidy()
 
+    return run
 
-def _verify(cosine: float, least: int):
-    half = WIDE * math.sqrt(2 - 2 * cosine)
 
+def _verify(cosine: float):
     def run(batches):
         for b in batches:
             for k in range(b.num_rows):
                 row = {c: b.column(c)[k].as_py() for c in b.schema.names}
                 ids = [np.frombuffer(row[f"ids{s}"], np.int64) for s in "ab"]
                 copies = [np.frombuffer(row[f"copies{s}"], np.int64) for s in "ab"]
-                raw = [np.frombuffer(row[f"vecs{s}"], np.float64).reshape(-1, row["dim"]) for s in "ab"]
+                raw = [scaled(np.frombuffer(row[f"vecs{s}"], np.float64).reshape(-1, row["dim"])) for s in "ab"]
                 norm = [np.linalg.norm(v, axis=1) for v in raw]
-                a = directions(row["dim"])
-                x, y = (v / n[:, None] @ a for v, n in zip(raw, norm, strict=True))
-                i, j = candidates(x, y, half, least)
-                if row["block_a"] == row["block_b"]:
-                    i, j = i[i < j], j[i < j]
-                links = []
-                for s in range(0, len(i), 65536):
-                    p, q = i[s : s + 65536], j[s : s + 65536]
+                pairs = np.frombuffer(row["pairs"], PACKED)
+                i, j = pairs["i"].astype(np.int64), pairs["j"].astype(np.int64)
+                links, step = [], max(1, BLOCK_BYTES // (8 * row["dim"]))
+                for s in range(0, len(i), step):
+                    p, q = i[s : s + step], j[s : s + step]
                     links.append(np.einsum("ij,ij->i", raw[0][p], raw[1][q]) / (norm[0][p] * norm[1][q]) >= cosine)
-                good = np.concatenate(links) if links else np.zeros(0, bool)
+                good = np.concatenate(links)
                 i, j = i[good], j[good]
                 add = [np.bincount(i, copies[1][j], len(ids[0])), np.bincount(j, copies[0][i], len(ids[1]))]
                 stars = local_stars(np.stack([ids[0][i], ids[1][j]], 1))
@@ -157,6 +185,7 @@ def _verify(cosine: float, least: int):
                     some = np.flatnonzero(c)
                     u, v, n = [*u, own[some]], [*v, own[some]], [*n, c[some]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(u), pa.int64()), pa.array(np.concatenate(v), pa.int64()), pa.array(np.concatenate(n).astype(np.int64), pa.int64())], ["u", "v", "n"])
+            tidy()
 
     return run
 
@@ -169,18 +198,19 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     parsed = scratch.keep(src.mapInArrow(_parse, "vec_id long, label long, vec binary").withColumn("key", F.when(F.col("label").isNotNull() & F.col("vec_id").isNotNull(), F.sha2("vec", 256))), "parsed")
     good = parsed.where("key is not null").groupBy("label", "key", "vec_id").agg(F.first("vec").alias("vec"))
     classes = scratch.keep(good.groupBy("label", "key").agg(F.min("vec_id").alias("rep"), F.first("vec").alias("vec"), F.count("*").alias("n")), "classes")
-    first = classes.select("rep", "label", "vec", "n").mapInArrow(_first, "rep long, label long, vec binary, n long, dim int, p double")
+    first = classes.select("rep", "label", "vec", "n").mapInArrow(_project, "rep long, label long, vec binary, n long, dim int, p double, proj binary")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["label", "dim", "p", "rep"]
-    blocks = scratch.keep(first.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_cut, "block_id long, label long, dim int, lo double, hi double, ids binary, copies binary, vecs binary"), "blocks")
+    blocks = scratch.keep(first.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_cut(ROWS), "block_id long, label long, dim int, lo double, hi double, ids binary, copies binary, vecs binary, proj binary"), "blocks")
     meta = blocks.select("block_id", "label", "dim", "lo", "hi")
     a, b = (meta.select(F.col("block_id").alias(f"block_{s}"), "label", "dim", F.col("lo").alias(f"lo_{s}"), F.col("hi").alias(f"hi_{s}")) for s in "ab")
     # no Gaussian direction is longer than this, so no true link is lost
     longest = (F.sqrt(F.col("dim")) + 8) * math.sqrt(2 - 2 * cosine)
     met = a.join(b, ["label", "dim"]).where((F.col("block_a") <= F.col("block_b")) & (F.col("lo_b") - F.col("hi_a") <= longest) & (F.col("lo_a") - F.col("hi_b") <= longest)).select("block_a", "block_b", "dim")
-    for s in "ab":
-        met = met.join(blocks.select(F.col("block_id").alias(f"block_{s}"), *(F.col(c).alias(f"{c}{s}") for c in ("ids", "copies", "vecs"))), f"block_{s}")
-    found = scratch.keep(met.mapInArrow(_verify(cosine, least_collisions(recall)), "u long, v long, n long"), "found")
+    both = lambda pairs, names: reduce(lambda rows, s: rows.join(blocks.select(F.col("block_id").alias(f"block_{s}"), *(F.col(c).alias(f"{c}{s}") for c in names)), f"block_{s}"), "ab", pairs)
+    half = WIDE * math.sqrt(2 - 2 * cosine) + 1e-5  # projections are single precision
+    pairs = scratch.keep(both(met, ["proj"]).mapInArrow(_collide(half, least_collisions(recall)), "block_a long, block_b long, dim int, pairs binary"), "pairs")
+    found = scratch.keep(both(pairs, ["ids", "copies", "vecs"]).mapInArrow(_verify(cosine), "u long, v long, n long"), "found")
     members = parsed.where("key is not null").select("vec_id", "label", "key").distinct().join(classes.select("label", "key", "rep", "n"), ["label", "key"])
     members = scratch.keep(members.select("vec_id", "rep", "n"), "members")
     direct = found.where("u = v").groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("direct"))
