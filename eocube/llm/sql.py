@@ -54,8 +54,12 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = compone
 
 WARC = """WITH h AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS s FROM pages),
 b AS (SELECT *, list_reduce(list_transform(range(8), lambda g: list_reduce(list_transform([15, 10, 5, 0], lambda k:
- substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(s, 1 + g * 5, 5))::INT >> k) & 31) + 1, 1)), lambda x, y: x || y)), lambda x, y: x || y) AS payload_digest, min(page_id) OVER (PARTITION BY s) AS f FROM h)
-SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest, CASE WHEN f = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN f <> page_id THEN f END AS refers_to FROM b"""
+ substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(s, 1 + g * 5, 5))::INT >> k) & 31) + 1, 1)), lambda x, y: x || y)), lambda x, y: x || y) AS payload_digest, min(page_id) OVER (PARTITION BY s) AS f FROM h),
+u AS (SELECT page_id, CASE WHEN contains(url, '://') AND NOT ends_with(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE coalesce(url, '') END AS rest FROM pages),
+v AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS host, regexp_replace(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '(?s)#.*$', '') AS path FROM u),
+k AS (SELECT page_id, CASE WHEN rest <> '' THEN array_to_string(list_reverse(string_split(regexp_replace(lower(host), '^.*@', ''), '.')), ',') || ')' || CASE WHEN path = '' THEN '/' ELSE path END ELSE '' END AS key FROM v),
+o AS (SELECT page_id, row_number() OVER (ORDER BY key, page_id NULLS LAST) - 1 AS history FROM k)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest, CASE WHEN f = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN f <> page_id THEN f END AS refers_to, history FROM b JOIN o USING (page_id)"""
 
 SUFFIX = """WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents),
 p AS (SELECT doc_id, n, p, substr(x, 2 * p + 1, 2) AS c, CASE WHEN p <= n - 100 THEN md5(substr(x, 2 * p + 1, 200)) END AS s FROM t, LATERAL (SELECT unnest(range(n)) AS p)),

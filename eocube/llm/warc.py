@@ -5,18 +5,23 @@ CR LF CR LF as the line separator, so archives can go to any store Spark can
 write to; each file is one gzip stream. Records whose payload was seen before
 (smallest page id first) are revisits of identical payload digest.
 
-Reading parses each archive by Content-Length, checks payload digests and gives
-one locally sorted run of index entries per file. The index merge is external:
+Reading streams each archive through Spark's text reader, cut at the record
+terminator, and puts records together again by Content-Length, so that no more
+than one record is held and an archive of any size is read. Payload digests are
+checked; each RUN entries of a file are one locally sorted run. The index merge
+is external:
 splitters cut the key space (URL key, timestamp, page id) into ranges, each run
 sends one packed sorted segment to each range, and a range merges its segments
 with a loser tree. Ranges follow one another, so their concatenation is the
 globally ordered capture history. The key ends with the page id, so a URL or
-host that has a third of the captures is still cut into many ranges.
+host that has a third of the captures is still cut into many ranges. ``history``
+is an entry's place in the whole of it.
 
 Defined results: a null html is an empty payload; a null url has no target and
 sorts first; line breaks in a url are percent-encoded; a null page id is never
 the smallest of its group unless all are; rows that repeat id and payload are
-all responses if theirs is the smallest id.
+all responses if theirs is the smallest id; a very long html is one record,
+which must fit a worker.
 """
 
 from __future__ import annotations
@@ -26,9 +31,11 @@ import hashlib
 import pickle
 import zlib
 from bisect import bisect_right
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .scratch import Scratch, careful
@@ -36,7 +43,7 @@ from .scratch import Scratch, careful
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EPOCH = "1970-01-01T00:00:00Z"
-SAMPLE = 20_000
+SAMPLE, RUN = 20_000, 50_000
 ENTRY = "run string, seq long, url_key string, timestamp string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 FIELDS = [x.split()[0] for x in ENTRY.split(", ")]
 
@@ -80,17 +87,28 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         marked.mapInArrow(_records, "value string").write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", 20_000).mode("overwrite").text(path)
 
 
-def parse(data: bytes):
-    """(headers, block) of each record of an archive that isn't compressed."""
-    at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        lines = data[at:stop].decode().split("\r\n")
-        head = dict(x.split(": ", 1) for x in lines[1:])
-        begin = stop + 4
-        at = begin + int(head["Content-Length"])
-        yield head, data[begin:at]
-        at += 4
+def parse(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers, block) of each record of an archive that isn't compressed, from any cuts of its bytes."""
+    held, head, need = bytearray(), None, 0
+    for piece in pieces:
+        held += piece
+        while True:
+            if head is None:
+                stop = held.find(b"\r\n\r\n")
+                if stop < 0:
+                    break
+                head = dict(x.split(": ", 1) for x in held[:stop].decode().split("\r\n")[1:])
+                need = int(head["Content-Length"])
+                del held[: stop + 4]
+            if len(held) < need + 4:
+                break
+            if held[need : need + 4] != b"\r\n\r\n":
+                raise ValueError(f"no end of record after {head.get('WARC-Record-ID')}")
+            yield head, bytes(held[:need])
+            del held[: need + 4]
+            head = None
+    if head is not None or held.strip(b"\r\n"):  # a reader that cuts at the terminator may end with one too many
+        raise ValueError("the archive ends within a record")
 
 
 def _page(urn: str | None) -> int | None:
@@ -98,34 +116,37 @@ def _page(urn: str | None) -> int | None:
     return None if number == "null" else int(number)
 
 
-def _inflate(raw: bytes) -> bytes:
-    out = []
-    while raw:  # gzip members follow one another
-        d = zlib.decompressobj(31)
-        out.append(d.decompress(raw))
-        raw = d.unused_data
-    return b"".join(out)
-
-
 def order(e: tuple) -> tuple:
     """The index's order: URL key, timestamp, page id (null last), run and place."""
     return (e[2], e[3], e[4] is None, e[4] or 0, e[0], e[1])
 
 
-def _entries(batches):
-    for b in batches:
-        for path, raw in zip(b.column("path").to_pylist(), b.column("content"), strict=True):
-            run, rows = path.rpartition("/")[2], []
-            for seq, (head, block) in enumerate(parse(_inflate(raw.as_py()))):
-                http, _, body = block.partition(b"\r\n\r\n")
-                size = int(http.rpartition(b"Content-Length: ")[2])
-                digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
-                kind = head["WARC-Type"]
-                if kind == "response" and (len(body) != size or base64.b32encode(hashlib.sha1(body).digest()).decode() != digest):
-                    raise ValueError(f"{path}: record {seq} does not match its payload digest")
-                rows.append((run, seq, url_key(head.get("WARC-Target-URI")), head["WARC-Date"], _page(head["WARC-Record-ID"]), size, digest, kind, _page(head["WARC-Refers-To"]) if kind == "revisit" else None))
-            rows.sort(key=order)
-            yield _batch(rows)
+def _entry(path: str, seq: int, head: dict[str, str], block: bytes) -> tuple:
+    http, _, body = block.partition(b"\r\n\r\n")
+    size = int(http.rpartition(b"Content-Length: ")[2])
+    digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
+    kind = head["WARC-Type"]
+    if kind == "response" and (len(body) != size or base64.b32encode(hashlib.sha1(body).digest()).decode() != digest):
+        raise ValueError(f"{path}: record {seq} does not match its payload digest")
+    return url_key(head.get("WARC-Target-URI")), head["WARC-Date"], _page(head["WARC-Record-ID"]), size, digest, kind, _page(head["WARC-Refers-To"]) if kind == "revisit" else None
+
+
+def _entries(batches, most: int = RUN):
+    """Sorted runs of at most ``most`` entries; the pieces of a file come in its order, one file after another."""
+
+    def pieces():
+        for b in batches:
+            yield from zip(b.column("path").to_pylist(), b.column("piece").to_pylist(), strict=True)
+
+    for path, own in groupby(pieces(), lambda x: x[0]):
+        name, rows, part = path.rpartition("/")[2], [], 0
+        for seq, (head, block) in enumerate(parse(x + b"\r\n\r\n" for _, x in own)):
+            rows.append((f"{name}#{part}", seq, *_entry(path, seq, head, block)))
+            if len(rows) == most:
+                yield _batch(sorted(rows, key=order))
+                rows, part = [], part + 1
+        if rows:
+            yield _batch(sorted(rows, key=order))
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -134,9 +155,9 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Index entries of all archives in a folder; those of one archive are sorted."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
-    return files.mapInArrow(_entries, ENTRY)
+    """Index entries of all archives in a folder, as sorted runs."""
+    pieces = spark.read.option("lineSep", END).option("pathGlobFilter", "*.gz").text(path)  # gzip can't be split: a file is one task's
+    return pieces.select(F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("piece")).mapInArrow(_entries, ENTRY)
 
 
 class LoserTree:
@@ -180,12 +201,12 @@ def _segments(splits: list[tuple], most: int = 50_000):
             lo = 0
             while lo < len(rows):
                 hi = bisect_right(cuts, cuts[lo], lo)
-                yield cuts[lo], name, zlib.compress(pickle.dumps(rows[lo:hi], 5), 1)
+                yield cuts[lo], name, hi - lo, zlib.compress(pickle.dumps(rows[lo:hi], 5), 1)
                 lo = hi
 
         def pack(rows):
             got = list(cut(rows[0][0], rows))
-            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in got], pa.int32()), pa.array([x[1] for x in got], pa.string()), pa.array([x[2] for x in got], pa.binary())], ["range", "run", "body"])
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in got], pa.int32()), pa.array([x[1] for x in got], pa.string()), pa.array([x[2] for x in got], pa.int64()), pa.array([x[3] for x in got], pa.binary())], ["range", "run", "n", "body"])
 
         held: list[tuple] = []
         for b in batches:
@@ -207,8 +228,8 @@ def _merge(table: pa.Table) -> pa.Table:
     return out.add_column(0, "place", pa.array(range(len(rows)), pa.int64())).add_column(0, "range", pa.array([table.column("range")[0].as_py()] * len(rows), pa.int32()))
 
 
-def merge_index(entries: DataFrame) -> DataFrame:
-    """The runs as one capture history: (range, place) is the global order, then the fields of an entry.
+def merge_index(entries: DataFrame, scratch: Scratch) -> DataFrame:
+    """The runs as one capture history: history is the place in it (from 0), range and place how it was merged, then the fields of an entry.
 
     ``entries`` must be stored: it is read for the splitters (a sample of a
     bounded number of keys) and again for the segments.
@@ -220,8 +241,11 @@ def merge_index(entries: DataFrame) -> DataFrame:
     keys = sorted(tuple(k) for k in keys)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     splits = sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
-    packed = entries.mapInArrow(_segments(splits), "range int, run string, body binary")
-    return packed.groupBy("range").applyInArrow(_merge, f"range int, place long, {ENTRY}")
+    packed = scratch.keep(entries.mapInArrow(_segments(splits), "range int, run string, n long, body binary"), "segments")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # over a row for each range
+    first = packed.groupBy("range").agg(F.sum("n").alias("n")).select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    merged = packed.groupBy("range").applyInArrow(_merge, f"range int, place long, {ENTRY}")
+    return merged.join(first, "range").select((F.col("first") + F.col("place")).alias("history"), *merged.columns)
 
 
 def archive_round_trip(pages: DataFrame, scratch: Scratch | None = None, **options) -> DataFrame:
@@ -229,4 +253,4 @@ def archive_round_trip(pages: DataFrame, scratch: Scratch | None = None, **optio
     scratch = scratch or Scratch(pages.sparkSession, "warc")
     write_archives(pages, f"{scratch.path}/archives", **options)
     runs = scratch.keep(read_archives(pages.sparkSession, f"{scratch.path}/archives"), "runs")
-    return merge_index(runs)
+    return merge_index(runs, scratch)

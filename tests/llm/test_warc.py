@@ -3,6 +3,7 @@ import gzip
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
 from eocube.llm import warc as W
@@ -44,6 +45,7 @@ def test_global_order(spark):
     rnd = random.Random(3)
     rows = [(i, f"http://h{rnd.randrange(3)}.example.com/{rnd.randrange(20)}", f"<p>{rnd.randrange(40)}</p>") for i in range(400)]
     out = W.archive_round_trip(pages(spark, rows)).orderBy("range", "place").collect()
+    assert [r.history for r in out] == list(range(400))
     keys = [(r.url_key, r.timestamp, r.page_id) for r in out]
     assert keys == sorted(keys) and len(keys) == 400 and len({r.range for r in out}) > 1
 
@@ -54,12 +56,28 @@ def test_empty_table(spark):
 
 def test_archives_are_warc(spark, tmp_path):
     W.write_archives(pages(spark, ROWS), str(tmp_path / "a"))
-    records = [r for f in (tmp_path / "a").glob("*.gz") for r in W.parse(gzip.decompress(f.read_bytes()))]
+    records = [r for f in (tmp_path / "a").glob("*.gz") for r in W.parse([gzip.decompress(f.read_bytes())])]
     assert len(records) == len(ROWS)
     for head, block in records:
         assert len(block) == int(head["Content-Length"]) and head["WARC-Type"] in ("response", "revisit") and head["WARC-Record-ID"].startswith("<urn:")
 
 
+def test_an_archive_in_small_runs(spark, tmp_path):
+    """Runs of three entries, records over many pieces, and a very long page with record ends in it."""
+    rows = [*ROWS, (50, "http://long.org", "x\r\n\r\n" * 200_000 + "\r\n"), (51, "http://long.org", "\r\n\r\n\r\n")]
+    W.write_archives(pages(spark, rows), str(tmp_path / "a"))
+    raw = b"".join(gzip.decompress(f.read_bytes()) for f in (tmp_path / "a").glob("*.gz"))
+    assert list(W.parse([raw])) == list(W.parse(raw[i : i + 7] for i in range(0, len(raw), 7)))
+    cut = raw.split(b"\r\n\r\n")
+    cut = cut if cut[-1] else cut[:-1]
+    batch = pa.RecordBatch.from_pydict({"path": ["p"] * len(cut), "piece": cut})
+    runs = list(W._entries([batch], 3))
+    assert [b.num_rows for b in runs] == [3] * (len(rows) // 3) + [len(rows) % 3] * (len(rows) % 3 > 0) and len({b.column("run")[0].as_py() for b in runs}) == len(runs)
+    assert W.read_archives(spark, str(tmp_path / "a")).count() == len(rows)
+    with pytest.raises(ValueError, match="ends within"):
+        list(W.parse([raw[:-30]]))
+
+
 def test_a_changed_payload_is_noticed(spark, tmp_path):
     W.write_archives(pages(spark, ROWS[:1]), str(tmp_path / "a"))
     f = next((tmp_path / "a").glob("*.gz"))
