@@ -8,16 +8,22 @@ the candidate starts, and the shifted lists of the next rarest terms are
 intersected with them until one is empty or all terms are through. With a slop,
 a term may be that many places away: proximity matches.
 
-The test side is read in groups of bounded size, each broadcast in its turn, so
-a benchmark of any size is searched whole; shards never move.
+The test side is read in groups of GROUP_CHARS characters (one item at least),
+each broadcast in its turn as the hashes of its words and nothing else, so a
+benchmark of any size is searched whole; shards never move. Work is that of the
+index times the number of groups.
 
 Defined results: a null text has no words; an item without words is no phrase;
-items that repeat an id are one item; a null item id is named "null"; a null
-document id stays null, and each row of the documents gives one row.
+items that repeat an id are one item, those without an id one item whose name is
+null; a null document id stays null, and each row of the documents gives one
+row. A document is never cut: a very long one must fit a worker, with some forty
+bytes for each of its bytes; an item is collected whole.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -26,10 +32,10 @@ from pyspark.sql import functions as F
 
 from .blocks import BLOCK_BYTES, expand, squeeze
 from .scratch import Scratch
-from .text import ALNUM, LOWER, NO_ID, documents, spread, word_hashes, words
+from .text import ALNUM, LOWER, NO_ID, documents, spread, tidy, word_hashes, words
 
 SHARD = "block_id long, ids binary, first binary, terms binary, counts binary, places binary"
-GROUP_CHARS = 16 << 20
+GROUP_CHARS, PHRASES = 8 << 20, 1 << 14
 _U = np.uint64
 
 
@@ -68,10 +74,9 @@ class Shard:
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         return np.where(self.terms[at] == terms, at, -1)
 
-    def search(self, phrases: np.ndarray, order: np.ndarray, slop: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(phrase, start, document) of all matches of phrases of one length; ``order``: their terms' places, rarest first."""
-        n = phrases.shape[1]
-        number = self.number(phrases)
+    def search(self, number: np.ndarray, order: np.ndarray, slop: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(phrase, start, document) of all matches of phrases of one length, given by this shard's ``number`` of each term; ``order``: their terms' places, rarest first."""
+        n = number.shape[1]
         which = np.flatnonzero((number >= 0).all(1))
         lead = order[which, 0]
         term = number[which, lead]
@@ -94,18 +99,27 @@ class Shard:
         return which, start, doc
 
 
-def phrases_of(names: list[str], texts: list[str | None], window: int) -> dict[int, tuple[np.ndarray, list[list[str]]]]:
-    """By length: distinct phrases as term hashes, and the names of the items that have each."""
-    raw = [(t or "").encode() for t in texts]
-    buf = LOWER[np.frombuffer(b"".join(raw), np.uint8)] if any(raw) else np.zeros(0, np.uint8)
-    starts, ends, first = words(buf, np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64), ALNUM)
-    w = word_hashes(buf, starts, ends) if len(buf) else np.zeros(0, _U)
-    found: dict[int, dict[bytes, set[str]]] = {}
-    for name, lo, hi in zip(names, first[:-1].tolist(), first[1:].tolist(), strict=True):
-        n = min(window, hi - lo)
-        for at in range(lo, hi - n + 1) if n else ():
-            found.setdefault(n, {}).setdefault(w[at : at + n].tobytes(), set()).add(name)
-    return {n: (np.frombuffer(b"".join(d), _U).reshape(-1, n), [sorted(x) for x in d.values()]) for n, d in found.items()}
+class Group:
+    """A part of the test side: hashes of its items' words, one item after another."""
+
+    def __init__(self, names: list[str | None], texts: list[str | None]):
+        raw = [(t or "").encode() for t in texts]
+        buf = LOWER[np.frombuffer(b"".join(raw), np.uint8)] if any(raw) else np.zeros(0, np.uint8)
+        starts, ends, self.first = words(buf, np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64), ALNUM)
+        self.terms, self.of = np.unique(word_hashes(buf, starts, ends) if len(buf) else np.zeros(0, _U), return_inverse=True)
+        self.of = self.of.astype(np.int32)
+        self.names, self.count = names, np.zeros(len(self.terms), np.int64)
+
+    def phrases(self, window: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(length, begins) of all phrases: each run of ``window`` words of an item, or a shorter item as it is."""
+        size = np.diff(self.first)
+        for n in np.unique(np.minimum(size, window)).tolist():
+            if n:
+                count = np.where(size >= window, size - n + 1, 1) if n == window else np.ones(len(size), np.int64)
+                own = np.minimum(size, window) == n
+                begin = spread(self.first[:-1][own], count[own])
+                for lo in range(0, len(begin), PHRASES):
+                    yield n, begin[lo : lo + PHRASES]
 
 
 def _counts(shared):
@@ -124,20 +138,27 @@ def _counts(shared):
     return run
 
 
-def _hits(shared, slop: int):
+def _hits(shared, window: int, slop: int):
     def run(batches):
+        group = shared.value
         for b in batches:
             for row in b.to_pylist():
                 shard = Shard(row)
                 docs = len(shard.ids)
-                begin, size, doc, names = [], [], [], []
-                for n, (phrases, order, items) in shared.value.items():
-                    which, start, own = shard.search(phrases, order, slop)
+                begin, size, doc, item = [], [], [], []
+                number = shard.number(group.terms)
+                known = np.concatenate([[0], np.cumsum(number[group.of] >= 0)])
+                for n, at in group.phrases(window):
+                    at = at[known[at + n] - known[at] == n]  # all of its terms are here
+                    if not len(at):
+                        continue
+                    terms = group.of[at[:, None] + np.arange(n)]
+                    which, start, own = shard.search(number[terms], np.argsort(group.count[terms], axis=1, kind="stable"), slop)
                     begin.append(start)
                     size.append(np.full(len(start), n))
                     doc.append(own)
-                    names += [items[w] for w in which.tolist()]
-                begin, size, doc = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (begin, size, doc))
+                    item.append(np.searchsorted(group.first, at[which], "right") - 1)
+                begin, size, doc, item = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (begin, size, doc, item))
                 total = int(shard.first[-1])
                 step = np.bincount(np.clip(begin, 0, total), minlength=total + 1) - np.bincount(np.clip(begin + size, 0, total), minlength=total + 1)
                 hit = np.concatenate([[False], np.cumsum(step[:-1]) > 0, [False]])
@@ -147,9 +168,9 @@ def _hits(shared, slop: int):
                 hi = edge[1:][hit[1:][edge[:-1]]] if len(edge) > 1 else lo
                 for d, x, y in zip((np.searchsorted(shard.first, lo, "right") - 1).tolist(), lo.tolist(), hi.tolist(), strict=True):
                     hit_at[d].append({"begin": x - int(shard.first[d]), "stop": y - int(shard.first[d])})
-                found: list[set[str]] = [set() for _ in range(docs)]
-                for d, x in zip(doc.tolist(), names, strict=True):
-                    found[d].update(x)
+                found: list[set[str | None]] = [set() for _ in range(docs)]
+                for d, x in np.unique(np.stack([doc, item], 1), axis=0).tolist():
+                    found[d].add(group.names[x])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([row["block_id"]] * docs, pa.int64()),
@@ -161,6 +182,8 @@ def _hits(shared, slop: int):
                     ],
                     ["block_id", "place", "doc_id", "n_words", "spans", "items"],
                 )
+                del shard
+            tidy()
 
     return run
 
@@ -182,16 +205,13 @@ def search(index: DataFrame, items: DataFrame, window: int = 13, slop: int = 0)
     groups = -(-int(size) // GROUP_CHARS) or 1
     parts = []
     for g in range(groups):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == g).select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")), "text").collect()
-        phrases = phrases_of([r[0] for r in own], [r[1] for r in own], window)
-        terms = np.unique(np.concatenate([p.reshape(-1) for p, _ in phrases.values()])) if phrases else np.zeros(0, _U)
-        count = np.zeros(len(terms), np.int64)
-        if len(terms):
-            shared = spark.sparkContext.broadcast(terms)
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == g).select(F.col("item_id").cast("string"), "text").collect()
+        group = Group([r[0] for r in own], [r[1] for r in own])
+        if len(group.terms):
+            shared = spark.sparkContext.broadcast(group.terms)
             for r in index.select("terms", "counts").mapInArrow(_counts(shared), "at long, n long").groupBy("at").agg(F.sum("n")).collect():
-                count[r[0]] = r[1]
-        ready = {n: (p, np.argsort(count[np.searchsorted(terms, p)], axis=1, kind="stable"), names) for n, (p, names) in phrases.items()}
-        parts.append(index.mapInArrow(_hits(spark.sparkContext.broadcast(ready), slop), "block_id long, place int, doc_id long, n_words long, spans array<struct<begin:bigint,stop:bigint>>, items array<string>"))
+                group.count[r[0]] = r[1]
+        parts.append(index.mapInArrow(_hits(spark.sparkContext.broadcast(group), window, slop), "block_id long, place int, doc_id long, n_words long, spans array<struct<begin:bigint,stop:bigint>>, items array<string>"))
     if groups == 1:
         return parts[0].drop("block_id", "place")
     every = parts[0]
