@@ -36,7 +36,7 @@ from .text import NO_ID, documents, mix
 
 SLOTS = 1 << 16
 FIT_ROWS = 20_000
-MOST_LANGUAGES = 200
+MOST_LANGUAGES = 1000
 #: So far below the contrast that all but RARE of the labelled rows have unseen, a text is in none of the languages.
 MARGIN = 8.0
 RARE = 0.001
@@ -147,14 +147,20 @@ def _unseen(shared):
     return run
 
 
-def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
-    """Trigram counts of a sample of ``labelled(doc_id, text, lang)`` of about ``fit_rows`` rows."""
+def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, most_languages: int = MOST_LANGUAGES) -> Model:
+    """Trigram counts of a sample of ``labelled(doc_id, text, lang)`` of about ``fit_rows`` rows.
+
+    All languages of the sample are fitted. The model takes a megabyte of the
+    driver for each, so more than ``most_languages`` are an error, never left out.
+    """
     labelled = labelled.where("lang is not null and text is not null")
     n = labelled.count()
     rate = min(1.0, fit_rows / max(n, 1))
     sample = labelled.where(F.xxhash64("doc_id").cast("double") / 2.0**64 + 0.5 <= rate)
-    languages = sorted(r[0] for r in sample.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect())
-    counts = np.zeros((len(languages), 2, SLOTS + 256))
+    languages = sorted(r[0] for r in sample.select("lang").distinct().limit(most_languages + 1).collect())
+    if len(languages) > most_languages:
+        raise ValueError(f"more than {most_languages} languages in the labelled rows; raise most_languages")
+    counts = np.zeros((len(languages), 2, SLOTS + 256), np.float32)
     rows = sample.select("doc_id", "text", "lang")
     if languages:
         for r in rows.mapInArrow(_count(languages), "language int, half int, slot int, n long").groupBy("language", "half", "slot").agg(F.sum("n").alias("n")).toArrow().to_batches():
