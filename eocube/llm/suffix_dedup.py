@@ -72,6 +72,20 @@ def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (n - width)], x[n - width :]) if n > width else x
 
 
+def leftmost_least(grams: np.ndarray, n: int, most: int = (1 << _PLACE) - 1024) -> np.ndarray:
+    """Place of the least of each ``n`` neighbours by their upper bits, the first of equals; taken in parts, since a place has _PLACE bits."""
+    out = np.empty(len(grams) - n + 1, np.int64)
+    for lo in range(0, len(out), most):
+        part = grams[lo : lo + most + n - 1]
+        key = part >> _U(_PLACE)
+        key <<= _U(_PLACE)
+        key |= np.arange(len(part), dtype=_U)
+        key = sliding_min(key, n)
+        key &= _U((1 << _PLACE) - 1)
+        out[lo : lo + most] = key.astype(np.int64) + lo
+    return out
+
+
 class _Block:
     def __init__(self, ids, buf, offs, length):
         self.ids, self.buf, self.offs, self.length = ids, buf, offs, length
@@ -84,12 +98,7 @@ class _Block:
             self.anchor = self.text = np.zeros(0, _U)
             return
         grams = self.hash.all(half)
-        key = grams >> _U(_PLACE)
-        key <<= _U(_PLACE)
-        key |= np.arange(len(grams), dtype=_U)
-        key = sliding_min(key, length - half + 1)
-        key &= _U((1 << _PLACE) - 1)
-        at = key[pos].astype(np.int64)
+        at = leftmost_least(grams, length - half + 1)[pos]
         new = np.ones(len(pos), bool)
         new[1:] = (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])
         first = np.flatnonzero(new)
