@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import documents
+from .text import documents, tidy
 
 BLOCK_BYTES = 3 << 19
 BLOCK = "block_id long, ids binary, offs binary, body binary"
@@ -66,6 +66,7 @@ def opened(batches: Iterable[pa.RecordBatch]):
         for i in range(b.num_rows):
             row = {name: b.column(name)[i].as_py() for name in b.schema.names}
             yield row, row["block_id"], expand(row["ids"], np.int64), expand(row["body"], np.uint8), expand(row["offs"], np.int64)
+        tidy()
 
 
 def buckets_for(spark) -> int:
@@ -141,6 +142,22 @@ def twice(a: list[np.ndarray], _b) -> list[np.ndarray]:
     return np.split(out, np.cumsum([len(x) for x in a])[:-1])
 
 
+PAIR = np.dtype([("h", "<u8"), ("g", "<u8")])
+
+
+def elsewhere_earlier_pair(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
+    """The same for hashes of 128 bits."""
+    both, k = np.concatenate(a), np.concatenate(b)
+    order = np.lexsort((k, both["g"], both["h"]))
+    h, g, k = both["h"][order], both["g"][order], k[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
+    least = k[np.flatnonzero(new)][np.cumsum(new) - 1]
+    out = np.empty(len(h), bool)
+    out[order] = least < k
+    return np.split(out, np.cumsum([len(x) for x in a])[:-1])
+
+
 def elsewhere_earlier(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
     """Entries (hash, key) for which some block has the same hash with a smaller key."""
     h, k = np.concatenate(a), np.concatenate(b)

@@ -8,12 +8,14 @@ consists of repeated shorter ones, so nothing is lost on the way, and the exact
 last level touches only what survived.
 
 The lower levels exchange 32-bit values in hash buckets; a chance collision
-there only lets a candidate through. The last level compares 64-bit hashes and
-the smallest document id of each.
+there only lets a candidate through. The last level compares hashes of 128 bits
+(two polynomials over different word hashes) and the smallest document id of each.
 
 Defined results: a null text is an empty one; a null id sorts after all others
 and is equal to no smaller one; rows that repeat an id are one document, so they
 never remove each other's words; fewer words than a window: nothing is removed.
+A document is never cut between blocks: a very long one must fit a worker, with
+some sixty bytes for each of its bytes.
 """
 
 from __future__ import annotations
@@ -23,9 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import answer, blocks_of, buckets_for, elsewhere_earlier, flags, lists, opened, squeeze, twice, with_answers
+from .blocks import PAIR, answer, blocks_of, buckets_for, elsewhere_earlier_pair, flags, lists, opened, squeeze, twice, with_answers
 from .scratch import Scratch
-from .text import NO_ID, WHITE, covered, doc_windows, spread, window_hashes, word_hashes, words
+from .text import NO_ID, OTHER_BASE, WHITE, covered, doc_windows, spread, window_hashes, word_hashes, words
 
 _U = np.uint64
 ROWS = "bucket int, block_id long, a binary, b binary"
@@ -55,19 +57,25 @@ class _Block:
             pos, doc = pos[good], doc[good]
         return h[pos], pos, doc
 
-    def distinct(self, h, doc):
-        """Sorted distinct hashes, the smallest and the largest document id of each, and each window's index among them."""
-        order = np.lexsort((self.ids[doc], h))
+    def distinct(self, h, doc, g=None):
+        """Sorted distinct hashes (with ``g``: pairs of hashes), the smallest and the largest document id of each, and each window's index among them."""
+        order = np.lexsort((self.ids[doc], h) if g is None else (self.ids[doc], g, h))
         s, key = h[order], self.ids[doc][order]
         new = np.ones(len(s), bool)
         new[1:] = s[1:] != s[:-1]
+        if g is not None:
+            new[1:] |= g[order][1:] != g[order][:-1]
         at = np.flatnonzero(new)
         back = np.empty(len(s), np.int64)
         back[order] = np.cumsum(new) - 1
         last = np.concatenate([at[1:], [len(s)]]) - 1 if len(at) else at
-        return s[at], key[at], key[last], back
+        found = s[at]
+        if g is not None:
+            found = np.empty(len(at), PAIR)
+            found["h"], found["g"] = s[at], g[order][at]
+        return found, key[at], key[last], back
 
-    def climb(self, levels, answers, n_buckets):
+    def climb(self, levels, answers, n_buckets, exact):
         """Candidates of the last of ``levels``, given the answers to those before."""
         alive = None
         for n, got in zip(levels[:-1], answers, strict=True):
@@ -78,14 +86,17 @@ class _Block:
             alive[pos] = repeated[back]
             self.below = n
         h, pos, doc = self.level(levels[-1], alive)
-        return (*self.distinct(h, doc), pos, doc)
+        g = None
+        if exact:
+            g = window_hashes(word_hashes(self.buf, self.starts, self.ends, OTHER_BASE), levels[-1])[pos]
+        return (*self.distinct(h, doc, g), pos, doc)
 
 
 def _ask(levels, n_buckets, exact):
     def run(batches):
         for row, block, ids, buf, offs in opened(batches):
-            u, lo, *_ = _Block(ids, buf, offs).climb(levels, [row[f"l{n}"] for n in levels[:-1]], n_buckets)
-            cut = lists(u, n_buckets)
+            u, lo, *_ = _Block(ids, buf, offs).climb(levels, [row[f"l{n}"] for n in levels[:-1]], n_buckets, exact)
+            cut = lists(u["h"] if exact else u, n_buckets)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([k for k, _ in cut], pa.int32()),
@@ -118,8 +129,8 @@ def _finish(levels, n_buckets):
     def run(batches):
         for row, _, ids, buf, offs in opened(batches):
             b = _Block(ids, buf, offs)
-            u, lo, _, back, pos, doc = b.climb(levels, [row[f"l{n}"] for n in levels[:-1]], n_buckets)
-            earlier = flags(u, n_buckets, row[f"l{levels[-1]}"])
+            u, lo, _, back, pos, doc = b.climb(levels, [row[f"l{n}"] for n in levels[:-1]], n_buckets, True)
+            earlier = flags(u["h"], n_buckets, row[f"l{levels[-1]}"])
             gone = earlier[back] | (ids[doc] > lo[back])
             dead = covered(len(b.starts), pos[gone], levels[-1])
             text, at = joined_words(buf, b.starts, b.ends, ~dead, b.first)
@@ -146,6 +157,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     for i, n in enumerate(levels):
         exact = i == len(levels) - 1
         asked = blocks.mapInArrow(_ask(levels[: i + 1], n_buckets, exact), ROWS)
-        told = scratch.keep(answer(asked, elsewhere_earlier if exact else twice, (np.uint64, np.int64) if exact else (np.uint32, np.uint8)), f"level{n}")
+        told = scratch.keep(answer(asked, elsewhere_earlier_pair if exact else twice, (PAIR, np.int64) if exact else (np.uint32, np.uint8)), f"level{n}")
         blocks = with_answers(blocks, told, f"l{n}")
     return blocks.mapInArrow(_finish(levels, n_buckets), "doc_id long, text string, n_words long, n_removed long")

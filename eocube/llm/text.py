@@ -7,6 +7,7 @@ bytes of a word modulo 2**64 with random byte values, then mixed.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -19,6 +20,7 @@ _rng = np.random.Generator(np.random.PCG64(20260101))
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _WBASE = 0xD1342543DE82EF95
+OTHER_BASE = 0xC2B2AE3D27D4EB4F
 _U = np.uint64
 
 
@@ -90,6 +92,20 @@ def documents(batches: Iterable[pa.RecordBatch], key: str = "doc_id", text: str
     for batch in batches:
         if batch.num_rows:
             yield from chunks(*columns(batch, key, text), most)
+            tidy()
+
+
+try:
+    _trim = ctypes.CDLL("libc.so.6").malloc_trim
+except (OSError, AttributeError):  # another C library: nothing to ask for
+    _trim = None
+
+
+def tidy() -> None:
+    """Give freed memory back: workers live on, and what one task kept would count against the next."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
 
 
 def words(buf: np.ndarray, offs: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,8 +125,8 @@ def words(buf: np.ndarray, offs: np.ndarray, is_word: np.ndarray) -> tuple[np.nd
     return starts, ends, np.searchsorted(starts, offs)
 
 
-def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    p, q = powers(_BASE, len(buf) + 1)
+def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASE) -> np.ndarray:
+    p, q = powers(base, len(buf) + 1)
     h = np.zeros(len(buf) + 1, _U)
     np.cumsum(_BYTE[buf] * p[: len(buf)], out=h[1:])
     return mix((h[ends] - h[starts]) * q[starts] + _U(0x1234567))
