@@ -6,6 +6,7 @@ executor that is lost takes no intermediate result with it.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -17,22 +18,25 @@ _open: dict[str, list["Scratch"]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; one of our own only where that is unset (tests, local mode)."""
+    """The folder of ``spark.checkpoint.dir``; one of our own only where that is unset and all is one machine (tests, local mode)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="eocube-scratch-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
 #: Rows that a Python worker gets at once; documents may be long, and several copies of a batch live at a time.
+SCAN_ROWS = "spark.sql.parquet.columnarReaderBatchSize"
 BATCH_ROWS, BATCH_BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 @contextmanager
 def careful(spark: SparkSession):
     """Shuffle files go as soon as the job that wrote them has ended, and Python workers get small batches."""
-    new = {SHUFFLE_CLEANUP: "true", BATCH_ROWS: "1000", BATCH_BYTES: "8m"}
+    new = {SHUFFLE_CLEANUP: "true", BATCH_ROWS: "1000", BATCH_BYTES: "8m", SCAN_ROWS: "512"}
     before = {k: spark.conf.get(k, None) for k in new}
     for k, v in new.items():
         spark.conf.set(k, v)
@@ -48,8 +52,8 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str, owner: str = ""):
         self.spark, self.path = spark, f"{shared_dir(spark)}/eocube/{name}-{uuid.uuid4().hex[:12]}"
-        if owner:
-            _open.setdefault(owner, []).append(self)
+        # tables of a result that is still read lazily can't go before the session does
+        _open.setdefault(owner or "session", []).append(self)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and read it again: the plan so far is run once and forgotten."""
@@ -69,3 +73,13 @@ def release(owner: str) -> None:
     """Remove what ``owner`` has open: for owners that store each result before they go on."""
     for s in _open.pop(owner, ()):
         s.drop()
+
+
+@atexit.register
+def _release_all() -> None:
+    for owner in list(_open):
+        for s in _open.pop(owner):
+            try:
+                s.drop()
+            except Exception:  # noqa: BLE001 - the session has ended already
+                return
