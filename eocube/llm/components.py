@@ -33,15 +33,21 @@ class Forest:
         return True
 
 
-def _contract(batches):
-    """The links of one partition as stars: at most one row per id in it."""
+def _contract(batches, most: int = 200_000):
+    """Links as stars, those of ``most`` ids or so at a time: at most one row per id and time."""
+
+    def stars(forest):
+        nodes = [x for x in forest.up if forest.root(x) != x]
+        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([forest.root(x) for x in nodes], pa.int64())], ["u", "v"])
+
     forest = Forest()
     for b in batches:
         for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             forest.join(u, v)
-    nodes = [x for x in forest.up if forest.root(x) != x]
-    if nodes:
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([forest.root(x) for x in nodes], pa.int64())], ["u", "v"])
+        if len(forest.up) > most:
+            yield stars(forest)
+            forest = Forest()
+    yield stars(forest)
 
 
 def components(links: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:

@@ -6,7 +6,10 @@ order; documents that share a path prefix form a node. A small node is compared
 exhaustively. In a large one every member is compared with the node's leader,
 and the node branches by the next token. With similarity s, two documents share
 a path of length d with probability s**d, so the number of trees follows from
-the target recall.
+the target recall and from the depth at which nodes are small. That depth comes
+from the data: a document whose nodes are still large at EXPECTED_DEPTH (it
+shares much with very many others, boilerplate for instance) gets as many more
+trees as its own depth asks for.
 
 All nodes of all trees are read off one global sort by (tree, path, salt): equal
 prefixes are neighbours, a node of any size is cut evenly between partitions,
@@ -21,7 +24,11 @@ second time, with their full sets, in nodes of a few more trees: there all that
 aren't in the node's largest component are compared with all others, and what is
 linked by then is left alone. A node is cut into pieces, and all pairs of pieces
 meet but those within the largest component, so a node of any size is compared
-as a whole, PIECE rows at a time.
+as a whole, PIECE rows or PIECE_BYTES of their sets at a time.
+
+Memory: a worker holds a megabyte of text (a longer document: that one, about
+forty bytes for each of its bytes), NODE_ROWS paths, or two pieces. A pair's
+texts are shipped together; only candidates are, and they are about equally long.
 
 Defined results: a null text is an empty one; a document without words has no
 shingles and no link; a row whose id is null takes no part (component null, kept);
@@ -41,12 +48,13 @@ from pyspark.sql import functions as F
 from .components import Forest, components
 from .scratch import Scratch
 from .sieve import sieve
-from .text import LOWER, NO_ID, WHITE, documents, mix, spread, window_hashes, word_hashes, words
+from .text import LOWER, NO_ID, WHITE, documents, mix, spread, tidy, window_hashes, word_hashes, words
 
 TOKENS = 128
 DEPTH = 12
 SMALL = 16
-PIECE = 1024
+PIECE, PIECE_BYTES = 1024, 4 << 20
+NODE_ROWS = 1 << 17
 AGAIN = 10
 COLUMNS = 2048
 EXPECTED_DEPTH = 3
@@ -118,23 +126,27 @@ def sketch(sig: np.ndarray) -> np.ndarray:
     return np.concatenate([np.packbits((sig >> np.uint32(k)) & np.uint32(1) != 0, axis=1) for k in (0, 1)], axis=1)
 
 
-def _paths(trees: int):
-    orders = np.stack([np.random.Generator(np.random.PCG64(1000 + t)).permutation(TOKENS)[:DEPTH] for t in range(trees)])
+def _paths(first: int, most: int):
+    """Paths in the trees from number ``first`` on: as many trees as each row says, ``most`` of them at most."""
+    orders = [np.random.Generator(np.random.PCG64(1000 + t)).permutation(TOKENS)[:DEPTH] for t in range(most)]
 
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
             ids = b.column("doc_id").to_numpy(zero_copy_only=False)
-            sig = np.frombuffer(b"".join(b.column("signature").to_pylist()), np.uint32).reshape(-1, TOKENS)
-            sk = sketch(sig)
-            n = len(ids)
-            packed = pa.array([x.tobytes() for x in sk], pa.binary())
-            for t in range(trees):
-                path = np.ascontiguousarray(sig[:, orders[t]]).astype(">u4").view(np.uint8).reshape(n, DEPTH * 4)
-                salt = mix(ids.astype(_U) ^ _U(t * 7919 + 1)).astype(">u8").view(np.uint8).reshape(n, 8)
+            every = np.frombuffer(b"".join(b.column("signature").to_pylist()), np.uint32).reshape(-1, TOKENS)
+            trees = b.column("trees").to_numpy(zero_copy_only=False)
+            packed = pa.array([x.tobytes() for x in sketch(every)], pa.binary())
+            for t in range(first, most):
+                some = np.flatnonzero(trees > t)
+                n = len(some)
+                if not n:
+                    continue
+                path = np.ascontiguousarray(every[some][:, orders[t]]).astype(">u4").view(np.uint8).reshape(n, DEPTH * 4)
+                salt = mix(ids[some].astype(_U) ^ _U(t * 7919 + 1)).astype(">u8").view(np.uint8).reshape(n, 8)
                 keys = np.concatenate([np.full((n, 1), t, np.uint8), path, salt], axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in keys], pa.binary()), pa.array(ids, pa.int64()), packed], ["k", "doc_id", "sketch"])
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in keys], pa.binary()), pa.array(ids[some], pa.int64()), packed.take(pa.array(some))], ["k", "doc_id", "sketch"])
 
     return run
 
@@ -156,14 +168,19 @@ def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return TOKENS - _POP[x[..., :half] | x[..., half:]].sum(axis=-1, dtype=np.int32)
 
 
-def _nodes(least: int):
+def _nodes(least: int, most: int):
     def search(key, ids, sk):
-        """Candidates among sorted rows; a document with itself: it is in a large node and resembles its leader."""
+        """Rows (u, v, depth) of sorted paths: candidates (depth 0), and documents with themselves.
+
+        A document with itself at depth 0 is in a large node and resembles its
+        leader; at another depth it says how deep its node was before it was small.
+        """
         n, out = len(ids), []
         rank = mix(ids.astype(_U))  # one order for all nodes, so the same documents lead again and again
         tokens = key[:, 1 : 1 + 4 * DEPTH].reshape(n, DEPTH, 4).copy().view(np.uint32)[:, :, 0]
         tree = key[:, 0]
         same = np.zeros(n, np.int32)  # tokens shared with the row before
+        depths = np.zeros(n, np.int8)
         if n > 1:
             eq = tokens[1:] == tokens[:-1]
             same[1:] = np.where(tree[1:] == tree[:-1], np.where(eq.all(1), DEPTH, eq.argmin(1)), 0)
@@ -174,11 +191,13 @@ def _nodes(least: int):
             wide = np.flatnonzero(np.diff(edges) > 1)
             return [(int(edges[i]), int(edges[i + 1]), depth) for i in wide]
 
+        def found(u, v, depth=0):
+            out.append(np.stack([np.minimum(u, v), np.maximum(u, v), np.broadcast_to(depth, len(u))], 1))
+
         def all_pairs(lo, hi):
             i, j = np.triu_indices(hi - lo, 1)
             good = _alike(sk[lo + i], sk[lo + j]) >= least
-            if good.any():
-                out.append(np.stack([ids[lo + i[good]], ids[lo + j[good]]], 1))
+            found(ids[lo + i[good]], ids[lo + j[good]])
 
         todo = runs(0, n, 1)
         while todo:
@@ -186,37 +205,47 @@ def _nodes(least: int):
             if hi - lo <= SMALL:
                 all_pairs(lo, hi)
                 continue
+            depths[lo:hi] = depth + 1
             lead = lo + int(np.argmin(rank[lo:hi]))
             alike = _alike(sk[lo:hi], sk[lead])
             near = np.flatnonzero(alike >= RESEMBLE) + lo
             if len(near) > SMALL:
-                out.append(np.stack([ids[near], ids[near]], 1))
+                found(ids[near], ids[near])
             good = np.flatnonzero(alike >= least) + lo
             good = good[good != lead]
-            if len(good):
-                out.append(np.stack([np.full(len(good), ids[lead]), ids[good]], 1))
+            found(np.full(len(good), ids[lead]), ids[good])
             if depth < DEPTH:
                 todo += runs(lo, hi, depth + 1)
             else:  # alike in every token of the path: blocks in the salt's order
                 for a in range(lo, hi, SMALL):
                     all_pairs(a, min(hi, a + SMALL))
-        if not out:
-            return np.zeros((0, 2), np.int64)
-        got = np.concatenate(out)
-        got = np.stack([got.min(1), got.max(1)], 1)
-        return np.unique(got, axis=0)
+        deep = np.flatnonzero(depths > EXPECTED_DEPTH)
+        found(ids[deep], ids[deep], depths[deep])
+        return np.unique(np.concatenate(out), axis=0)
 
     def run(batches):
-        keys, ids, sks = [], [], []
+        held: list[tuple] = []
+
+        def flush(last: bool):
+            """Search what is held, but for the last node, which may go on in the next batch if it isn't too large."""
+            nonlocal held
+            key, ids, sk = (np.concatenate(x) for x in zip(*held, strict=True))
+            stop = len(ids)
+            if not last:
+                other = np.flatnonzero((key[:, :5] != key[-1, :5]).any(1))
+                stop = int(other[-1]) + 1 if len(other) else stop
+            held = [(key[stop:], ids[stop:], sk[stop:])] if stop < len(ids) else []
+            got = search(key[:stop], ids[:stop], sk[:stop])
+            tidy()
+            return pa.RecordBatch.from_arrays([pa.array(got[:, 0], pa.int64()), pa.array(got[:, 1], pa.int64()), pa.array(got[:, 2], pa.int32())], ["u", "v", "depth"])
+
         for b in batches:
             if b.num_rows:
-                keys.append(np.frombuffer(b"".join(b.column("k").to_pylist()), np.uint8).reshape(b.num_rows, -1))
-                ids.append(b.column("doc_id").to_numpy(zero_copy_only=False))
-                sks.append(np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint8).reshape(b.num_rows, -1))
-        if ids:
-            ids = np.concatenate(ids)
-            got = search(np.concatenate(keys), ids, np.concatenate(sks))
-            yield pa.RecordBatch.from_arrays([pa.array(got[:, 0], pa.int64()), pa.array(got[:, 1], pa.int64())], ["u", "v"])
+                held.append((np.frombuffer(b"".join(b.column("k").to_pylist()), np.uint8).reshape(b.num_rows, -1), b.column("doc_id").to_numpy(zero_copy_only=False), np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint8).reshape(b.num_rows, -1)))
+                if sum(len(x[1]) for x in held) >= most:
+                    yield flush(False)
+        if held:
+            yield flush(True)
 
     return run
 
@@ -235,6 +264,7 @@ def _confirm(size: int, percent: int):
                     keep.append(i)
             if keep:
                 yield b.select(["u", "v"]).take(pa.array(keep))
+            tidy()
 
     return run
 
@@ -262,6 +292,8 @@ def _fringe(percent: int):
         ids, comp = (table.column(c).to_numpy() for c in ("doc_id", "comp"))
         sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
         links = fringe_links(ids, comp, sets, percent)
+        del sets
+        tidy()
         return pa.table({"u": pa.array([x for x, _ in links], pa.int64()), "v": pa.array([y for _, y in links], pa.int64())})
 
     return run
@@ -307,18 +339,21 @@ def fringe_links(ids: np.ndarray, comp: np.ndarray, sets: list[np.ndarray], perc
 
 
 def _meetings(nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """Rows of ``nodes(tree, token, comp, ...)`` by the pieces (a, b) in which they meet.
+    """Rows of ``nodes(tree, token, comp, shingles, ...)`` by the pieces (a, b) in which they meet.
 
-    A node of more than PIECE rows is cut into pieces of half of that, those of
-    its largest component apart from the others. Every piece of the others meets
-    every piece of the node, so no link between two components falls between pieces.
+    A node of more than PIECE rows or PIECE_BYTES is cut into pieces of half of
+    that, those of its largest component apart from the others. Every piece of
+    the others meets every piece of the node, so no link between two components
+    falls between pieces.
     """
-    sizes = nodes.groupBy("tree", "token", "comp").agg(F.count("*").alias("n"))
-    cut = sizes.groupBy("tree", "token").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("total")).where("total > most")
-    whole, half = F.col("total") <= PIECE, PIECE // 2
-    cut = cut.withColumn("loose", F.when(whole, 1).otherwise(F.ceil((F.col("total") - F.col("most")) / half)))
-    cut = cut.withColumn("pieces", F.when(whole, 1).otherwise(F.col("loose") + F.ceil(F.col("most") / half)))
-    cut = scratch.keep(cut, "cut")  # stored, so that the join below can split a node that is far larger than others
+    sizes = nodes.groupBy("tree", "token", "comp").agg(F.count("*").alias("n"), F.sum(F.length("shingles")).alias("bytes"))
+    cut = sizes.groupBy("tree", "token").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.max(F.struct("n", "comp", "bytes")).alias("most"), F.sum("n").alias("total"), F.sum("bytes").alias("bytes"))
+    cut = cut.where("total > most.n").withColumns({"own": F.col("most.n"), "own_bytes": F.col("most.bytes")}).drop("most")
+    whole = (F.col("total") <= PIECE) & (F.col("bytes") <= PIECE_BYTES)
+    pieces = lambda n, size: F.ceil(F.greatest(n / (PIECE // 2), size / (PIECE_BYTES // 2)))
+    cut = cut.withColumn("loose", F.when(whole, 1).otherwise(pieces(F.col("total") - F.col("own"), F.col("bytes") - F.col("own_bytes"))))
+    cut = cut.withColumn("pieces", F.when(whole, 1).otherwise(F.col("loose") + pieces(F.col("own"), F.col("own_bytes"))))
+    cut = scratch.keep(cut.drop("own", "own_bytes", "bytes"), "cut")  # stored, so that the join below can split a node that is far larger than others
     dealt = F.xxhash64("doc_id", "tree")
     settled = (F.col("comp") == F.col("main")) & (F.col("pieces") > 1)
     nodes = nodes.join(cut, ["tree", "token"]).withColumn("piece", F.when(settled, F.col("loose") + F.pmod(dealt, F.col("pieces") - F.col("loose"))).otherwise(F.pmod(dealt, F.col("loose"))))
@@ -344,16 +379,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = scratch.keep(src.mapInArrow(_sign(shingle), "doc_id long, n_shingles long, set_key binary, signature binary"), "signed")
     known = signed.where((F.col("doc_id") != int(NO_ID)) & F.col("set_key").isNotNull())
     classes = scratch.keep(known.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "classes")
-    paths = classes.select(F.col("rep").alias("doc_id"), "signature").mapInArrow(_paths(trees_for(recall, percent / 100)), "k binary, doc_id long, sketch binary")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    paths = scratch.keep(paths.repartitionByRange(parts, "k").sortWithinPartitions("k").mapInArrow(_nodes(_floor(percent / 100)), "u long, v long"), "found")
-    pairs = scratch.keep(paths.where("u <> v").distinct(), "pairs")
+    number = [trees_for(recall, percent / 100, d) for d in range(EXPECTED_DEPTH, DEPTH + 1)]
+
+    def grown(rows: DataFrame, first: int, most: int, name: str) -> DataFrame:
+        paths = rows.mapInArrow(_paths(first, most), "k binary, doc_id long, sketch binary")
+        return scratch.keep(paths.repartitionByRange(parts, "k").sortWithinPartitions("k").mapInArrow(_nodes(_floor(percent / 100), NODE_ROWS), "u long, v long, depth int"), name)
+
+    paths = grown(classes.select(F.col("rep").alias("doc_id"), "signature", F.lit(number[0]).alias("trees")), 0, number[0], "found")
+    # the mean depth over all trees; those that weren't deep in a tree have no row for it
+    deep = paths.where("depth > 0").groupBy(F.col("u").alias("rep")).agg(F.sum(F.col("depth") - EXPECTED_DEPTH).alias("more"))
+    deep = deep.withColumn("more", F.least(F.round(F.col("more") / number[0]), F.lit(DEPTH - EXPECTED_DEPTH)).cast("int")).where("more > 0")
+    alike = paths.where("u = v and depth = 0").select(F.col("u").alias("rep")).distinct()  # these meet again anyway
+    deep = scratch.keep(deep.join(alike, "rep", "left_anti"), "deep")
+    if deep.limit(1).count():
+        rows = sieve(classes, deep, "rep").join(deep, "rep").select(F.col("rep").alias("doc_id"), "signature", F.element_at(F.array(*map(F.lit, number)), F.col("more") + 1).alias("trees"))
+        paths = paths.unionByName(grown(rows, number[0], number[-1], "found_deep"))
+    pairs = scratch.keep(paths.where("u <> v").select("u", "v").distinct(), "pairs")
     ends = scratch.keep(pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct(), "ends")
     texts = scratch.keep(sieve(src, ends, "doc_id").join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
     with_u = pairs.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("tu")), "u")
     full = with_u.join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("tv")), "v")
     links = scratch.keep(full.select("u", "v", "tu", "tv").mapInArrow(_confirm(shingle, percent), "u long, v long"), "links")
-    again = scratch.keep(paths.where("u = v").select(F.col("u").alias("doc_id")).distinct(), "again")
+    again = scratch.keep(paths.where("u = v and depth = 0").select(F.col("u").alias("doc_id")).distinct(), "again")
     if again.limit(1).count():
         tied = components(links, scratch, "first").withColumnRenamed("node", "doc_id")
         marked = again.join(tied, "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("comp"))

@@ -108,3 +108,61 @@ def test_empty_table(spark, empty):
 
 def test_trees_reach_the_recall():
     assert N.trees_for(0.9998, 0.8) == 12 and (1 - 0.8**3) ** 12 <= 0.0002
+
+
+def links(sets, percent=80):
+    """All linked pairs: shingles that many have as a product of matrices, the others by lists of who has them."""
+    has = {}
+    for i, x in enumerate(sets):
+        for t in x:
+            has.setdefault(t, []).append(i)
+    often = [t for t, x in has.items() if len(x) > 50]
+    m = np.zeros((len(sets), len(often)), np.float32)
+    for k, t in enumerate(often):
+        m[has[t], k] = 1
+    both, size = m @ m.T, np.array([len(x) for x in sets])
+    for x in has.values():
+        if 1 < len(x) <= 50:
+            i = np.array(x)
+            both[i[:, None], i[None, :]] += 1
+    u, v = np.nonzero(np.triu(100 * both >= percent * (size[:, None] + size[None, :] - both), 1))
+    return u, v, both[u, v] / (size[u] + size[v] - both[u, v])
+
+
+def recall(spark, rows, k):
+    """Share of the links of brute force whose ends share a component; also that of those of 0.80 to 0.85."""
+    got = {r.doc_id: r.component_id for r in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=k).collect()}
+    u, v, s = links([shingles(t, k) for _, t in rows])
+    same = np.array([got[a] == got[b] for a, b in zip(u.tolist(), v.tolist(), strict=True)])
+    want = N.Forest()
+    for a, b in zip(u.tolist(), v.tolist(), strict=True):
+        want.join(a, b)
+    assert all(want.root(i) == want.root(c) for i, c in got.items())  # nothing is tied that brute force doesn't tie
+    return same.mean(), same[s < 0.85].mean(), (s < 0.85).sum()
+
+
+def test_recall_in_a_very_large_group(spark):
+    """5,200 near copies, each with other edits: far more than a piece of a node; most links are between 0.80 and 0.85."""
+    rnd = random.Random(21)
+    word = lambda: "".join(rnd.choice(string.ascii_lowercase) for _ in range(6))
+    base, rows = [word() for _ in range(90)], []
+    for i in range(5200):
+        w = list(base)
+        for _ in range(rnd.randrange(1, 5)):
+            w[rnd.randrange(90)] = word()
+        rows.append((i, " ".join(w)))
+    every, low, n = recall(spark, rows, 4)
+    assert n > 100_000 and every >= 0.999 and low >= 0.99
+
+
+@pytest.mark.parametrize("common", [40, 70])
+def test_recall_in_boilerplate(spark, common):
+    """Pairs of 0.80 to 0.85 in 4,000 documents that share a large part of their words with all others: nodes are deep."""
+    rnd = random.Random(common)
+    word = lambda: "".join(rnd.choice(string.ascii_lowercase) for _ in range(8))
+    line, rows = [word() for _ in range(common)], []
+    for i in range(0, 4000, 2):
+        own = [word() for _ in range(88 - common)]
+        rows += [(k, " ".join(line + own + [word() for _ in range(rnd.choice((8, 10, 11)))])) for k in (i, i + 1)]
+    every, low, n = recall(spark, rows, 1)
+    assert n > 1000 and every >= 0.99 and low >= 0.99
