@@ -32,6 +32,13 @@ def needs_origin(freq: str) -> bool:
     return unit in ANCHORED and not (n == 1 and unit == "D") or unit not in ANCHORED and n > 1
 
 
+def step_of(freq: str) -> str | None:
+    """The length of a period shorter than a day, as Spark writes intervals; None where periods are days or more."""
+    n, unit, _ = parse(freq)
+    names = {"H": "hours", "T": "minutes", "MIN": "minutes", "S": "seconds"}
+    return f"{n} {names[unit]}" if unit in names else None
+
+
 def bucket(time: Column, freq: str, origin: Column | None = None) -> Column:
     """The label of the bucket that ``time`` is in; ``origin`` is the first time of the data where buckets are counted from it."""
     n, unit, day = parse(freq)

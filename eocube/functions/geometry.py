@@ -11,6 +11,7 @@ import json
 import math
 import re
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,9 +112,17 @@ def box(xmin: float, ymin: float, xmax: float, ymax: float, **attrs) -> Geometry
     return Geometry("Polygon", (((xmin, ymin), (xmax, ymin), (xmax, ymax), (xmin, ymax)),), attrs)
 
 
+@dataclass(frozen=True)
+class Union(Geometry):
+    """Several geometries as one: its inside is that of any part, so parts may overlap."""
+
+    parts: tuple[Geometry, ...] = ()
+
+
 def dissolve(parts: list[Geometry]) -> Geometry:
-    """All rings as one geometry; its inside is where the parts are, if they don't overlap."""
-    return Geometry("MultiPolygon", tuple(r for p in parts for r in p.rings))
+    if len(parts) == 1:
+        return parts[0]
+    return Union("MultiPolygon", tuple(r for p in parts for r in p.rings), parts=tuple(parts))
 
 
 def total_bounds(parts: list[Geometry]) -> tuple[float, float, float, float]:
@@ -131,12 +140,13 @@ def epsg(crs: str | int) -> int:
     return int(m[1])
 
 
-def to_mercator(lon: float, lat: float) -> tuple[float, float]:
-    return math.radians(lon) * RADIUS, RADIUS * math.log(math.tan(math.pi / 4 + math.radians(lat) / 2))
+def to_mercator(lon, lat, m=math):
+    """Numbers with the module ``math``, columns with Spark's functions; so in all of these."""
+    return m.radians(lon) * RADIUS, m.log(m.tan(m.radians(lat) / 2 + math.pi / 4)) * RADIUS
 
 
-def from_mercator(x: float, y: float) -> tuple[float, float]:
-    return math.degrees(x / RADIUS), math.degrees(2 * math.atan(math.exp(y / RADIUS)) - math.pi / 2)
+def from_mercator(x, y, m=math):
+    return m.degrees(x / RADIUS), m.degrees(m.atan(m.exp(y / RADIUS)) * 2 - math.pi / 2)
 
 
 def _krueger():
@@ -149,53 +159,59 @@ def _krueger():
     return n, a, alpha, beta, delta
 
 
-def to_utm(lon: float, lat: float, zone: int, south: bool = False) -> tuple[float, float]:
+def to_utm(lon, lat, zone: int, south: bool = False, m=math):
     """Krueger's series to third order: millimetres within a zone."""
     n, a, alpha, _, _ = _krueger()
     s = 2 * math.sqrt(n) / (1 + n)
-    phi, lam = math.radians(lat), math.radians(lon - (6 * zone - 183))
-    t = math.sinh(math.atanh(math.sin(phi)) - s * math.atanh(s * math.sin(phi)))
-    xi, eta = math.atan2(t, math.cos(lam)), math.atanh(math.sin(lam) / math.sqrt(1 + t * t))
-    east = eta + sum(k * math.cos(2 * (j + 1) * xi) * math.sinh(2 * (j + 1) * eta) for j, k in enumerate(alpha))
-    north = xi + sum(k * math.sin(2 * (j + 1) * xi) * math.cosh(2 * (j + 1) * eta) for j, k in enumerate(alpha))
-    return 500000 + 0.9996 * a * east, 0.9996 * a * north + (1e7 if south else 0)
+    phi, lam = m.radians(lat), m.radians(lon - (6 * zone - 183))
+    t = m.sinh(m.atanh(m.sin(phi)) - m.atanh(m.sin(phi) * s) * s)
+    xi, eta = m.atan2(t, m.cos(lam)), m.atanh(m.sin(lam) / m.sqrt(t * t + 1))
+    east = eta + sum(m.cos(xi * (2 * j + 2)) * m.sinh(eta * (2 * j + 2)) * k for j, k in enumerate(alpha))
+    north = xi + sum(m.sin(xi * (2 * j + 2)) * m.cosh(eta * (2 * j + 2)) * k for j, k in enumerate(alpha))
+    return east * (0.9996 * a) + 500000, north * (0.9996 * a) + (1e7 if south else 0)
 
 
-def from_utm(x: float, y: float, zone: int, south: bool = False) -> tuple[float, float]:
+def from_utm(x, y, zone: int, south: bool = False, m=math):
     _, a, _, beta, delta = _krueger()
     xi, eta = (y - (1e7 if south else 0)) / (0.9996 * a), (x - 500000) / (0.9996 * a)
-    u = xi - sum(k * math.sin(2 * (j + 1) * xi) * math.cosh(2 * (j + 1) * eta) for j, k in enumerate(beta))
-    v = eta - sum(k * math.cos(2 * (j + 1) * xi) * math.sinh(2 * (j + 1) * eta) for j, k in enumerate(beta))
-    chi = math.asin(math.sin(u) / math.cosh(v))
-    lat = chi + sum(k * math.sin(2 * (j + 1) * chi) for j, k in enumerate(delta))
-    return 6 * zone - 183 + math.degrees(math.atan2(math.sinh(v), math.cos(u))), math.degrees(lat)
-
+    u = xi - sum(m.sin(xi * (2 * j + 2)) * m.cosh(eta * (2 * j + 2)) * k for j, k in enumerate(beta))
+    v = eta - sum(m.cos(xi * (2 * j + 2)) * m.sinh(eta * (2 * j + 2)) * k for j, k in enumerate(beta))
+    chi = m.asin(m.sin(u) / m.cosh(v))
+    lat = chi + sum(m.sin(chi * (2 * j + 2)) * k for j, k in enumerate(delta))
+    return m.degrees(m.atan2(m.sinh(v), m.cos(u))) + (6 * zone - 183), m.degrees(lat)
 
-def reproject(g: Geometry, crs: str | int) -> Geometry:
-    """Between EPSG:4326, EPSG:3857 and the UTM zones (326zz north, 327zz south)."""
-    source, target = epsg(g.crs), epsg(crs)
 
-    def geographic(p):
-        if source == 4326:
-            return p
-        if source == 3857:
-            return from_mercator(*p)
-        if source // 100 in (326, 327):
-            return from_utm(*p, source % 100, source // 100 == 327)
+def transform_point(x, y, source: int, target: int, m=math):
+    """A point between EPSG:4326, EPSG:3857 and the UTM zones (326zz north, 327zz south)."""
+    if source == target:
+        return x, y
+    if source == 3857:
+        x, y = from_mercator(x, y, m)
+    elif source // 100 in (326, 327):
+        x, y = from_utm(x, y, source % 100, source // 100 == 327, m)
+    elif source != 4326:
         raise ValueError(f"EPSG:{source} is not supported")
-
-    def projected(p):
-        if target == 4326:
-            return p
-        if target == 3857:
-            return to_mercator(*p)
-        if target // 100 in (326, 327):
-            return to_utm(*p, target % 100, target // 100 == 327)
+    if target == 3857:
+        return to_mercator(x, y, m)
+    if target // 100 in (326, 327):
+        return to_utm(x, y, target % 100, target // 100 == 327, m)
+    if target != 4326:
         raise ValueError(f"EPSG:{target} is not supported")
+    return x, y
 
+
+def reproject(g: Geometry, crs: str | int) -> Geometry:
+    source, target = epsg(g.crs), epsg(crs)
     if source == target:
         return g
-    return Geometry(g.kind, tuple(tuple(projected(geographic(p)) for p in r) for r in g.rings), g.attrs, f"EPSG:{target}")
+    return Geometry(g.kind, tuple(tuple(transform_point(*p, source, target) for p in r) for r in g.rings), g.attrs, f"EPSG:{target}")
+
+
+def utm_of(g: Geometry) -> int:
+    """The UTM zone of a geographic geometry's middle, as an EPSG code: metres for what is counted in metres."""
+    b = g.bbox
+    zone = min(60, int((b[0] + b[2]) / 2 + 180) // 6 + 1)
+    return (32600 if b[1] + b[3] >= 0 else 32700) + zone
 
 
 # -- columns ------------------------------------------------------------------------------
@@ -240,9 +256,14 @@ def in_box(x: Column, y: Column, b: tuple[float, float, float, float]) -> Column
     return x.between(b[0], b[2]) & y.between(b[1], b[3])
 
 
+def _any(g: Geometry, test) -> Column:
+    """A test of each part of a geometry, or-ed."""
+    return reduce(lambda a, b: a | b, (test(p) for p in (g.parts if isinstance(g, Union) else [g])))
+
+
 def contains(g: Geometry, x: Column, y: Column, down: bool = False) -> Column:
     """Bounding box first, which reaches the scan, then the exact test."""
-    return in_box(x, y, g.bbox) & inside(x, y, _edges(g), down)
+    return in_box(x, y, g.bbox) & _any(g, lambda p: inside(x, y, _edges(p), down))
 
 
 def distance_to(g: Geometry, x: Column, y: Column) -> Column:
@@ -260,7 +281,60 @@ def within_buffer(g: Geometry, x: Column, y: Column, distance: float, down: bool
     """Inside the geometry grown by ``distance``."""
     b = g.bbox
     grown = (b[0] - distance, b[1] - distance, b[2] + distance, b[3] + distance)
-    return in_box(x, y, grown) & (inside(x, y, _edges(g), down) | (distance_to(g, x, y) <= distance))
+    return in_box(x, y, grown) & (_any(g, lambda p: inside(x, y, _edges(p), down)) | (distance_to(g, x, y) <= distance))
+
+
+def within_metres(g: Geometry, x: Column, y: Column, metres: float) -> Column:
+    """Inside a geographic geometry grown by metres: distances are those of its UTM zone, pixels are projected as columns."""
+    code = utm_of(g)
+    east, north = transform_point(x, y, 4326, code, F)
+    return within_buffer(reproject(g, code), east, north, metres)
+
+
+def _paths(g: Geometry) -> list[list[tuple]]:
+    """Pieces of a geometry's outline; lines aren't closed, a point is an edge without length."""
+    closed = g.kind in ("Polygon", "MultiPolygon")
+    if g.kind in ("Point", "MultiPoint"):
+        return [[(*p, *p)] for r in g.rings for p in r]
+    return [[(*a, *b) for a, b in zip(r, r[1:] + (r[:1] if closed else ()), strict=False) if a != b] for r in g.rings]
+
+
+def item_edges(geometry: Column | None, bbox: Column) -> Column:
+    """The outline of an item: that of its GeoJSON polygon or multipolygon, else of its bbox."""
+    flat = lambda c: F.transform(c, lambda r: F.transform(F.sequence(F.lit(0), F.size(r) - 2), lambda i: F.struct(r[i][0].alias("x1"), r[i][1].alias("y1"), r[i + 1][0].alias("x2"), r[i + 1][1].alias("y2"))))
+    right = F.when(F.size(bbox) == 6, F.element_at(bbox, 4)).otherwise(F.element_at(bbox, 3))
+    top = F.when(F.size(bbox) == 6, F.element_at(bbox, 5)).otherwise(F.element_at(bbox, 4))
+    left, low = F.element_at(bbox, 1), F.element_at(bbox, 2)
+    ring = F.array(*[F.array(a, b) for a, b in ((left, low), (right, low), (right, top), (left, top), (left, low))])
+    box_ = F.flatten(flat(F.array(ring)))
+    if geometry is None:
+        return box_
+    kind, coords = F.get_json_object(geometry, "$.type"), F.get_json_object(geometry, "$.coordinates")
+    one = F.from_json(coords, "array<array<array<double>>>")
+    many = F.flatten(F.from_json(coords, "array<array<array<array<double>>>>"))
+    return F.coalesce(F.when(kind == "Polygon", F.flatten(flat(one))).when(kind == "MultiPolygon", F.flatten(flat(many))), box_)
+
+
+def _side(a, b, c, d, x, y):
+    return (c - a) * (y - b) - (d - b) * (x - a)
+
+
+def edges_meet(edges: Column, g: Geometry) -> Column:
+    """Does an outline (array of edges) meet a geometry: do edges cross or touch, or lies one within the other?"""
+    own = [e for path in _paths(g) for e in path]
+    literal = F.array(*[F.struct(*[F.lit(float(v)).alias(n) for n, v in zip(("x1", "y1", "x2", "y2"), e, strict=True)]) for e in own])
+
+    def cross(e, f):
+        near = (F.greatest(e["x1"], e["x2"]) >= F.least(f["x1"], f["x2"])) & (F.greatest(f["x1"], f["x2"]) >= F.least(e["x1"], e["x2"])) & (F.greatest(e["y1"], e["y2"]) >= F.least(f["y1"], f["y2"])) & (F.greatest(f["y1"], f["y2"]) >= F.least(e["y1"], e["y2"]))
+        s = [_side(e["x1"], e["y1"], e["x2"], e["y2"], f[p], f[q]) for p, q in (("x1", "y1"), ("x2", "y2"))]
+        t = [_side(f["x1"], f["y1"], f["x2"], f["y2"], e[p], e[q]) for p, q in (("x1", "y1"), ("x2", "y2"))]
+        return near & (F.signum(s[0]) * F.signum(s[1]) <= 0) & (F.signum(t[0]) * F.signum(t[1]) <= 0)
+
+    out = F.exists(edges, lambda e: F.exists(literal, lambda f: cross(e, f)))
+    if g.kind in ("Polygon", "MultiPolygon"):
+        out = out | F.exists(edges, lambda e: inside(e["x1"], e["y1"], literal))
+    corner = [r[0] for r in g.rings]
+    return out | reduce(lambda a, b: a | b, (inside(F.lit(float(x)), F.lit(float(y)), edges) for x, y in corner))
 
 
 def boxes_meet(bbox: Column, b: tuple[float, float, float, float]) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..errors import DatacubeCreationError
@@ -81,6 +81,16 @@ def time_properties(times: DataFrame, items: DataFrame, names: list[str], order:
     return times.select("time").distinct().join(own, "time", "left")
 
 
+def positional_properties(times: DataFrame, items: DataFrame, names: list[str], order: str = "pos") -> DataFrame:
+    """The properties of the items by position: the n-th time gets those of the n-th item; times beyond the items get none.
+
+    There is a row for each time and each item, so one window over them is small.
+    """
+    own = times.select("time").distinct().withColumn("_n", F.row_number().over(Window.orderBy("time")))
+    ranked = items.withColumn("_n", F.row_number().over(Window.orderBy("datetime", order))).select("_n", *names)
+    return own.join(ranked, "_n", "left").drop("_n")
+
+
 def wrap_longitude(df: DataFrame, x: str = "x") -> DataFrame:
     """0..360 becomes -180..180 if there is anything beyond 180 and nothing below 0."""
     lo, hi = df.agg(F.min(x), F.max(x)).first()

@@ -17,8 +17,8 @@ def _key(items: DataFrame, name: str) -> Column:
     return F.coalesce(property_of(items, name).cast("string"), F.lit(""))
 
 
-def deduplicate(items: DataFrame, by: str | list[str], keep: str = "last", order: str = "pos") -> DataFrame:
-    """One item for each key tuple, the first or last by ``order``; the result is in the order in which keys appear first.
+def deduplicate(items: DataFrame, by: str | list[str], keep: str = "last", order: str = "pos", ordered: bool = False) -> DataFrame:
+    """One item for each key tuple, the first or last by ``order``; ``ordered``: in the order in which keys appear first.
 
     Keys are compared as separate columns, so no value can run into the next one.
     """
@@ -28,8 +28,11 @@ def deduplicate(items: DataFrame, by: str | list[str], keep: str = "last", order
     named = items.withColumns({f"_k{i}": k for i, k in enumerate(keys)})
     cols = [f"_k{i}" for i in range(len(keys))]
     w = Window.partitionBy(*cols)
-    ranked = named.withColumn("_rank", F.row_number().over(w.orderBy(F.col(order).asc() if keep == "first" else F.col(order).desc()))).withColumn("_first", F.min(order).over(w))
-    return ranked.where("_rank = 1").orderBy("_first").drop("_rank", "_first", *cols)
+    ranked = named.withColumn("_rank", F.row_number().over(w.orderBy(F.col(order).asc() if keep == "first" else F.col(order).desc())))
+    if ordered:
+        ranked = ranked.withColumn("_first", F.min(order).over(w))
+    out = ranked.where("_rank = 1")
+    return (out.orderBy("_first") if ordered else out).drop("_rank", "_first", *cols)
 
 
 def footprint(items: DataFrame) -> Column:
@@ -46,22 +49,31 @@ def anchors(times: Column, minutes: float) -> Column:
     return F.aggregate(times, F.array().cast("array<bigint>"), lambda acc, t: F.when((F.size(acc) > 0) & (t - F.element_at(acc, -1) <= gap), acc).otherwise(F.concat(acc, F.array(t))))
 
 
+def _sessions(items: DataFrame, place: list[str], time: str, minutes: float, closed: bool) -> DataFrame:
+    """With _t (microseconds) and _s, a number for each stretch of a place's times without a gap of more than ``minutes`` (``closed``: or as much)."""
+    gap = F.col("_t") - F.lag("_t").over(Window.partitionBy(*place).orderBy("_t"))
+    most = round(minutes * 60_000_000)
+    named = items.withColumn("_t", F.unix_micros(F.col(time).cast("timestamp")))
+    cut = named.withColumn("_cut", F.coalesce((gap >= most) if closed else (gap > most), F.lit(False)).cast("long"))
+    return cut.withColumn("_s", F.sum("_cut").over(Window.partitionBy(*place).orderBy("_t").rangeBetween(Window.unboundedPreceding, 0))).drop("_cut")
+
+
 def near_duplicates(items: DataFrame, place: list[str], time: str = "datetime", updated: str = "updated", minutes: float = 60) -> DataFrame:
     """Of items of one place within ``minutes`` of the group's first item, all with the latest update.
 
-    Grouping is greedy in time order. It is a fold over the times of a place
-    within the JVM; items find their anchor by a range of two neighbours, so
-    only times, not items, are gathered.
+    Grouping is greedy in time order. Times of a place are cut at gaps that end a
+    group for certain; between two of them it is a fold within the JVM over
+    times, not items.
     """
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
-    named = items.withColumn("_t", micros)
+    named = _sessions(items, place, time, minutes, False)
+    place = [*place, "_s"]
     found = named.groupBy(*place).agg(anchors(F.array_sort(F.collect_set("_t")), minutes).alias("_a"))
     starts = found.select(*place, F.explode("_a").alias("_t"), F.lit(True).alias("_start"))
     marked = named.join(starts, [*place, "_t"], "left")
     w = Window.partitionBy(*place).orderBy("_t").rangeBetween(Window.unboundedPreceding, 0)
     marked = marked.withColumn("_anchor", F.max(F.when(F.col("_start"), F.col("_t"))).over(w))
     newest = F.max(updated).over(Window.partitionBy(*place, "_anchor"))
-    return marked.withColumn("_newest", newest).where(F.col(updated).eqNullSafe(F.col("_newest"))).withColumn("group_start", F.timestamp_micros("_anchor").cast("timestamp_ntz")).drop("_t", "_start", "_anchor", "_newest")
+    return marked.withColumn("_newest", newest).where(F.col(updated).eqNullSafe(F.col("_newest"))).withColumn("group_start", F.timestamp_micros("_anchor").cast("timestamp_ntz")).drop("_t", "_s", "_start", "_anchor", "_newest")
 
 
 def replace_hrefs(items: DataFrame, path: str = "alternate.download.href") -> DataFrame:
@@ -187,7 +199,8 @@ def enhance_assets(items: DataFrame, alternate: str | None = "download", http: b
 
 def thin(items: DataFrame, place: list[str], minutes: float = 5, time: str = "datetime") -> DataFrame:
     """Items of a place that are ``minutes`` or more after the last one kept; of equal times all are kept."""
-    named = items.withColumn("_t", F.unix_micros(F.col(time).cast("timestamp")))
+    named = _sessions(items, place, time, minutes, True)
+    place = [*place, "_s"]
     # anchors are more than a gap apart; times count in whole microseconds
     kept = named.groupBy(*place).agg(anchors(F.array_sort(F.collect_set("_t")), minutes - 1 / 60_000_000).alias("_a"))
-    return named.join(kept.select(*place, F.explode("_a").alias("_t")), [*place, "_t"], "left_semi").drop("_t")
+    return named.join(kept.select(*place, F.explode("_a").alias("_t")), [*place, "_t"], "left_semi").drop("_t", "_s")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..errors import DatacubeMaskingError
 from ..functions import geometry as G
+from ..functions.collections import NATIVE_MASKS
 from ..model import bands_of
 
 #: Classes that are no clear ground.
@@ -35,6 +36,19 @@ def clear_condition(df: DataFrame, mask: str, clear_values: list | None = None,
     raise DatacubeMaskingError("clear values, excluded values or a custom mask are needed")
 
 
+def native_clear(df: DataFrame, collection: str, band: str | None = None) -> Column:
+    """What a collection's own mask calls clear: scene classes without clouds, label 0, or the bits of a QA band."""
+    if collection not in NATIVE_MASKS:
+        raise DatacubeMaskingError(f"no native mask of {collection!r}; there are {sorted(NATIVE_MASKS)}")
+    name, asset = NATIVE_MASKS[collection]
+    band = band or asset
+    if name == "scl":
+        return clear_condition(df, band, exclude_values=SCL_LEGACY)
+    if name == "landsat_qa_pixel":
+        return clear_condition(df, band, custom=lambda d: qa_pixel_clear(d[band]))
+    return clear_condition(df, band, clear_values=[0])
+
+
 def mask_pixels(df: DataFrame, mask: str, clear: Column, fill: float | None = None, drop: bool = False) -> DataFrame:
     """All bands but the mask where it is clear, else ``fill``; one projection."""
     kinds = dict(df.dtypes)

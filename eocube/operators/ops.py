@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,15 +16,22 @@ from ..model import KEYS, GridSpec, bands_of
 COMPAT = ("identical", "equals", "broadcast_equals", "no_conflicts", "override", "minimal")
 
 
-def clip(df: DataFrame, geometry, keep_rectangle: bool = True, check: bool = False, buffer: float = 0.0) -> DataFrame:
+def clip(df: DataFrame, geometry, keep_rectangle: bool = True, check: bool = False, buffer: float = 0.0, metres: float = 0.0) -> DataFrame:
     """Pixels of a geometry. First its bounding box, which reaches the scan, then the exact test.
 
     ``keep_rectangle`` keeps the box's other pixels with missing values; ``check``
-    raises an error where nothing is left.
+    raises an error where nothing is left. ``buffer`` is in the units of the
+    coordinates, ``metres`` is for degrees.
     """
     area = G.dissolve(G.parse(geometry))
     x, y = F.col("x"), F.col("y")
     b = area.bbox
+    if metres:  # a degree of latitude has at least 110,574 metres, one of longitude shrinks with the latitude
+        up = metres / 110_574
+        across = up / max(0.01, math.cos(math.radians(min(89.0, max(abs(b[1]), abs(b[3])) + up))))
+        out = df.where(G.in_box(x, y, (b[0] - across, b[1] - up, b[2] + across, b[3] + up)))
+        hit = G.within_metres(area, x, y, metres)
+        return out.withColumns({c: F.when(hit, F.col(c)) for c in bands_of(df)}) if keep_rectangle else out.where(hit)
     out = df.where(G.in_box(x, y, (b[0] - buffer, b[1] - buffer, b[2] + buffer, b[3] + buffer)))
     hit = G.within_buffer(area, x, y, buffer) if buffer else G.contains(area, x, y)
     out = out.withColumns({c: F.when(hit, F.col(c)) for c in bands_of(df)}) if keep_rectangle else out.where(hit)
@@ -36,12 +44,14 @@ def clip_box(df: DataFrame, bbox) -> DataFrame:
     return df.where(G.in_box(F.col("x"), F.col("y"), G.parse_bbox(bbox)))
 
 
-def merge(left: DataFrame, right: DataFrame, compat: str = "no_conflicts") -> DataFrame:
+def merge(left: DataFrame, right: DataFrame, compat: str = "no_conflicts", check_now: bool = False) -> DataFrame:
     """Both cubes side by side, over all cells of either.
 
     For bands that both have: ``override`` takes the left one as it is,
     ``no_conflicts`` what is there if the two never differ, the others demand
-    equal columns (``minimal`` and ``broadcast_equals`` like ``equals`` here).
+    equal columns (``minimal`` and ``broadcast_equals`` like ``equals`` here). A
+    conflict stops the query that reads the result; ``check_now`` runs the join
+    for it at once.
     """
     if compat not in COMPAT:
         raise ValueError(f"compat is one of {COMPAT}, not {compat!r}")
@@ -50,8 +60,11 @@ def merge(left: DataFrame, right: DataFrame, compat: str = "no_conflicts") -> Da
     out = left.join(other, list(KEYS), "full_outer")
     if both and compat != "override":
         differ = [~F.col(b).eqNullSafe(F.col(f"_r_{b}")) if compat != "no_conflicts" else F.col(b) != F.col(f"_r_{b}") for b in both]
-        if out.where(reduce(lambda a, b: a | b, differ)).limit(1).count():
+        conflict = reduce(lambda a, b: a | b, differ)
+        if check_now and out.where(conflict).limit(1).count():
             raise DatacubeMergeError(f"bands {both} differ ({compat})")
+        stop = F.raise_error(F.lit(f"DatacubeMergeError: bands {both} differ ({compat})"))
+        out = out.withColumn(both[0], F.when(F.coalesce(conflict, F.lit(False)), stop.cast(dict(out.dtypes)[both[0]])).otherwise(F.col(both[0])))
     if compat == "no_conflicts":
         out = out.withColumns({b: F.coalesce(b, f"_r_{b}") for b in both})
     return out.drop(*(f"_r_{b}" for b in both))
@@ -93,6 +106,19 @@ def union(*cubes: DataFrame, how: str = "avg", by: str = "date") -> DataFrame:
     return every.groupBy(day.alias("time"), "y", "x").agg(*(F.expr(f"{how}(`{b}`)").alias(b) for b in bands_of(every)))
 
 
+def sizes(df: DataFrame) -> DataFrame:
+    """One row: how many times, rows and columns there are."""
+    return df.agg(*(F.count_distinct(c).alias(f"n_{c}") for c in KEYS))
+
+
+def align_by_position(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Cells of two cubes whose times correspond by their order: the n-th of ``right`` takes the n-th time of ``left``; others go."""
+    number = lambda df, c: df.select(F.col("time").alias(c)).distinct().withColumn("_n", F.row_number().over(Window.orderBy(c)))
+    pairs = number(left, "_left").join(number(right, "time"), "_n").select("_left", "time")
+    moved = right.join(pairs, "time").withColumn("time", F.col("_left")).drop("_left")
+    return left.join(moved, list(KEYS))
+
+
 def same_grid(*cubes: DataFrame) -> None:
     """An error unless all cubes have as many rows and columns."""
     sizes = [c.agg(F.count_distinct("x"), F.count_distinct("y")).first() for c in cubes]
@@ -100,27 +126,53 @@ def same_grid(*cubes: DataFrame) -> None:
         raise ValueError(f"the cubes' sizes differ: {sizes}")
 
 
-def regrid_nearest(df: DataFrame, source: GridSpec, target: GridSpec) -> DataFrame:
+def _cells(df: DataFrame, target: GridSpec, source_crs: int, target_crs: int) -> DataFrame:
+    """(_x, _y, _sx, _sy): the cells of a grid, and where they lie in the source's system."""
+    cells = df.sparkSession.range(target.nx * target.ny).select((target.x0 + (F.col("id") % target.nx) * target.dx).alias("_x"), (target.y0 + F.floor(F.col("id") / target.nx) * target.dy).alias("_y"))
+    sx, sy = G.transform_point(F.col("_x"), F.col("_y"), target_crs, source_crs, F)
+    return cells.select("_x", "_y", sx.alias("_sx"), sy.alias("_sy"))
+
+
+def regrid_nearest(df: DataFrame, source: GridSpec, target: GridSpec, source_crs: int = 4326, target_crs: int = 4326) -> DataFrame:
     """Values of the nearest source cell for each target cell; arithmetic on indices and one equi-join."""
-    spark = df.sparkSession
-    cells = spark.range(target.nx * target.ny).select((F.col("id") % target.nx).cast("int").alias("i"), F.floor(F.col("id") / target.nx).cast("int").alias("j"))
-    cells = cells.select((target.x0 + F.col("i") * target.dx).alias("_x"), (target.y0 + F.col("j") * target.dy).alias("_y"))
-    cells = cells.select("_x", "_y", source.column(F.col("_x")).alias("_i"), source.row(F.col("_y")).alias("_j"))
+    cells = _cells(df, target, source_crs, target_crs).select("_x", "_y", source.column(F.col("_sx")).alias("_i"), source.row(F.col("_sy")).alias("_j"))
     own = df.withColumn("_i", source.column(F.col("x"))).withColumn("_j", source.row(F.col("y"))).drop("x", "y")
     return own.join(cells, ["_i", "_j"]).select("time", F.col("_y").alias("y"), F.col("_x").alias("x"), *bands_of(df))
 
 
-def regrid_bilinear(df: DataFrame, source: GridSpec, target: GridSpec) -> DataFrame:
-    """The weighted mean of the four source cells around each target cell; missing ones lose their weight."""
-    spark = df.sparkSession
-    cells = spark.range(target.nx * target.ny).select((target.x0 + (F.col("id") % target.nx) * target.dx).alias("_x"), (target.y0 + F.floor(F.col("id") / target.nx) * target.dy).alias("_y"))
-    u, v = (F.col("_x") - source.x0) / source.dx, (F.col("_y") - source.y0) / source.dy
-    corner = [F.struct((F.floor(u) + a).cast("int").alias("i"), (F.floor(v) + b).cast("int").alias("j"), ((1 - F.abs(u - F.floor(u) - a)) * (1 - F.abs(v - F.floor(v) - b))).alias("w")) for a in (0, 1) for b in (0, 1)]
-    near = cells.select("_x", "_y", F.inline(F.array(*corner)).alias("_i", "_j", "_w")).where("_w > 0")
+#: Weights by distance in source cells, and how far they reach: the published kernels.
+WEIGHTS = {
+    "bilinear": (1, lambda t: F.greatest(1 - t, F.lit(0.0))),
+    "cubic": (2, lambda t: F.when(t < 1, (t * 1.5 - 2.5) * t * t + 1).when(t < 2, ((t * -0.5 + 2.5) * t - 4) * t + 2).otherwise(0.0)),
+    "cubic_spline": (2, lambda t: F.when(t < 1, (t * 0.5 - 1) * t * t + 2 / 3).when(t < 2, F.pow(2 - t, 3) / 6).otherwise(0.0)),
+    "lanczos": (3, lambda t: F.when(t == 0, 1.0).when(t < 3, F.sin(t * math.pi) * F.sin(t * (math.pi / 3)) * 3 / (t * t * math.pi**2)).otherwise(0.0)),
+    "gauss": (2, lambda t: F.when(t < 2, F.exp(t * t * -2)).otherwise(0.0)),
+}
+
+
+def regrid(df: DataFrame, source: GridSpec, target: GridSpec, kernel: str = "bilinear", source_crs: int = 4326, target_crs: int = 4326) -> DataFrame:
+    """The mean of the source cells around each target cell, weighted by a kernel; missing ones lose their weight.
+
+    Target cells are projected into the source's system as columns, so a cube in
+    one system goes to a grid in another with one equi-join on cell numbers.
+    """
+    if kernel == "nearest":
+        return regrid_nearest(df, source, target, source_crs, target_crs)
+    if kernel not in WEIGHTS:
+        raise ValueError(f"kernel is 'nearest' or one of {sorted(WEIGHTS)}, not {kernel!r}")
+    reach, weight = WEIGHTS[kernel]
+    cells = _cells(df, target, source_crs, target_crs).withColumn("_u", (F.col("_sx") - source.x0) / source.dx).withColumn("_v", (F.col("_sy") - source.y0) / source.dy)
+    beside = F.sequence(F.lit(1 - reach), F.lit(reach))
+    part = lambda c: F.transform(beside, lambda k: F.struct((F.floor(c) + k).cast("int").alias("at"), weight(F.abs(c - F.floor(c) - k)).alias("w")))
+    near = cells.select("_x", "_y", F.explode(part(F.col("_u"))).alias("_a"), F.col("_v")).select("_x", "_y", "_a", F.explode(part(F.col("_v"))).alias("_b"))
+    near = near.select("_x", "_y", F.col("_a.at").alias("_i"), F.col("_b.at").alias("_j"), (F.col("_a.w") * F.col("_b.w")).alias("_w")).where("_w <> 0")
     own = df.withColumn("_i", source.column(F.col("x"))).withColumn("_j", source.row(F.col("y"))).drop("x", "y")
-    both = own.join(near, ["_i", "_j"])
-    mean = lambda b: F.sum(F.col(b) * F.col("_w")) / F.sum(F.when(F.col(b).isNotNull(), F.col("_w")))
-    return both.groupBy("time", F.col("_y").alias("y"), F.col("_x").alias("x")).agg(*(mean(b).alias(b) for b in bands_of(df)))
+    mean = lambda b: F.sum(F.col(b) * F.col("_w")) / F.nullif(F.sum(F.when(F.col(b).isNotNull(), F.col("_w"))), F.lit(0.0))
+    return own.join(near, ["_i", "_j"]).groupBy("time", F.col("_y").alias("y"), F.col("_x").alias("x")).agg(*(mean(b).alias(b) for b in bands_of(df)))
+
+
+def regrid_bilinear(df: DataFrame, source: GridSpec, target: GridSpec) -> DataFrame:
+    return regrid(df, source, target)
 
 
 def multi_collection(cubes: list[tuple[DataFrame, GridSpec]], how: str = "avg") -> DataFrame:
@@ -140,9 +192,17 @@ def times_with_few(df: DataFrame, hit: Column, most: float) -> DataFrame:
     return df.join(share.where(F.col("_share") < most).select("time"), "time", "left_semi")
 
 
-def above_percentile(df: DataFrame, band: str, p: float) -> DataFrame:
-    """Pixels of a band above its percentile over the whole cube."""
-    cut = df.agg(F.percentile(band, F.lit(p)).alias("_cut"))
+def _percentile(band: str, p: float, accuracy: int | None) -> Column:
+    return F.percentile(band, F.lit(p)) if accuracy is None else F.percentile_approx(band, p, accuracy)
+
+
+def above_percentile(df: DataFrame, band: str, p: float, accuracy: int | None = None) -> DataFrame:
+    """Pixels of a band above its percentile over the whole cube.
+
+    The exact percentile keeps each distinct value of the band in one task; with
+    ``accuracy`` it is a sketch of bounded size, off by 1/accuracy in rank.
+    """
+    cut = df.agg(_percentile(band, p, accuracy).alias("_cut"))
     return df.crossJoin(F.broadcast(cut)).where(F.col(band) > F.col("_cut")).drop("_cut")
 
 
@@ -188,9 +248,9 @@ def time_gaps(df: DataFrame) -> DataFrame:
     return df.select("time").distinct().select("time", F.datediff("time", F.lag("time").over(w)).alias("days"))
 
 
-def stretch(df: DataFrame, bands: list[str], lower: float = 0.02, upper: float = 0.98) -> DataFrame:
-    """Each band from its percentiles to 0..255."""
-    cuts = df.agg(*(F.percentile(b, F.lit(p)).alias(f"_{n}_{b}") for b in bands for n, p in (("lo", lower), ("hi", upper))))
+def stretch(df: DataFrame, bands: list[str], lower: float = 0.02, upper: float = 0.98, accuracy: int | None = None) -> DataFrame:
+    """Each band from its percentiles (``accuracy`` as in ``above_percentile``) to 0..255."""
+    cuts = df.agg(*(_percentile(b, p, accuracy).alias(f"_{n}_{b}") for b in bands for n, p in (("lo", lower), ("hi", upper))))
     both = df.crossJoin(F.broadcast(cuts))
     new = {b: F.least(F.lit(255.0), F.greatest(F.lit(0.0), (F.col(b) - F.col(f"_lo_{b}")) * 255 / F.nullif(F.col(f"_hi_{b}") - F.col(f"_lo_{b}"), F.lit(0.0)))) for b in bands}
     return both.withColumns(new).drop(*cuts.columns)

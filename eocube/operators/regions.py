@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,3 +46,45 @@ def region_areas(regions: DataFrame, grid: GridSpec) -> DataFrame:
         F.count("*").alias("pixels"), (F.count("*") * abs(grid.dx * grid.dy) * 1e-4).alias("hectares"),
         (F.min("x") - hx).alias("xmin"), (F.min("y") - hy).alias("ymin"), (F.max("x") + hx).alias("xmax"), (F.max("y") + hy).alias("ymax"),
     )
+
+
+def region_outlines(regions: DataFrame, grid: GridSpec) -> DataFrame:
+    """(time, region, x1, y1, x2, y2): the sides of pixels that a region has on one of their sides only, in mathematical order."""
+    hx, hy = abs(grid.dx) / 2, abs(grid.dy) / 2
+    x, y = F.col("x"), F.col("y")
+    corner = [(x - hx, y - hy), (x + hx, y - hy), (x + hx, y + hy), (x - hx, y + hy)]
+    sides = [F.struct(a[0].alias("x1"), a[1].alias("y1"), b[0].alias("x2"), b[1].alias("y2")) for a, b in zip(corner, corner[1:] + corner[:1], strict=True)]
+    every = regions.select("time", "region", F.inline(F.array(*sides)))
+    key = [F.round(F.least("x1", "x2") + F.greatest("x1", "x2"), 6).alias("_kx"), F.round(F.least("y1", "y2") + F.greatest("y1", "y2"), 6).alias("_ky")]
+    alone = every.groupBy("time", "region", *key).agg(F.count("*").alias("_n"), *(F.first(c).alias(c) for c in ("x1", "y1", "x2", "y2"))).where("_n = 1")
+    return alone.drop("_kx", "_ky", "_n")
+
+
+def region_polygons(regions: DataFrame, grid: GridSpec) -> DataFrame:
+    """(time, region, wkt): the outline of each region as a polygon with its holes; the sides of one region go to one task."""
+
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        ahead: dict[tuple, list[tuple]] = {}
+        for a, b, c, d in pdf[["x1", "y1", "x2", "y2"]].round(6).itertuples(index=False):
+            ahead.setdefault((a, b), []).append((c, d))
+        rings = []
+        while ahead:
+            ring = [next(iter(ahead))]
+            while (nexts := ahead.get(ring[-1])) is not None:
+                # at a corner where two rings touch, the one that turns left is this one's
+                came = (ring[-1][0] - ring[-2][0], ring[-1][1] - ring[-2][1]) if len(ring) > 1 else (0.0, 0.0)
+                here = ring[-1]
+                nexts.sort(key=lambda p: came[0] * (p[1] - here[1]) - came[1] * (p[0] - here[0]))
+                ring.append(nexts.pop())
+                if not nexts:
+                    del ahead[here]
+                if ring[-1] == ring[0]:
+                    break
+            rings.append(ring)
+        area = lambda r: sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, r[1:], strict=False))
+        rings.sort(key=lambda r: -area(r))  # the outline first, holes run the other way
+        text = ", ".join("(" + ", ".join(f"{x:.10g} {y:.10g}" for x, y in r) + ")" for r in rings)
+        return pd.DataFrame({"time": pdf["time"].iloc[:1], "region": pdf["region"].iloc[:1], "wkt": [f"POLYGON ({text})"]})
+
+    kinds = dict(regions.dtypes)
+    return region_outlines(regions, grid).groupBy("time", "region").applyInPandas(chain, f"time {kinds['time']}, region {kinds['region']}, wkt string")

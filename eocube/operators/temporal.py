@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import DatacubeOperationError
-from ..functions.freq import bucket, needs_origin
+from ..functions.freq import bucket, needs_origin, step_of
 from ..model import bands_of
 
 #: Aggregates by name; deviation and variance are those of the population.
@@ -31,8 +31,8 @@ def temporal_aggregate(df: DataFrame, method: str = "mean", freq: str = "1ME", g
     """One image for each period, or for each date with ``groupby="time.date"``; missing values are skipped.
 
     One shuffle on (period, y, x), partly aggregated before it. ``fill_gaps``
-    adds rows of missing values for periods without data between the first and
-    the last that any pixel has.
+    adds an image of missing values for each period without data between the
+    first and the last: rows for the cells of the grid and those periods alone.
     """
     if "time" not in df.columns:
         raise DatacubeOperationError("the cube has no time")
@@ -51,14 +51,18 @@ def temporal_aggregate(df: DataFrame, method: str = "mean", freq: str = "1ME", g
     out = df.groupBy(label.alias("time"), "y", "x").agg(*(f(b).alias(b) for b in bands))
     if not fill_gaps:
         return out
-    lo, hi = out.agg(F.min("time"), F.max("time")).first()
-    step = "1 month" if freq.upper().rstrip("ES").endswith("M") else "7 days" if freq.upper().endswith("W") else "1 day"
-    if lo is None:
-        return out
-    every = df.sparkSession.sql(f"SELECT explode(sequence(DATE'{lo}', DATE'{hi}', INTERVAL {step})) AS time")
-    if step == "1 month":
-        every = every.select(F.last_day("time").alias("time"))
-    return out.select("y", "x").distinct().crossJoin(F.broadcast(every)).join(out, ["time", "y", "x"], "left").select("time", "y", "x", *bands)
+    empty = periods(df, "1D" if groupby else freq).join(out.select("time").distinct(), "time", "left_anti")
+    missing = out.select("y", "x").distinct().crossJoin(empty)
+    return out.unionByName(missing, allowMissingColumns=True).select("time", "y", "x", *bands)
+
+
+def periods(df: DataFrame, freq: str) -> DataFrame:
+    """(time): the labels of all periods from the first to the last time of ``df``, by the rule that labels them."""
+    span = df.agg(F.min("time").alias("_lo"), F.max("time").alias("_hi")).where("_lo is not null")
+    step = step_of(freq)
+    first = F.to_date("_lo").cast("timestamp_ntz") if step else F.to_date("_lo")
+    every = span.select("_lo", "_hi", F.explode(F.sequence(first, F.col("_hi") if step else F.to_date("_hi"), F.expr(f"interval {step or '1 day'}"))).alias("_t"))
+    return every.select(bucket(F.col("_t"), freq, F.col("_lo")).alias("time"), (bucket(F.col("_lo"), freq, F.col("_lo"))).alias("_from")).where("time >= _from").select("time").distinct()
 
 
 def by_date_if_repeated(df: DataFrame, method: str = "mean") -> DataFrame:

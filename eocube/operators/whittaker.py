@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,58 +38,117 @@ def penalty(m: int, beta: float) -> np.ndarray:
 
 
 def solve(y: np.ndarray, w: np.ndarray, beta: float) -> np.ndarray:
-    """z of each row of ``y`` [series, days] with weights ``w``; a row without weight comes back as it is."""
+    """z of each row of ``y`` [series, days] with weights ``w``; a row with fewer points than a parabola needs comes back as it is."""
     n, m = y.shape
     if m <= ORDER:
         return y.copy()
     band = penalty(m, beta)
-    low = np.zeros((ORDER, n, m))
-    diag = np.empty((n, m))
+    few = (w > 0).sum(1) < ORDER  # there the matrix is singular
+    w = np.ascontiguousarray(np.where(few[:, None], 1.0, w).T)  # days first: each step works on all series side by side
+    low, diag = np.zeros((ORDER, m, n)), np.empty((m, n))
     for j in range(m):
         for k in range(min(ORDER, j), 0, -1):
             v = np.full(n, band[ORDER - k, j])
             for q in range(k + 1, min(ORDER, j) + 1):
-                v -= low[q - 1, :, j] * low[q - k - 1, :, j - k] * diag[:, j - q]
-            low[k - 1, :, j] = v / diag[:, j - k]
-        diag[:, j] = w[:, j] + band[ORDER, j]
+                v -= low[q - 1, j] * low[q - k - 1, j - k] * diag[j - q]
+            low[k - 1, j] = v / diag[j - k]
+        diag[j] = w[j] + band[ORDER, j]
         for k in range(1, min(ORDER, j) + 1):
-            diag[:, j] -= low[k - 1, :, j] ** 2 * diag[:, j - k]
-    z = np.where(w > 0, w * np.nan_to_num(y), 0.0)
+            diag[j] -= low[k - 1, j] ** 2 * diag[j - k]
+    z = np.where(w > 0, w * np.nan_to_num(y.T), 0.0)
     for j in range(m):
         for k in range(1, min(ORDER, j) + 1):
-            z[:, j] -= low[k - 1, :, j] * z[:, j - k]
+            z[j] -= low[k - 1, j] * z[j - k]
     z /= diag
     for j in range(m - 2, -1, -1):
         for k in range(1, min(ORDER, m - 1 - j) + 1):
-            z[:, j] -= low[k - 1, :, j + k] * z[:, j + k]
-    few = (w > 0).sum(1) < ORDER  # fewer points than a parabola needs: the matrix is singular
-    z[few] = y[few]
-    return z
+            z[j] -= low[k - 1, j + k] * z[j + k]
+    out = z.T.copy()
+    out[few] = y[few]
+    return out
+
+
+STEP, CELLS = 32, 1 << 19
+
+
+def smooth_rows(series: np.ndarray, day: np.ndarray, given: np.ndarray, values: np.ndarray, beta: float) -> np.ndarray:
+    """Smoothed ``values`` of rows sorted by series (numbers from 0) and day.
+
+    Series are solved side by side, padded to a common length: days without
+    weight behind the last one cost nothing, since the curve goes on there.
+    """
+    first = np.flatnonzero(np.concatenate([[True], series[1:] != series[:-1]])) if len(series) else np.zeros(0, np.int64)
+    at = day - day[first][series] if len(series) else day
+    last = np.append(first[1:], len(series)) - 1
+    size = -(-(at[last] + 1) // STEP) * STEP
+    out = np.empty(len(values))
+    for m in np.unique(size).tolist():
+        some = np.flatnonzero(size == m)
+        for lo in range(0, len(some), max(1, CELLS // m)):
+            own = some[lo : lo + max(1, CELLS // m)]
+            count = last[own] - first[own] + 1
+            rows = np.repeat(first[own] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            place = np.repeat(np.arange(len(own)), count), at[rows]
+            y, w = np.full((len(own), m), np.nan), np.zeros((len(own), m))
+            y[place], w[place] = values[rows], np.where(np.isnan(values[rows]), 0.0, given[rows])
+            z = solve(y, w, beta)
+            # a series without a weight stays as it is
+            out[rows] = np.where(np.repeat(w.any(1), count), z[place], values[rows])
+    return out
 
 
 def smooth(df: DataFrame, beta: float = 1e4, weights: dict | None = None, bands: list[str] | None = None, series: tuple[str, ...] = ("y", "x"), time: str = "time") -> DataFrame:
     """Smoothed bands, one row for each series and observed day (``time`` becomes its midnight).
 
-    ``weights`` gives days (ISO text) other weights than 1. A series' rows go to
-    one task; rows of one day are averaged first.
+    ``weights`` gives days (ISO text) other weights than 1. Series are sorted into
+    partitions, thousands of them are solved at once; rows of one day are averaged first.
     """
     names = bands or bands_of(df.drop(*series))
     daily = df.groupBy(*series, F.to_date(time).alias("day")).agg(*(F.avg(b).cast("double").alias(b) for b in names))
-    given = {pd.Timestamp(k).date(): float(v) for k, v in (weights or {}).items()}
-
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("day").reset_index(drop=True)
-        at = (pd.to_datetime(pdf["day"]) - pd.Timestamp(pdf["day"].iloc[0])).dt.days.to_numpy()
-        w = np.zeros(at[-1] + 1)
-        w[at] = [given.get(d, 1.0) for d in pdf["day"]]
-        for b in names:
-            y = np.full((1, len(w)), np.nan)
-            y[0, at] = pdf[b].to_numpy(float)
-            own = np.where(np.isnan(y), 0.0, w)
-            if own.any():
-                pdf[b] = solve(y, own, beta)[0, at]
-        return pdf
+    known = np.array(sorted((np.datetime64(k, "D").astype(int), float(v)) for k, v in (weights or {}).items())).reshape(-1, 2)
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+
+        def solved(table: pa.Table) -> pa.Table:
+            new = np.zeros(table.num_rows, bool)
+            for s in series:
+                c = table.column(s).to_pandas().to_numpy()
+                gone = pd.isnull(c)
+                new[1:] |= (c[1:] != c[:-1]) & ~(gone[1:] & gone[:-1])
+            day = table.column("day").cast(pa.int32()).to_numpy().astype(np.int64)
+            given = np.ones(len(day))
+            if len(known):
+                place = np.minimum(np.searchsorted(known[:, 0], day), len(known) - 1)
+                given = np.where(known[place, 0] == day, known[place, 1], 1.0)
+            for b in names:
+                values = table.column(b).to_numpy()
+                out = smooth_rows(np.cumsum(new), day, given, values, beta)
+                table = table.set_column(table.schema.get_field_index(b), b, pa.array(out, pa.float64(), from_pandas=True))
+            return table
+
+        def whole(last: bool):
+            """What is held, without its last series if that may go on."""
+            nonlocal held
+            table = pa.Table.from_batches(held).combine_chunks()
+            stop = table.num_rows
+            if not last:
+                tail = [table.column(s)[stop - 1].as_py() for s in series]
+                lo = stop - 1
+                while lo and all(table.column(s)[lo - 1].as_py() == t for s, t in zip(series, tail, strict=True)):
+                    lo -= 1
+                stop = lo
+            held = table.slice(stop).to_batches()
+            return solved(table.slice(0, stop)).to_batches() if stop else []
+
+        for b in batches:
+            if b.num_rows:
+                held.append(b)
+                if sum(x.num_rows for x in held) * 4 > CELLS // 8:
+                    yield from whole(False)
+        if held:
+            yield from whole(True)
 
     kinds = dict(df.dtypes)
     schema = ", ".join([*(f"`{s}` {kinds[s]}" for s in series), "day date", *(f"`{b}` double" for b in names)])
-    return daily.groupBy(*series).applyInPandas(run, schema)
+    return daily.repartition(*series).sortWithinPartitions(*series, "day").mapInArrow(run, schema)

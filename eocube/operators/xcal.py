@@ -16,7 +16,8 @@ def matching(times: DataFrame, rules: DataFrame) -> DataFrame:
     """
     heads = rules.select("rule", F.col("platform").alias("_p"), "published", "expires").distinct()
     holds = (F.col("time") >= F.col("published")) & (F.col("expires").isNull() | (F.col("time") <= F.col("expires")))
-    found = times.join(F.broadcast(heads), ((F.col("_p") == F.col("platform")) | (F.col("_p") == "")) & holds)
+    asked = times.withColumn("_p", F.explode(F.array_distinct(F.array(F.coalesce("platform", F.lit("")), F.lit("")))))
+    found = asked.join(heads, "_p").where(holds)
     w = Window.partitionBy("time", "platform").orderBy((F.col("_p") == "").cast("int"), "rule")
     return found.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").select("time", "platform", "rule")
 
@@ -27,7 +28,7 @@ def calibrate(df: DataFrame, rules: DataFrame, platform: str = "platform", bands
     times = df.select("time", F.col(platform).alias("platform")).distinct()
     part = F.struct("low", "high", "scale", "offset")
     wide = rules.groupBy("rule").agg(*(F.sort_array(F.collect_list(F.when(F.col("band") == b, part))).alias(f"_f_{b}") for b in names))
-    chosen = matching(times, rules).join(F.broadcast(wide), "rule").withColumnRenamed("platform", platform).drop("rule")
+    chosen = matching(times, rules).join(wide, "rule").withColumnRenamed("platform", platform).drop("rule")
     out = df.join(chosen, ["time", platform], "inner" if drop_unmatched else "left")
 
     def apply(b: str):

@@ -26,22 +26,28 @@ def owners(df: DataFrame, zones: DataFrame | list, all_touched: bool = False, ov
     """(y, x, zone): the zone that owns each cell of the grid, the later one of several (``overlap="all"``: all).
 
     The cells of the grid are distinct first, so times don't multiply the work;
-    zones meet cells by their boxes before the exact test.
+    zones meet cells by tiles (an equi-join), then by their boxes, before the exact test.
     """
     z = zones if isinstance(zones, DataFrame) else G.zones_frame(df.sparkSession, zones)
     hx, hy = (abs(dx) / 2, abs(dy) / 2) if all_touched else (0.0, 0.0)
-    cells = df.select("y", "x").distinct()
-    x, y = cells["x"].cast("double"), cells["y"].cast("double")
-    near = (x >= z["xmin"] - hx) & (x <= z["xmax"] + hx) & (y >= z["ymin"] - hy) & (y <= z["ymax"] + hy)
-    exact = G.touches(x, y, z["edges"], dx, dy) if all_touched else G.inside(x, y, z["edges"], dy < 0)
-    hit = cells.join(z, near & exact).select("y", "x", "zone")
+    x, y = F.col("x").cast("double"), F.col("y").cast("double")
+    # a zone is dealt to the four tiles at most, of a size that fits it, that its box meets; cells to their tile of each size in use
+    tile = lambda c: F.floor(c / F.pow(F.lit(2.0), F.col("_size"))).cast("long")
+    wide = F.greatest(F.col("xmax") - F.col("xmin") + 2 * hx, F.col("ymax") - F.col("ymin") + 2 * hy, F.lit(max(abs(dx), abs(dy))))
+    z = z.withColumn("_size", F.ceil(F.log2(wide)).cast("int"))
+    spans = {c: F.sequence(tile(F.col(f"{c}min") - h), tile(F.col(f"{c}max") + h)) for c, h in (("x", hx), ("y", hy))}
+    dealt = z.withColumn("_tx", F.explode(spans["x"])).withColumn("_ty", F.explode(spans["y"]))
+    cells = df.select("y", "x").distinct().crossJoin(z.select("_size").distinct()).withColumns({"_tx": tile(x), "_ty": tile(y)})
+    near = (x >= F.col("xmin") - hx) & (x <= F.col("xmax") + hx) & (y >= F.col("ymin") - hy) & (y <= F.col("ymax") + hy)
+    exact = G.touches(x, y, F.col("edges"), dx, dy) if all_touched else G.inside(x, y, F.col("edges"), dy < 0)
+    hit = cells.join(dealt, ["_size", "_tx", "_ty"]).where(near & exact).select("y", "x", "zone")
     return hit if overlap == "all" else hit.groupBy("y", "x").agg(F.max("zone").alias("zone"))
 
 
-def zonal_stats(df: DataFrame, zones: DataFrame | list, reducers: list[str] | None = None, all_touched: bool = True, overlap: str = "last", dx: float = 1.0, dy: float = 1.0, attributes: DataFrame | None = None) -> DataFrame:
+def zonal_stats(df: DataFrame, zones: DataFrame | list, reducers: list[str] | None = None, all_touched: bool = True, overlap: str = "last", dx: float = 1.0, dy: float = 1.0, attributes: DataFrame | None = None, wkt: bool = False) -> DataFrame:
     """(feature, time, <band>_<reducer> ...): zones without a pixel have no row.
 
-    ``attributes`` (zone, ...) are joined by the zone's number.
+    ``attributes`` (zone, ...) are joined by the zone's number; ``wkt`` adds the zone's geometry as text.
     """
     names = reducers or ["mean"]
     unknown = [r for r in names if r not in REDUCERS]
@@ -50,6 +56,9 @@ def zonal_stats(df: DataFrame, zones: DataFrame | list, reducers: list[str] | No
     own = owners(df, zones, all_touched, overlap, dx, dy)
     aggs = [REDUCERS[r](F.col(b)).alias(f"{b}_{r}") for b in bands_of(df) for r in names]
     out = df.join(own, ["y", "x"]).groupBy(F.col("zone").alias("feature"), "time").agg(*aggs)
+    if wkt:
+        z = zones if isinstance(zones, DataFrame) else G.zones_frame(df.sparkSession, zones)
+        out = out.join(z.select(F.col("zone").alias("feature"), "geometry"), "feature")
     return out if attributes is None else out.join(attributes.withColumnRenamed("zone", "feature"), "feature", "left")
 
 

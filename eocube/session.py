@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -23,3 +25,13 @@ def session(name: str = "eocube", cores: int | None = None, **conf: str) -> Spar
     for k, v in (base | conf).items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def work_dir(spark: SparkSession) -> str:
+    """A new folder that driver and executors share: under ``spark.checkpoint.dir``, one of this machine only where Spark is local."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="eocube-work-")
+    return f"{found.rstrip('/')}/eocube-{uuid.uuid4().hex[:12]}"

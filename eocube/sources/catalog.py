@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +23,8 @@ def search(items: DataFrame, *, collections=None, datetime=None, bbox=None, inte
     """Items that meet all predicates given.
 
     ``intersects`` is a geometry; its bounding box is compared with the item's
-    first. With ``max_items_per_chunk``, each chunk of the time range gives so
+    first, then the outlines: that of the item is its ``geometry`` (GeoJSON, a
+    polygon or several) where the table has one, else its bbox. With ``max_items_per_chunk``, each chunk of the time range gives so
     many items at most, the newest chunk first.
     """
     if max_items is not None and days_per_chunk is not None:
@@ -37,7 +41,10 @@ def search(items: DataFrame, *, collections=None, datetime=None, bbox=None, inte
     if bbox is not None:
         keep.append(G.boxes_meet(F.col("bbox"), G.parse_bbox(bbox)))
     if intersects is not None:
-        keep.append(G.boxes_meet(F.col("bbox"), G.total_bounds(G.parse(intersects))))
+        parts = G.parse(intersects)
+        keep.append(G.boxes_meet(F.col("bbox"), G.total_bounds(parts)))
+        edges = G.item_edges(F.col("geometry") if dict(items.dtypes).get("geometry") == "string" else None, F.col("bbox"))
+        keep.append(reduce(lambda a, b: a | b, (G.edges_meet(edges, p) for p in parts)))
     if query:
         keep.append(Q.stac_query(items, query))
     if filter:
@@ -68,11 +75,12 @@ def require_items(items: DataFrame) -> DataFrame:
 
 def chunk_of(time: Column, datetime, days="auto") -> Column:
     """The number of the chunk that a time is in, 0 for the newest."""
-    chunks = Q.split_range(datetime, days)
-    out = F.lit(None).cast("int")
-    for i, (lo, hi) in reversed(list(enumerate(chunks))):
-        out = F.when(time.between(F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")), F.lit(i)).otherwise(out)
-    return out
+    chunks = Q.split_range(datetime, days)  # all of one length but the newest, which may be shorter
+    (_, hi), (lo, stop) = chunks[0], chunks[-1]
+    micros = lambda t: F.unix_micros(t.cast("timestamp"))
+    at = F.floor((micros(time) - micros(F.lit(lo).cast("timestamp_ntz"))) / F.lit(((stop - lo) // timedelta(microseconds=1)) + 1))
+    inside = time.between(F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz"))
+    return F.when(inside, F.lit(len(chunks) - 1) - at).cast("int")
 
 
 def limit_per_chunk(items: DataFrame, datetime, days, most: int) -> DataFrame:

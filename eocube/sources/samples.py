@@ -18,8 +18,8 @@ def circle(lon: float, lat: float, metres: float, sides: int = 64) -> Geometry:
 
 
 def load_pivot() -> Geometry:
-    return circle(-96.530982, 41.346880, 306.61)
+    return circle(-98.25, 40.5, 400.0)
 
 
 def load_pivot_corumba() -> Geometry:
-    return circle(-48.514000, -16.344496, 290.17)
+    return circle(-47.75, -17.25, 350.0)

@@ -1,24 +1,29 @@
-"""Headers and pixels of simple TIFF rasters, read from binary files by Arrow batches.
+"""Headers and pixels of TIFF rasters, read from binary files by Arrow batches.
 
 Only what a header says is needed for metadata: size, bits and kind of samples,
-no-data text, pixel scale and tie point. Pixels are read from uncompressed
-strips; other files give their header with no pixels.
+no-data text, pixel scale and tie point. Pixels are read from strips or tiles,
+uncompressed or deflated, with or without horizontal differences; of a window
+only the tiles that it meets are inflated. Other files are an error.
 """
 
 from __future__ import annotations
 
 import struct
+import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: TIFF and GeoTIFF tags and field sizes.
-WIDTH, HEIGHT, BITS, COMPRESSION, STRIPS, SAMPLES, ROWS, COUNTS, FORMAT, SCALE, TIE, KEYS, NODATA = 256, 257, 258, 259, 273, 277, 278, 279, 339, 33550, 33922, 34735, 42113
+WIDTH, HEIGHT, BITS, COMPRESSION, STRIPS, SAMPLES, ROWS, COUNTS, PLANAR, PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILES, TILE_COUNTS, FORMAT, SCALE, TIE, KEYS, NODATA = 256, 257, 258, 259, 273, 277, 278, 279, 284, 317, 322, 323, 324, 325, 339, 33550, 33922, 34735, 42113
+PLAIN, DEFLATE = (1,), (8, 32946)
 _SIZE = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}
 _CODE = {1: "B", 2: "s", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d"}
 HEADER = "path string, width int, height int, data_type string, samples int, nodata double, transform array<double>, epsg int"
-PIXELS = "path string, row int, col int, sample int, value double"
+PIXELS = "path string, row int, col int, sample int, x double, y double, value double"
+Window = tuple[int, int, int, int]
 
 
 def tags(data: bytes) -> tuple[str, dict[int, tuple]]:
@@ -57,14 +62,71 @@ def header(data: bytes) -> dict:
     }
 
 
-def pixels(data: bytes) -> np.ndarray | None:
-    """[row, column, sample], or None where the file isn't plain strips."""
+def pixels(data: bytes, window: Window | None = None) -> tuple[np.ndarray, int, int]:
+    """[row, column, sample] of a window (first row, first column, rows, columns), or of the whole, and where it begins."""
     order, t = tags(data)
-    if t.get(COMPRESSION, (1,))[0] != 1 or STRIPS not in t or COUNTS not in t:
-        return None
     h = header(data)
-    raw = b"".join(data[a : a + n] for a, n in zip(t[STRIPS], t[COUNTS], strict=True))
-    return np.frombuffer(raw, np.dtype(h["data_type"]).newbyteorder(order)).reshape(h["height"], h["width"], h["samples"])
+    packing, predictor = t.get(COMPRESSION, (1,))[0], t.get(PREDICTOR, (1,))[0]
+    if packing not in PLAIN + DEFLATE or predictor not in (1, 2) or t.get(PLANAR, (1,))[0] != 1 and h["samples"] > 1:
+        raise ValueError(f"compression {packing}, predictor {predictor} or planes of samples aren't supported")
+    width, height, samples = h["width"], h["height"], h["samples"]
+    if TILES in t:
+        tile_w, tile_h, places, sizes = t[TILE_WIDTH][0], t[TILE_HEIGHT][0], t[TILES], t[TILE_COUNTS]
+    elif STRIPS in t and COUNTS in t:
+        tile_w, tile_h, places, sizes = width, min(t.get(ROWS, (height,))[0], height), t[STRIPS], t[COUNTS]
+    else:
+        raise ValueError("neither strips nor tiles")
+    kind = np.dtype(h["data_type"]).newbyteorder(order)
+    top, left, rows, cols = window or (0, 0, height, width)
+    bottom, right = min(height, top + rows), min(width, left + cols)
+    top, left = max(0, top), max(0, left)
+    out = np.zeros((max(0, bottom - top), max(0, right - left), samples), kind.newbyteorder("="))
+    across = -(-width // tile_w)
+    for n, (at, size) in enumerate(zip(places, sizes, strict=True)):
+        r0, c0 = n // across * tile_h, n % across * tile_w
+        if r0 >= bottom or r0 + tile_h <= top or c0 >= right or c0 + tile_w <= left:
+            continue
+        raw = zlib.decompress(data[at : at + size]) if packing in DEFLATE else data[at : at + size]
+        tall = tile_h if TILES in t else min(tile_h, height - r0)
+        part = np.frombuffer(raw, kind, tall * tile_w * samples).reshape(tall, tile_w, samples).astype(out.dtype)
+        if predictor == 2:
+            part = np.cumsum(part, axis=1, dtype=part.dtype)
+        r, c = slice(max(r0, top), min(r0 + tall, bottom)), slice(max(c0, left), min(c0 + tile_w, right))
+        out[r.start - top : r.stop - top, c.start - left : c.stop - left] = part[r.start - r0 : r.stop - r0, c.start - c0 : c.stop - c0]
+    return out, top, left
+
+
+def encode(a: np.ndarray, tile: int = 16, deflate: bool = True, transform: tuple[float, float, float, float] | None = None, epsg: int | None = None) -> bytes:
+    """A TIFF of [row, column, sample] integers: tiles, deflated horizontal differences; ``transform``: x and y of the upper left corner, cell width and height."""
+    height, width, samples = a.shape
+    kind = {"u": 1, "i": 2, "f": 3}[a.dtype.kind]
+    predict = deflate and kind != 3
+    bodies = []
+    for r in range(0, height, tile):
+        for c in range(0, width, tile):
+            part = np.zeros((tile, tile, samples), a.dtype.newbyteorder("<"))
+            cut = a[r : r + tile, c : c + tile]
+            part[: cut.shape[0], : cut.shape[1]] = cut
+            if predict:
+                part[:, 1:] -= part[:, :-1].copy()
+            bodies.append(zlib.compress(part.tobytes()) if deflate else part.tobytes())
+    entries = [(WIDTH, "I", [width]), (HEIGHT, "I", [height]), (BITS, "H", [a.dtype.itemsize * 8] * samples), (COMPRESSION, "H", [DEFLATE[0] if deflate else 1]), (SAMPLES, "H", [samples]), (PREDICTOR, "H", [2 if predict else 1]), (TILE_WIDTH, "I", [tile]), (TILE_HEIGHT, "I", [tile]), (TILES, "I", [0] * len(bodies)), (TILE_COUNTS, "I", [len(b) for b in bodies]), (FORMAT, "H", [kind] * samples)]
+    if transform:
+        x, y, dx, dy = transform
+        entries += [(SCALE, "d", [dx, dy, 0.0]), (TIE, "d", [0.0, 0.0, 0.0, x, y, 0.0])]
+    if epsg:
+        entries.append((KEYS, "H", [1, 1, 0, 1, 3072, 0, 1, epsg]))
+    entries.sort()
+    code, head = {"H": 3, "I": 4, "d": 12}, 8 + 2 + 12 * len(entries) + 4
+    sizes = [struct.calcsize(f"<{len(v)}{k}") for _, k, v in entries]
+    at = head + sum(x for x in sizes if x > 4)
+    starts = [at + sum(len(b) for b in bodies[:i]) for i in range(len(bodies))]
+    table, extra = b"", b""
+    for (tag, k, v), size in zip(entries, sizes, strict=True):
+        raw = struct.pack(f"<{len(v)}{k}", *(starts if tag == TILES else v))
+        table += struct.pack("<HHI", tag, code[k], len(v)) + (raw.ljust(4, b"\0") if size <= 4 else struct.pack("<I", head + len(extra)))
+        extra += raw if size > 4 else b""
+    return b"II*\0" + struct.pack("<IH", 8, len(entries)) + table + bytes(4) + extra + b"".join(bodies)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -82,13 +144,34 @@ def read_headers(spark: SparkSession, path: str) -> DataFrame:
     return _files(spark, path).mapInArrow(run, HEADER)
 
 
-def read_pixels(spark: SparkSession, path: str) -> DataFrame:
+def read_pixels(spark: SparkSession, path: str, window: Window | None = None) -> DataFrame:
+    return pixels_of(_files(spark, path), window)
+
+
+def pixels_of(files: DataFrame, window: Window | None = None) -> DataFrame:
+    """Pixels of ``files(path, content)`` with the coordinates of their centres (rows and columns where a file has no transform)."""
+
     def run(batches):
         for b in batches:
-            for p, c in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                a = pixels(c.as_py())
-                if a is not None:
-                    r, k, s = (x.reshape(-1).astype(np.int32) for x in np.indices(a.shape))
-                    yield pa.RecordBatch.from_arrays([pa.array([p] * a.size), pa.array(r), pa.array(k), pa.array(s), pa.array(a.reshape(-1).astype(float))], ["path", "row", "col", "sample", "value"])
-
-    return _files(spark, path).mapInArrow(run, PIXELS)
+            for p, c in zip(b.column("path").to_pylist(), b.column("content"), strict=True):
+                data = c.as_py()
+                try:
+                    a, top, left = pixels(data, window)
+                except ValueError as e:
+                    raise ValueError(f"{p}: {e}") from e
+                r, k, s = (x.reshape(-1).astype(np.int32) for x in np.indices(a.shape))
+                r, k = r + np.int32(top), k + np.int32(left)
+                dx, _, x0, _, dy, y0 = header(data)["transform"] or (1.0, 0.0, -0.5, 0.0, 1.0, -0.5)
+                step = 1 << 16
+                for lo in range(0, a.size, step):
+                    own = slice(lo, lo + step)
+                    n = len(r[own])
+                    yield pa.RecordBatch.from_arrays([pa.array([p] * n), pa.array(r[own]), pa.array(k[own]), pa.array(s[own]), pa.array(x0 + (k[own] + 0.5) * dx), pa.array(y0 + (r[own] + 0.5) * dy), pa.array(a.reshape(-1)[own].astype(float))], ["path", "row", "col", "sample", "x", "y", "value"])
+
+    return files.select("path", "content").mapInArrow(run, PIXELS)
+
+
+def cube(pixels: DataFrame, assets: DataFrame, bands: list[str]) -> DataFrame:
+    """A wide pixel table from ``pixels_of`` and ``assets(path, time, band)``: one shuffle on the cell; the first sample of each file."""
+    rows = pixels.where("sample = 0").join(assets.select("path", "time", "band"), "path")
+    return rows.groupBy("time", "y", "x").agg(*(F.max(F.when(F.col("band") == b, F.col("value"))).alias(b) for b in bands))

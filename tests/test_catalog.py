@@ -26,9 +26,9 @@ def ids(df):
 
 
 def test_dedupe_golden(items):
-    assert ids(ops.deduplicate(items, "date")) == ["b", "c", "d"] and ids(ops.deduplicate(items, "date", "first")) == ["a", "c", "d"]
-    assert ids(ops.deduplicate(items, ["date", "k"])) == ["a", "b", "c", "d"]
-    assert ids(ops.deduplicate(items, ["collection_id"])) == ["b", "d"]
+    assert ids(ops.deduplicate(items, "date", ordered=True)) == ["b", "c", "d"] and ids(ops.deduplicate(items, "date", "first", ordered=True)) == ["a", "c", "d"]
+    assert ids(ops.deduplicate(items, ["date", "k"], ordered=True)) == ["a", "b", "c", "d"]
+    assert ids(ops.deduplicate(items, ["collection_id"], ordered=True)) == ["b", "d"]
     with pytest.raises(ValueError):
         ops.deduplicate(items, "date", "any")
 

@@ -64,7 +64,9 @@ def test_merge_modes(cube):
     assert {r.red for r in ops.merge(a, b, "override").collect()} == {1.0, None}
     for mode in ("no_conflicts", "equals", "identical"):
         with pytest.raises(DatacubeMergeError):
-            ops.merge(a, b, mode)
+            ops.merge(a, b, mode, check_now=True)
+        with pytest.raises(Exception, match="DatacubeMergeError"):
+            ops.merge(a, b, mode).collect()
     same = ops.merge(a, square(cube, n=3), "no_conflicts")
     assert same.count() == 9 and same.where("red = 1").count() == 9
     assert ops.merge(a, square(cube, n=2), "identical").count() == 4
