@@ -4,16 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..cube import Datacube
 from ..functions import geometry as G
 from ..functions import indices as I
 from ..functions import query_lang as Q
 from ..model import GridSpec
-from ..operators import build, filters, mask, mutate, ops, temporal, whittaker, xcal, zonal
+from ..operators import build, filters, mask, mutate, ops, regions, temporal, whittaker, xcal, zonal
 from ..operators import items as items_ops
-from ..sources import catalog
+from ..session import work_dir
+from ..sources import catalog, loaders, tiff
+from ..streaming import ingest
 from . import datasets as D
 from . import pipelines
 
@@ -195,6 +201,14 @@ _index("SR", "nir / nullif(red, 0)")
 _index("DVI", "nir - red")
 _index("CIG", "nir / nullif(swir16, 0) - 1")
 _index("VARI", "(swir16 - red) / nullif(swir16 + red - nir, 0)", B="nir")
+_index("NDSI", "(swir16 - blue) / nullif(swir16 + blue, 0)")
+_index("NDMI", "(nir - blue) / nullif(nir + blue, 0)")
+_index("NBR2", "(blue - swir16) / nullif(blue + swir16, 0)")
+_index("NDBI", "(blue - nir) / nullif(blue + nir, 0)")
+_index("NDREI", "(nir - swir16) / nullif(nir + swir16, 0)")
+_index("CIRE", "nir / nullif(swir16, 0) - 1")
+_index("BI", "((blue + red) - (nir + swir16)) / nullif((blue + red) + (nir + swir16), 0)", B="swir16")
+_index("DpRVIVV", "4 * red / nullif(nir + red, 0)", VV="nir", VH="red")
 _index("AWEInsh", "4 * (swir16 - nir) - 0.25 * nir + 2.75 * red", S1="nir", S2="red")
 
 
@@ -262,6 +276,41 @@ def gap_fill_linear(spark, d):
     return temporal.gap_fill(_daily(spark, d), "value", ["pixel"], time="day").select("pixel", "day", r("value"))
 
 
+def _gaps(name: str, freq: str, label: str):
+    """Periods without data: only some months have any."""
+
+    @query(
+        f"""WITH {PX}, q AS (SELECT time, y, x, nir FROM px WHERE month(time) IN (1, 2, 6, 11) AND y < 5), o AS (SELECT min(time)::DATE AS o FROM q),
+b AS (SELECT {label.format(t='time')} AS time, y, x, avg(nir) AS nir FROM q, o GROUP BY 1, 2, 3),
+e AS (SELECT DISTINCT {label.format(t='t')} AS time FROM o, (SELECT unnest(generate_series((SELECT min(time) FROM q)::DATE::TIMESTAMP, (SELECT max(time) FROM q)::DATE::TIMESTAMP, INTERVAL 1 DAY)) AS t))
+SELECT time, count(*) AS cells, count(nir) AS n, round(sum(nir), 6) AS s FROM (SELECT * FROM b UNION ALL
+ SELECT e.time, c.y, c.x, NULL FROM (SELECT time FROM e WHERE time NOT IN (SELECT time FROM b)) e, (SELECT DISTINCT y, x FROM b) c) GROUP BY 1""",
+        name=name,
+    )
+    def run(spark, d):
+        q = D.pixels(spark, d, "nir").where(F.month("time").isin(1, 2, 6, 11) & (F.col("y") < 5))
+        out = temporal.temporal_aggregate(q, "mean", freq, fill_gaps=True)
+        return out.groupBy("time").agg(F.count("*").alias("cells"), F.count("nir").alias("n"), F.round(F.sum("nir"), 6).alias("s"))
+
+
+_gaps("fill_gaps_month", "1ME", "last_day({t})")
+_gaps("fill_gaps_month_start", "1MS", "date_trunc('month', {t})::DATE")
+_gaps("fill_gaps_quarter", "QE", "last_day(date_trunc('quarter', {t}) + INTERVAL 2 MONTH)")
+_gaps("fill_gaps_week", "W-SUN", "(date_trunc('week', {t}) + INTERVAL 6 DAY)::DATE")
+_gaps("fill_gaps_7d", "7D", "(o + ((({t}::DATE - o) // 7) * 7)::INT)::DATE")
+_gaps("fill_gaps_day", "1D", "{t}::DATE")
+
+
+@query("""WITH q AS (SELECT ts, user_id AS x, value FROM events WHERE day(ts) % 3 = 0), o AS (SELECT min(ts)::DATE::TIMESTAMP AS o FROM q),
+b AS (SELECT time_bucket(INTERVAL 6 HOUR, ts, o) AS time, x, sum(value) AS value FROM q, o GROUP BY 1, 2),
+e AS (SELECT unnest(generate_series((SELECT min(time) FROM b), (SELECT max(time) FROM b), INTERVAL 6 HOUR)) AS time)
+SELECT time, count(*) AS cells, count(value) AS n FROM (SELECT * FROM b UNION ALL SELECT e.time, c.x, NULL FROM (SELECT time FROM e WHERE time NOT IN (SELECT time FROM b)) e, (SELECT DISTINCT x FROM b) c) GROUP BY 1""")
+def fill_gaps_6h(spark, d):
+    q = D.event_cube(spark, d).where(F.day("time") % 3 == 0)
+    out = temporal.temporal_aggregate(q, "mean", "6h", fill_gaps=True)
+    return out.groupBy("time").agg(F.count("*").alias("cells"), F.count("value").alias("n"))
+
+
 def _fill(method: str, op: str):
     @query(
         f"""WITH {_DAILY}, asked AS (SELECT DISTINCT pixel, DATE '2024-01-01' + (k * 5)::INT AS day FROM daily, generate_series(0, 5) AS g(k))
@@ -486,9 +535,26 @@ def search_items(spark, d):
     return catalog.search(D.items(spark, d), collections=["1-URGENT", "5-LOW"], datetime="1996/1997-06", bbox=[10, 12, 20.5, 30], fields=["id", "collection", "datetime"])
 
 
-@query(f"WITH {ITEMS} SELECT id FROM items WHERE b0 <= 8 AND b0 + 1.5 >= 3 AND id % 2 = 0")
+# the boxes lie on the diagonal, so most that meet the triangle's box lie beyond its long side (separating axes of square and triangle)
+@query(f"""WITH {ITEMS} SELECT id FROM items WHERE b0 <= 40 AND b0 + 1.5 >= 3 AND b0 <= 20
+AND (b0 + 1.5 - 3) * 17 / 37.0 - (b0 - 3) >= 0 AND (b0 - 3) * 17 / 37.0 - (b0 + 1.5 - 3) <= 17""")
 def search_intersects(spark, d):
-    return catalog.search(D.items(spark, d).where("id % 2 = 0"), intersects="POLYGON ((3 3, 8 3, 8 8, 3 3))", fields=["id"])
+    return catalog.search(D.items(spark, d), intersects="POLYGON ((3 3, 40 3, 40 20, 3 3))", fields=["id"])
+
+
+@query(f"WITH {ITEMS} SELECT id FROM items WHERE (b0 <= 7 AND b0 + 1.5 >= 5) OR (b0 <= 31 AND b0 + 1.5 >= 31)")
+def search_intersects_parts(spark, d):
+    return catalog.search(D.items(spark, d), intersects=["LINESTRING (5 5, 7 7)", "POINT (31 31)"], fields=["id"])
+
+
+# items with their own outline, the lower right half of their box: the second part meets boxes, but no triangle
+@query(f"WITH {ITEMS} SELECT id FROM items WHERE b0 IN (9, 10)")
+def search_intersects_geometry(spark, d):
+    i = D.items(spark, d)
+    p = F.col("bbox")[0]
+    ring = F.concat_ws(",", *[F.concat(F.lit("["), a.cast("string"), F.lit(","), b.cast("string"), F.lit("]")) for a, b in ((p, p), (p + 1.5, p), (p + 1.5, p + 1.5), (p, p))])
+    shaped = i.withColumn("geometry", F.concat(F.lit('{"type":"Polygon","coordinates":[['), ring, F.lit("]]}")))
+    return catalog.search(shaped, intersects=["POLYGON ((10.2 10.3, 10.6 10.3, 10.6 10.4, 10.2 10.4, 10.2 10.3))", "POLYGON ((20.2 21, 20.6 21, 20.6 21.1, 20.2 21.1, 20.2 21))"], fields=["id"])
 
 
 @query(f"WITH {ITEMS} SELECT id, cloud_cover FROM items WHERE cloud_cover < 20 AND cloud_cover >= 5 AND platform IN ('F', 'O') AND collection LIKE '%HIGH'")
@@ -529,11 +595,9 @@ def explore_collections(spark, d):
     return catalog.explore(D.items(spark, d))
 
 
-@query("SELECT o_orderkey AS id, o_totalprice AS price FROM orders WHERE o_orderpriority = (SELECT o_orderpriority FROM orders WHERE o_orderkey = 33) AND o_orderkey = 33")
+@query("SELECT o_orderkey AS id, o_totalprice AS price FROM orders WHERE o_orderpriority = '4-NOT SPECIFIED' AND o_orderkey = 1")
 def get_item(spark, d):
-    items = D.items(spark, d)
-    one = items.where("id = 33").select("collection")
-    return items.join(F.broadcast(one), "collection", "left_semi").where("id = 33").select("id", "price")
+    return catalog.get_item(D.items(spark, d), "4-NOT SPECIFIED", 1).select("id", "price")
 
 
 def _dedupe(keep: str, order: str):
@@ -709,3 +773,374 @@ SELECT o.zone AS feature, month, round(avg(ndvi), 6) AS ndvi_mean, round(stddev_
 def index_by_zone(spark, d):
     out = pipelines.index_by_zone(D.pixels(spark, d, "red", "nir", "scl"), D.ZONES, "scl", [3, 7], 0.01, "NDVI", ["mean", "std", "count"])
     return out.select("feature", "month", r("ndvi_mean"), r("ndvi_std"), "ndvi_count")
+
+
+# -- further sources, space and time -----------------------------------------------------
+
+
+@query(f"""WITH {PX} SELECT time, y, x, round(red, 6) AS red FROM px WHERE (x > 100 AND x <= 300 AND y >= 10 AND y < 20) OR (x > 200 AND x <= 400 AND y >= 15 AND y < 30)""")
+def clip_overlapping_parts(spark, d):
+    return ops.clip(D.pixels(spark, d, "red"), [G.box(100, 10, 300, 20), G.box(200, 15, 400, 30)], keep_rectangle=False).select("time", "y", "x", r("red"))
+
+
+@query(f"""WITH {PX} SELECT count(*) AS usable_pixels FROM (SELECT DISTINCT y, x FROM px WHERE (x > 100 AND x <= 300 AND y >= 10 AND y < 20) OR (x > 200 AND x <= 400 AND y >= 15 AND y < 30))""")
+def usable_pixels_of_parts(spark, d):
+    return mask.usable_pixels(D.pixels(spark, d, "red"), geometry=[G.box(100, 10, 300, 20), G.box(200, 15, 400, 30)])
+
+
+@query(f"WITH {PX} SELECT time, y, x, round(red, 6) AS red FROM px WHERE x > 50 AND x <= 120 AND y >= 5 AND y < 40")
+def clip_geojson(spark, d):
+    shape = '{"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"n": 1}, "geometry": {"type": "Polygon", "coordinates": [[[50, 5], [120, 5], [120, 40], [50, 40], [50, 5]]]}}]}'
+    return ops.clip(D.pixels(spark, d, "red"), shape, keep_rectangle=False).select("time", "y", "x", r("red"))
+
+
+@query(f"""WITH {PX}, {OWNER} SELECT zone AS feature, time, round(avg(nir), 6) AS v, CASE zone WHEN 0 THEN 'POLYGON ((0 0, 500 0, 500 50, 0 50))' WHEN 1 THEN 'POLYGON ((250 25, 900 25, 900 75, 250 75))' ELSE 'POLYGON ((5000 0, 6000 0, 6000 10, 5000 10))' END AS geometry
+FROM px JOIN owner USING (y, x) GROUP BY 1, 2""")
+def zonal_wkt(spark, d):
+    return zonal.zonal_stats(D.pixels(spark, d, "nir"), D.ZONES, ["mean"], all_touched=False, wkt=True).select("feature", "time", r("nir_mean", "v"), "geometry")
+
+
+_KERNEL = {
+    "cubic": (2, "CASE WHEN {t} < 1 THEN (1.5 * {t} - 2.5) * {t} * {t} + 1 WHEN {t} < 2 THEN ((-0.5 * {t} + 2.5) * {t} - 4) * {t} + 2 ELSE 0 END"),
+    "cubic_spline": (2, "CASE WHEN {t} < 1 THEN (0.5 * {t} - 1) * {t} * {t} + 2 / 3.0::DOUBLE WHEN {t} < 2 THEN pow(2 - {t}, 3) / 6 ELSE 0 END"),
+    "lanczos": (3, "CASE WHEN {t} = 0 THEN 1 WHEN {t} < 3 THEN 3 * sin(pi() * {t}) * sin(pi() * {t} / 3) / (pi() * pi() * {t} * {t}) ELSE 0 END"),
+    "gauss": (2, "CASE WHEN {t} < 2 THEN exp(-2 * {t} * {t}) ELSE 0 END"),
+}
+
+
+def _regrid(kernel: str):
+    reach, w = _KERNEL[kernel]
+
+    @query(
+        f"""WITH {PX}, t AS (SELECT i * 10::DOUBLE + 0.23 AS x, j * 4::DOUBLE + 0.41 AS y FROM generate_series(0, 198) a(i), generate_series(0, 23) b(j)),
+c AS (SELECT t.x, t.y, floor(t.x) + a AS i, floor(t.y) + b AS j, abs(t.x - floor(t.x) - a) AS u, abs(t.y - floor(t.y) - b) AS v FROM t, generate_series({1 - reach}, {reach}) g(a), generate_series({1 - reach}, {reach}) h(b)),
+k AS (SELECT x, y, i, j, ({w.format(t='u')}) * ({w.format(t='v')}) AS w FROM c)
+SELECT px.time, k.y, k.x, round(sum(red * w) / nullif(sum(w), 0), 5) AS red FROM k JOIN px ON px.x = k.i AND px.y = k.j WHERE w <> 0 GROUP BY ALL""",
+        name=f"regrid_{kernel}",
+    )
+    def run(spark, d):
+        return ops.regrid(D.pixels(spark, d, "red"), D.GRID, GridSpec(0.23, 0.41, 10.0, 4.0, 199, 24), kernel).select("time", "y", "x", F.round("red", 5).alias("red"))
+
+
+for _k in _KERNEL:
+    _regrid(_k)
+
+
+@query(f"""WITH {PX}, t AS (SELECT i * 3000::DOUBLE + 1000 AS x, j * 2500::DOUBLE + 500 AS y FROM generate_series(0, 59) a(i), generate_series(0, 29) b(j)),
+c AS (SELECT x, y, round(degrees(x / 6378137) / 0.01) AS i, round(degrees(2 * atan(exp(y / 6378137)) - pi() / 2) / 0.01) AS j FROM t)
+SELECT px.time, c.y, c.x, round(red, 6) AS red FROM c JOIN px ON px.x = c.i AND px.y = c.j""")
+def regrid_other_crs(spark, d):
+    """A cube in degrees on a grid in metres of the web projection."""
+    degrees = D.pixels(spark, d, "red").withColumn("x", F.col("x") * F.lit(0.01)).withColumn("y", F.col("y") * F.lit(0.01))
+    return ops.regrid(degrees, GridSpec(0.0, 0.0, 0.01, 0.01, 2000, 100), GridSpec(1000.0, 500.0, 3000.0, 2500.0, 60, 30), "nearest", 4326, 3857).select("time", "y", "x", r("red"))
+
+
+@query(f"""WITH {PX}, t AS (SELECT i::DOUBLE AS x, j::DOUBLE AS y FROM generate_series(0, 199) a(i), generate_series(0, 39) b(j)),
+e AS (SELECT time, y, x, red, NULL AS nir FROM px UNION ALL SELECT px.time, t.y, t.x, NULL, nir FROM t JOIN px ON px.x = 2 * round(t.x / 2) AND px.y = 2 * round(t.y / 2))
+SELECT time::DATE AS time, y, x, round(avg(red), 6) AS red, round(avg(nir), 6) AS nir FROM e GROUP BY 1, 2, 3""")
+def multi_collection(spark, d):
+    fine = D.pixels(spark, d, "red")
+    coarse = D.pixels(spark, d, "nir").where("x % 2 = 0 and y % 2 = 0")
+    out = ops.multi_collection([(fine, GridSpec(0.0, 0.0, 1.0, 1.0, 200, 40)), (coarse, GridSpec(0.0, 0.0, 2.0, 2.0, 1000, 50))])
+    return out.select("time", "y", "x", r("red"), r("nir"))
+
+
+@query(f"WITH {PX}, t AS (SELECT time FROM (SELECT time, row_number() OVER (ORDER BY time) AS k FROM (SELECT DISTINCT time FROM px)) WHERE k = 6) SELECT px.time, y, x, round(red, 6) AS red FROM px SEMI JOIN t ON px.time = t.time")
+def nth_time(spark, d):
+    return ops.nth_time(D.pixels(spark, d, "red"), 5).select("time", "y", "x", r("red"))
+
+
+@query(f"WITH {PX} SELECT px.time, y, x, round(nir, 6) AS nir FROM px WHERE time = (SELECT min(time) FROM px)")
+def picture(spark, d):
+    return Datacube(D.pixels(spark, d, "nir")).picture(["nir"], 0).select("time", "y", "x", r("nir"))
+
+
+@query(f"WITH {PX} SELECT time, y, x, round(nir - avg(nir) OVER (PARTITION BY time), 6) AS nir FROM px")
+def per_time_anomaly(spark, d):
+    def anomaly(pdf):
+        return pdf.assign(nir=pdf["nir"] - pdf["nir"].mean())
+
+    return filters.per_time(D.pixels(spark, d, "nir"), anomaly).select("time", "y", "x", r("nir"))
+
+
+@query(f"WITH {PX} SELECT time, y, x, round(red, 6) AS red FROM px")
+def rechunk(spark, d):
+    return ops.rechunk(D.pixels(spark, d, "red"), "space").select("time", "y", "x", r("red"))
+
+
+@query(f"WITH {PX} SELECT count(DISTINCT time) AS n_time, count(DISTINCT y) AS n_y, count(DISTINCT x) AS n_x FROM px")
+def cube_sizes(spark, d):
+    return ops.sizes(D.pixels(spark, d, "red"))
+
+
+@query(f"WITH {PX} SELECT DISTINCT time FROM px")
+def timestamps(spark, d):
+    return Datacube(D.pixels(spark, d, "red")).timestamps
+
+
+@query(f"WITH {PX} SELECT time, y, x, round(red, 6) AS red FROM px WHERE day(time) % 5 > 0")
+def drop_null_times(spark, d):
+    df = D.pixels(spark, d, "red").withColumn("time", F.when(F.day("time") % 5 > 0, F.col("time")))
+    return build.build(spark, df).select("time", "y", "x", r("red"))
+
+
+@query(f"WITH {PX} SELECT time, y, x, round(red, 6) AS red, round(nir, 6) AS nir FROM px")
+def common_band_names(spark, d):
+    df = D.pixels(spark, d, "red", "nir").withColumnRenamed("nir", "nir08")
+    return build.build(spark, df, assets=build.map_bands("landsat-c2l2-sr", ["red", "nir", "lacking"])).select("time", "y", "x", r("red"), r("nir"))
+
+
+@query(f"WITH {PX} SELECT time, y, x, round(red, 6) AS red FROM px")
+def loader_registry(spark, d):
+    loaders.register_engine_loader("observations", lambda s, path, band: D.pixels(s, path, band))
+    return build.build(spark, d, engine="observations", band="red").select("time", "y", "x", r("red"))
+
+
+@query(f"WITH {PX} SELECT time, y, x, CASE WHEN scl % 3 = 0 THEN round(red, 6) END AS red FROM px")
+def mask_native_venus(spark, d):
+    df = D.pixels(spark, d, "red", "scl").withColumn("label", F.col("scl") % 3).drop("scl")
+    return mask.mask_pixels(df, "label", mask.native_clear(df, "venus-l2a", "label"), drop=True).select("time", "y", "x", r("red"))
+
+
+@query(f"WITH {PX}, m AS (SELECT time, y, x, scl FROM px WHERE scl < 6) SELECT time, y, x, CASE WHEN coalesce(m.scl IN (1, 2), false) THEN round(red, 6) END AS red FROM px LEFT JOIN m USING (time, y, x)")
+def mask_of_another_cube(spark, d):
+    px = D.pixels(spark, d, "red", "scl")
+    cube = Datacube(px.select("time", "y", "x", "red"))
+    out = cube.apply_mask("scl", clear_values=[1, 2], mask_cube=Datacube(px.where("scl < 6").select("time", "y", "x", "scl")))
+    return out.df.select("time", "y", "x", r("red"))
+
+
+@query(f"""WITH {PX}, {ITEMS}, t AS (SELECT time, row_number() OVER (ORDER BY time) AS n FROM (SELECT DISTINCT time FROM px)), i AS (SELECT platform, cloud_cover, row_number() OVER (ORDER BY datetime, pos) AS n FROM items)
+SELECT time, platform, cloud_cover FROM t LEFT JOIN i USING (n)""")
+def positional_properties(spark, d):
+    return build.positional_properties(D.raw_pixels(spark, d), D.items(spark, d), ["platform", "cloud_cover"])
+
+
+@query(f"""WITH {PX}, g AS (SELECT last_day(time) AS time, y, x // 100 AS x, avg(red) AS red, avg(nir) AS nir FROM px GROUP BY 1, 2, 3), a AS (SELECT time, y, x, red FROM g WHERE year(time) = 1996), b AS (SELECT time, y, x, nir FROM g WHERE year(time) = 1997), n AS (SELECT time, row_number() OVER (ORDER BY time) AS n FROM (SELECT DISTINCT time FROM a)),
+m AS (SELECT time, row_number() OVER (ORDER BY time) AS n FROM (SELECT DISTINCT time FROM b)), s AS (SELECT n.time, y, x, nir FROM b JOIN m ON b.time = m.time JOIN n ON n.n = m.n)
+SELECT a.time, a.y, a.x, round(red, 6) AS red, round(nir, 6) AS nir FROM a JOIN s ON a.time = s.time AND a.y = s.y AND a.x = s.x""")
+def align_by_position(spark, d):
+    p = D.pixels(spark, d, "red", "nir").groupBy(F.last_day("time").alias("time"), "y", F.floor(F.col("x") / 100).alias("x")).agg(F.avg("red").alias("red"), F.avg("nir").alias("nir"))
+    one = lambda year, band: p.where(F.year("time") == year).select("time", "y", "x", band)
+    return ops.align_by_position(one(1996, "red"), one(1997, "nir")).select("time", "y", "x", r("red"), r("nir"))
+
+
+_HIT = "h AS (SELECT DISTINCT last_day(time) AS time, y, x // 8 AS x FROM px WHERE nir > 46 AND month(time) = 3)"
+
+
+def _hits(spark, d) -> DataFrame:
+    p = D.pixels(spark, d, "nir").where("nir > 46 and month(time) = 3")
+    return p.select(F.last_day("time").alias("time"), "y", F.floor(F.col("x") / 8).alias("x")).distinct()
+
+
+@query(f"""WITH RECURSIVE {PX}, {_HIT}, e AS (SELECT a.time, a.y * 2000 + a.x AS u, b.y * 2000 + b.x AS v FROM h a JOIN h b ON a.time = b.time AND abs(a.x - b.x) + abs(a.y - b.y) = 1),
+reach(time, u, v) AS (SELECT time, y * 2000 + x, y * 2000 + x FROM h UNION SELECT r.time, r.u, e.v FROM reach r JOIN e ON r.time = e.time AND r.v = e.u)
+SELECT time, u AS cell, min(v)::BIGINT AS region FROM reach GROUP BY 1, 2""")
+def connected_regions(spark, d):
+    out = regions.connected_regions(_hits(spark, d), F.lit(True), D.GRID, work_dir(spark))
+    return out.select("time", (F.col("y") * 2000 + F.col("x")).alias("cell"), "region")
+
+
+@query(f"""WITH RECURSIVE {PX}, {_HIT}, e AS (SELECT a.time, a.y * 2000 + a.x AS u, b.y * 2000 + b.x AS v FROM h a JOIN h b ON a.time = b.time AND abs(a.x - b.x) + abs(a.y - b.y) = 1),
+reach(time, u, v) AS (SELECT time, y * 2000 + x, y * 2000 + x FROM h UNION SELECT r.time, r.u, e.v FROM reach r JOIN e ON r.time = e.time AND r.v = e.u),
+c AS (SELECT time, u, min(v) AS region FROM reach GROUP BY 1, 2), n AS (SELECT time, u, count(*) AS n FROM e GROUP BY 1, 2)
+SELECT c.time, region::BIGINT AS region, sum(4 - coalesce(n, 0))::BIGINT AS sides FROM c LEFT JOIN n ON c.time = n.time AND c.u = n.u GROUP BY 1, 2""")
+def region_outlines(spark, d):
+    found = regions.connected_regions(_hits(spark, d), F.lit(True), D.GRID, work_dir(spark))
+    return regions.region_outlines(found, D.GRID).groupBy("time", "region").agg(F.count("*").alias("sides"))
+
+
+def _tiff(spark, d) -> DataFrame:
+    """The sizes of parts as a raster of 50 columns: a file of deflated tiles."""
+
+    def run(batches):
+        for b in batches:
+            sizes = np.array(b.column("sizes")[0].as_py(), np.uint16)
+            a = np.zeros((-(-len(sizes) // 50), 50, 1), np.uint16)
+            a.reshape(-1)[: len(sizes)] = sizes
+            yield pa.RecordBatch.from_arrays([pa.array(["part.tif"]), pa.array([tiff.encode(a, 16, transform=(500.0, 900.0, 10.0, 5.0), epsg=32631)], pa.binary())], ["path", "content"])
+
+    sizes = D.table(spark, d, "part").agg(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "p_size"))), lambda x: x["p_size"]).alias("sizes"))
+    return sizes.mapInArrow(run, "path string, content binary")
+
+
+@query("SELECT ((k - 1) // 50)::INT AS row, ((k - 1) % 50)::INT AS col, 500 + ((k - 1) % 50 + 0.5) * 10.0::DOUBLE AS x, 900 - ((k - 1) // 50 + 0.5) * 5.0::DOUBLE AS y, v::DOUBLE AS value FROM (SELECT row_number() OVER (ORDER BY p_partkey) AS k, p_size AS v FROM part)")
+def read_tiff_pixels(spark, d):
+    n = D.table(spark, d, "part").agg(F.count("*").alias("n"))
+    px = tiff.pixels_of(_tiff(spark, d))
+    return px.crossJoin(n).where("row * 50 + col < n").select("row", "col", "x", "y", "value")
+
+
+@query("SELECT ((k - 1) // 50)::INT AS row, ((k - 1) % 50)::INT AS col, v::DOUBLE AS value FROM (SELECT row_number() OVER (ORDER BY p_partkey) AS k, p_size AS v FROM part) WHERE (k - 1) // 50 BETWEEN 1 AND 3 AND (k - 1) % 50 BETWEEN 10 AND 39")
+def read_tiff_window(spark, d):
+    return tiff.pixels_of(_tiff(spark, d), (1, 10, 3, 30)).select("row", "col", "value")
+
+
+@query("SELECT 500 + ((k - 1) % 50 + 0.5) * 10.0::DOUBLE AS x, 900 - ((k - 1) // 50 + 0.5) * 5.0::DOUBLE AS y, DATE '2024-05-01' AS time, v::DOUBLE AS red FROM (SELECT row_number() OVER (ORDER BY p_partkey) AS k, p_size AS v FROM part)")
+def cube_from_tiff(spark, d):
+    n = D.table(spark, d, "part").agg(F.count("*").alias("n"))
+    px = tiff.pixels_of(_tiff(spark, d)).crossJoin(n).where("row * 50 + col < n").drop("n")
+    assets = spark.sql("SELECT 'part.tif' AS path, DATE'2024-05-01' AS time, 'red' AS band")
+    return tiff.cube(px, assets, ["red"])
+
+
+# -- further catalogue and table operations -----------------------------------------------
+
+
+@query(f"WITH {ITEMS} SELECT id FROM items WHERE collection = '1-URGENT' AND year(datetime) = 1996")
+def legacy_search(spark, d):
+    return pipelines.legacy_search(D.items(spark, d), alternate=None, deduplicate=False, raise_no_items=False, collections="1-URGENT", datetime="1996").select("id")
+
+
+@query(f"WITH {ITEMS} SELECT id, (3 - date_diff('day', TIMESTAMP '1996-01-01', datetime) // 91)::INT AS batch FROM items WHERE datetime >= '1996-01-01' AND datetime < '1996-12-30'")
+def batched_search(spark, d):
+    return pipelines.batched_search(D.items(spark, d), "1996-01-01/1996-12-29", 91).select("id", "batch")
+
+
+@query(f"WITH {ITEMS} SELECT id FROM items WHERE b0 <= 5.2 AND b0 + 1.5 >= 5.2 AND year(datetime) = 1995")
+def helper_items(spark, d):
+    return pipelines.helper_items(D.items(spark, d), geometry="POINT (5.2 5.2)", time_range="1995").select("id")
+
+
+@query("SELECT p_partkey AS id FROM part WHERE p_size % 2 = 0 AND p_partkey % 3 = 0")
+def sentinel1_items(spark, d):
+    names = F.when(F.col("p_size") % 2 == 0, F.array(F.lit("vv"), F.lit("vh"))).otherwise(F.array(F.lit("hh")))
+    state = F.when(F.col("p_partkey") % 3 == 0, "ascending").otherwise("descending")
+    rows = D.table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.map_from_arrays(names, names).alias("assets"), F.to_json(F.struct(state.alias("sat:orbit_state"), F.lit("IW").alias("sar:instrument_mode"))).alias("properties"))
+    return pipelines.sentinel1_items(rows, ["VV"], "ascending", "IW").select("id")
+
+
+@query("SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 4 = 0 AND (o_orderkey * 37) % 101 < 50")
+def mask_available(spark, d):
+    k = F.col("o_orderkey")
+    items = D.table(spark, d, "orders").select(k.alias("id"), F.to_json(F.struct((k % 4 == 0).alias("eda:cloud_mask_available"), ((k * 37) % 101).alias("eo:cloud_cover"))).alias("properties"))
+    return catalog.mask_available(items, "cloud_mask", {"eo:cloud_cover": {"lt": 50}}).select("id")
+
+
+@query("SELECT event_id AS id, json_extract(props, '$.k')::BIGINT AS k FROM events")
+def item_info(spark, d):
+    rows = D.series(spark, d).select(F.col("event_id").alias("id"), F.col("props").alias("properties"))
+    return items_ops.item_info(rows, {"k": "k"}).select("id", F.col("k").cast("long").alias("k"))
+
+
+@query("SELECT p_partkey AS id, n AS asset FROM part, (VALUES ('r'), ('n')) t(n)")
+def select_assets(spark, d):
+    names = F.array(F.lit("red"), F.lit("nir"), F.lit("xml"))
+    rows = D.table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.map_from_arrays(names, names).alias("assets"))
+    return catalog.select_assets(rows, {"red": "r", "nir": "n"}).select("id", F.explode(F.map_keys("assets")).alias("asset"))
+
+
+@query(f"WITH {PX}, {ITEMS} SELECT time, y, x, round(red, 6) AS red FROM px SEMI JOIN (SELECT DISTINCT datetime FROM items WHERE cloud_cover < 30) i ON px.time = i.datetime")
+def create_cube(spark, d):
+    items = D.items(spark, d).where("cloud_cover < 30")
+    return pipelines.create_cube(items, D.pixels(spark, d, "red"), assets=["red"], deduplicate_by=["date", "collection_id"]).df.select("time", "y", "x", r("red"))
+
+
+@query(f"WITH {_OLD} SELECT id, price FROM old UNION ALL SELECT id, price FROM new WHERE id % 3 = 0")
+def create_item(spark, d):
+    old, new = _old_new(spark, d)
+    return mutate.create_item(old, new.where("id % 3 = 0")).select("id", "price")
+
+
+@query(f"WITH {_OLD} SELECT id, price FROM old WHERE id % 3 <> 1 UNION ALL SELECT id, price FROM new WHERE id % 3 = 1")
+def update_item(spark, d):
+    old, new = _old_new(spark, d)
+    return mutate.update_item(old, new.where("id % 3 = 1")).select("id", "price")
+
+
+@query(f"WITH {_OLD} SELECT id, price FROM old WHERE id % 3 <> 1")
+def delete_item(spark, d):
+    old, new = _old_new(spark, d)
+    return mutate.delete(old, new.where("id % 3 = 1"), ["collection", "id"]).select("id", "price")
+
+
+@query(f"WITH {_OLD} SELECT 'COMPLETED' AS status, count(*) - count(old.id) AS items_written_count, ((SELECT count(*) FROM old) + count(*) - count(old.id))::VARCHAR AS there FROM new LEFT JOIN old USING (id)")
+def bulk_insert_commit(spark, d):
+    job = mutate.commit(*mutate.bulk_insert(*_old_new(spark, d), "SKIP"), work_dir(spark))
+    return job.select("status", "items_written_count", F.substring_index("message", " ", 1).alias("there"))
+
+
+@query("SELECT id, max(-v) AS price FROM (SELECT o_custkey AS id, arg_max(o_totalprice, o_orderkey) AS v FROM orders GROUP BY 1) GROUP BY 1")
+def bulk_insert_last_wins(spark, d):
+    new = D.table(spark, d, "orders").select(F.col("o_custkey").alias("id"), F.lit("c").alias("collection"), (-F.col("o_totalprice")).alias("price"), F.col("o_orderkey").alias("pos"))
+    return mutate.bulk_insert(new.limit(0), new, "OVERRIDE", order="pos")[0].select("id", "price")
+
+
+@query(f"WITH {ITEMS} SELECT 'COMPLETED' AS status, count(*) AS items_written_count FROM items WHERE year(datetime) = 1997")
+def bulk_search(spark, d):
+    return pipelines.bulk_search(D.items(spark, d), work_dir(spark), datetime="1997").select("status", "items_written_count")
+
+
+@query("SELECT c_custkey::VARCHAR AS id, c_mktsegment AS collection FROM customer")
+def item_stream(spark, d):
+    """Items that arrive as files of JSON lines, some of them twice, inserted by micro-batches."""
+    work = work_dir(spark)
+    rows = D.table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_mktsegment").alias("collection"), F.lit("2024-01-01T00:00:00").alias("datetime"))
+    rows.unionByName(rows.where("id % 5 = 0")).write.json(f"{work}/in")
+    ingest.append_new(ingest.read_item_stream(spark, f"{work}/in"), f"{work}/table", f"{work}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{work}/table").select("id", "collection")
+
+
+@query("SELECT l_returnflag AS flag, l_linestatus AS status, count(*) AS n, count(DISTINCT l_suppkey) AS suppliers, sum(l_linenumber)::BIGINT AS lines FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)")
+def grouping_sets(spark, d):
+    rows = D.table(spark, d, "lineitem").select(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"), "l_suppkey", "l_linenumber")
+    return rows.rollup("flag", "status").agg(F.count("*").alias("n"), F.count_distinct("l_suppkey").alias("suppliers"), F.sum("l_linenumber").alias("lines"))
+
+
+@query("SELECT o_orderkey AS id, (rank() OVER w)::INT AS rank, (dense_rank() OVER w)::INT AS dense, (ntile(4) OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey))::INT AS quarter, round(percent_rank() OVER w, 6) AS share FROM orders WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_orderdate)")
+def ranking(spark, d):
+    w = Window.partitionBy("collection").orderBy("datetime")
+    cut = Window.partitionBy("collection").orderBy("datetime", "id")
+    return D.items(spark, d).select("id", F.rank().over(w).alias("rank"), F.dense_rank().over(w).alias("dense"), F.ntile(4).over(cut).alias("quarter"), F.round(F.percent_rank().over(w), 6).alias("share"))
+
+
+def _times(spark, d):
+    return D.raw_pixels(spark, d).select(F.to_date("time").alias("day")), D.items(spark, d).select(F.to_date("datetime").alias("day"))
+
+
+@query("SELECT l_shipdate::DATE AS day FROM lineitem INTERSECT SELECT o_orderdate::DATE FROM orders")
+def times_in_both(spark, d):
+    a, b = _times(spark, d)
+    return a.intersect(b)
+
+
+@query("SELECT l_shipdate::DATE AS day FROM lineitem EXCEPT SELECT o_orderdate::DATE FROM orders")
+def times_in_one(spark, d):
+    a, b = _times(spark, d)
+    return a.subtract(b)
+
+
+@query("SELECT n_name AS nation, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1")
+def join_strategies(spark, d):
+    """A merge join, a hash join of shuffled sides, and a table of a fixed 25 rows at every size sent to all."""
+    o, c, n = (D.table(spark, d, t) for t in ("orders", "customer", "nation"))
+    big = o.join(c.hint("merge"), F.col("o_custkey") == F.col("c_custkey")).groupBy("c_nationkey").agg(F.count("*").alias("n"))
+    return big.join(n.hint("shuffle_hash"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("nation"), "n")
+
+
+@query("SELECT o_orderpriority AS collection, round(sum(o_totalprice * o_custkey) / sum(o_custkey), 4) AS mean FROM orders GROUP BY 1")
+def weighted_mean_udaf(spark, d):
+    """An aggregate of the caller's own: a group is one task's, so its partial sums are made first."""
+
+    @F.pandas_udf("double")
+    def ratio(a: pd.Series, b: pd.Series) -> float:
+        return float(a.sum() / b.sum())
+
+    o = D.table(spark, d, "orders")
+    part = o.groupBy(F.col("o_orderpriority").alias("collection"), (F.col("o_orderkey") % 16).alias("k")).agg(F.sum(F.col("o_totalprice") * F.col("o_custkey")).alias("a"), F.sum("o_custkey").alias("b"))
+    return part.groupBy("collection").agg(F.round(ratio("a", "b"), 4).alias("mean"))
+
+
+@query("SELECT p_partkey AS id, k::INT AS tile FROM part, generate_series(0, 2) g(k) WHERE k <= p_size % 3")
+def tiles_udtf(spark, d):
+    """A table function of the caller's own."""
+
+    @F.udtf(returnType="tile int")
+    class Tiles:
+        def eval(self, n: int):
+            for k in range(n):
+                yield (k,)
+
+    spark.udtf.register("eocube_tiles", Tiles)
+    D.table(spark, d, "part").createOrReplaceTempView("eocube_parts")
+    return spark.sql("SELECT p_partkey AS id, tile FROM eocube_parts, LATERAL eocube_tiles(p_size % 3 + 1)")
