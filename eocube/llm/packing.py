@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 from .text import NO_ID, documents
-from .tokens import tokenizer
+from .tokens import forget, tokenizer
 
 GROUP, ISLANDS, EPOCHS, POPULATION, GENERATIONS = 2048, 3, 2, 5, 8
 ITEM = np.dtype([("doc", "<i8"), ("piece", "<i4"), ("start", "<i8"), ("length", "<i4"), ("crc", "<u4")])
@@ -50,6 +50,7 @@ def _pieces(path: str, capacity: int, end_id: int):
                     rows.append((None if d == NO_ID else d, k, lo, len(part), zlib.crc32(part.tobytes())))
             cols = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()), strict=True)], ["doc_id", "piece", "start", "length", "crc"])
+        forget()
 
     return run
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 from .text import NO_ID, documents
-from .tokens import tokenizer
+from .tokens import forget, tokenizer
 
 BLOCK_IDS, GROUP_BLOCKS = 1 << 18, 1024
 BLOCKS = "file long, block long, ids binary"
@@ -53,6 +53,7 @@ def _write(path: str, end_id: int, dtype: str):
                 held, at = [flat[whole:]], len(flat) - whole
         if at:
             yield row(np.concatenate(held))
+        forget()
 
     return run
 

@@ -12,7 +12,7 @@ import json
 
 import numpy as np
 
-from .text import LOWER, word_hashes
+from .text import LOWER, tidy, word_hashes
 
 MOST_CHUNKS = 3_000_000
 LEARN = 4096
@@ -39,6 +39,12 @@ def tokenizer(path: str, plain_specials: bool = False) -> "Ids":
     return _loaded[path, plain_specials]
 
 
+def forget() -> None:
+    """A task that is through leaves no tokenizer behind: workers live on, and another stage needs the memory."""
+    _loaded.clear()
+    tidy()
+
+
 class Ids:
     def __init__(self, path: str, plain_specials: bool = False):
         from tokenizers import Tokenizer
