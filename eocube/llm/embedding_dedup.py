@@ -127,15 +127,15 @@ def _cut(most: int):
 
 def candidates(x: np.ndarray, y: np.ndarray, half: float, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of columns of ``x`` and ``y`` [projection, vector] that collide at least ``least`` times."""
-    n, m = x.shape[1], y.shape[1]
-    count, every = np.zeros((m, n), np.uint8), np.arange(n)
+    count = np.zeros((y.shape[1], x.shape[1]), np.uint8)
+    rank = np.empty(y.shape[1], np.uint16)
     for a, b in zip(x, y, strict=True):
         order = np.argsort(b, kind="stable")
         s = b[order]
-        step = np.zeros((m + 1, n), np.int8)  # +1 where a window begins in this order, -1 behind its end
-        step[np.searchsorted(s, a - half), every] += 1
-        step[np.searchsorted(s, a + half, "right"), every] -= 1
-        count[order] += np.cumsum(step[:m], axis=0, dtype=np.int8).view(np.uint8)
+        rank[order] = np.arange(len(s), dtype=np.uint16)
+        lo = np.searchsorted(s, a - half).astype(np.uint16)  # a window is the interval of ranks from lo on
+        wide = np.searchsorted(s, a + half, "right").astype(np.uint16) - lo
+        count += (np.subtract.outer(rank, lo) < wide).view(np.uint8)  # ranks before lo wrap round to large numbers
     j, i = np.nonzero(count >= least)
     return i, j
 
