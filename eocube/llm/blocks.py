@@ -69,9 +69,17 @@ def opened(batches: Iterable[pa.RecordBatch]):
         tidy()
 
 
-def buckets_for(spark) -> int:
-    """Hash buckets: several for each shuffle partition, so that they even out."""
-    return max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+BUCKET_BYTES = 8 << 20
+
+
+def buckets_for(blocks: DataFrame) -> int:
+    """Hash buckets: several for each shuffle partition, so that they even out, and more where lists would get too long.
+
+    A bucket is one group; its lists take about as much as the compressed text of
+    its share of ``blocks``, which must be stored.
+    """
+    size = blocks.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0))).first()[0]
+    return max(64, 4 * int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(size) // BUCKET_BYTES))
 
 
 def bucket_of(h: np.ndarray, n: int) -> np.ndarray:

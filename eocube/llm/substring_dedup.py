@@ -150,9 +150,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "substring")
-    n_buckets = buckets_for(spark)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     blocks = scratch.keep(blocks_of(src), "blocks")
+    n_buckets = buckets_for(blocks)
     levels = ladder(window, first)
     for i, n in enumerate(levels):
         exact = i == len(levels) - 1

@@ -17,12 +17,15 @@ its shards, is out of reach; so text is first narrowed down, without loss:
 
 An anchor with more than ``HOT`` different texts (a passage that very many
 documents share in different surroundings) would be an unbounded group: its
-windows are dealt by their own 64-bit hashes instead. Hashes of step 1 and 2
-are 64 bits too.
+windows are dealt by their own 64-bit hashes instead, and nothing is left out.
+Whole runs are equal if their anchors' hashes and their texts' are, 128 bits
+together.
 
 Defined results: a null text is an empty one; a null id sorts after all others;
 rows that repeat an id never remove each other's bytes, but each its own later
-repeats; a text shorter than ``length`` loses nothing.
+repeats; a text shorter than ``length`` loses nothing. A document is never cut
+between blocks: a very long one must fit a worker, with some sixty bytes for
+each of its bytes.
 """
 
 from __future__ import annotations
@@ -364,9 +367,9 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "suffix")
-    n = buckets_for(spark)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     blocks = scratch.keep(blocks_of(src), "blocks")
+    n = buckets_for(blocks)
     one = scratch.keep(answer(blocks.mapInArrow(_ask_anchors(length, n), ROWS), twice, (np.uint32, np.uint8)), "anchors")
     blocks = with_answers(blocks, one, "l1")
     two = scratch.keep(answer_rows(blocks.mapInArrow(_ask_runs(length, n), ROWS), ["a", "b"], _judge_runs), "runs")

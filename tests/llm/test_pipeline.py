@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 import corpus_pipeline as P
@@ -67,3 +69,20 @@ def test_stages_take_odd_documents(spark, odd, empty):
             if i < len(P.STAGES) - 1:
                 assert after.columns == docs.columns and after.count() <= n
             docs = after
+
+
+def test_near_dedup_of_a_large_group(spark):
+    """A large group of near copies, one of exact copies and others: one of each group stays."""
+    rnd = random.Random(2)
+    word = lambda: "".join(rnd.choice("etaoinshrdlu") for _ in range(6))
+    base, rows = [word() for _ in range(120)], []
+    for i in range(400):
+        w = list(base)
+        for _ in range(rnd.randrange(1, 4)):
+            w[rnd.randrange(120)] = word()
+        rows.append((i, " ".join(w)))
+    copy = " ".join(word() for _ in range(50))
+    rows += [(i, copy) for i in range(400, 900)] + [(i, " ".join(word() for _ in range(40))) for i in range(900, 960)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    comp = components(rows, 5)
+    assert sorted(r.doc_id for r in P.near_dedup(spark, docs, DATA).collect()) == sorted(d for d, c in comp.items() if c == d)
