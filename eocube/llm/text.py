@@ -102,7 +102,8 @@ except (OSError, AttributeError):  # another C library: nothing to ask for
 
 
 def tidy() -> None:
-    """Give freed memory back: workers live on, and what one task kept would count against the next."""
+    """Give memory back: workers live on, and what one task kept would count against the next."""
+    _powers.clear()  # as long as the longest text so far, and quickly made again
     pa.default_memory_pool().release_unused()
     if _trim:
         _trim(0)
