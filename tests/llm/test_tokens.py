@@ -84,9 +84,9 @@ def test_raw_files(spark, tmp_path):
 def check_packing(rows, out, capacity=2048):
     import zlib
 
-    want = []
+    want, tok = [], Tokenizer.from_file(PATH)
     for r in rows:
-        ids = Tokenizer.from_file(PATH).encode(r.text or "", add_special_tokens=False).ids + [0]
+        ids = tok.encode(r.text or "", add_special_tokens=False).ids + [0]
         want += [(str(r.doc_id), k, a, len(ids[a : a + capacity]), zlib.crc32(np.array(ids[a : a + capacity], "<u4").tobytes())) for k, a in enumerate(range(0, len(ids), capacity))]
     assert sorted((str(r.doc_id), r.piece, r.start, r.length, r.ids_crc32) for r in out) == sorted(want)
     bins = {}
