@@ -154,7 +154,7 @@ PAIR = np.dtype([("h", "<u8"), ("g", "<u8")])
 
 
 def elsewhere_earlier_pair(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
-    """The same for hashes of 128 bits."""
+    """Entries (hash of 128 bits, key) for which some block has the same hash with a smaller key."""
     both, k = np.concatenate(a), np.concatenate(b)
     order = np.lexsort((k, both["g"], both["h"]))
     h, g, k = both["h"][order], both["g"][order], k[order]
@@ -164,16 +164,3 @@ def elsewhere_earlier_pair(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.
     out = np.empty(len(h), bool)
     out[order] = least < k
     return np.split(out, np.cumsum([len(x) for x in a])[:-1])
-
-
-def elsewhere_earlier(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
-    """Entries (hash, key) for which some block has the same hash with a smaller key."""
-    h, k = np.concatenate(a), np.concatenate(b)
-    order = np.lexsort((k, h))
-    s = h[order]
-    new = np.ones(len(s), bool)
-    new[1:] = s[1:] != s[:-1]
-    least = k[order][np.flatnonzero(new)][np.cumsum(new) - 1]
-    out = np.empty(len(s), bool)
-    out[order] = least < k[order]
-    return np.split(out, np.cumsum([len(x) for x in a])[:-1])

@@ -17,28 +17,30 @@ its shards, is out of reach; so text is first narrowed down, without loss:
 
 An anchor with more than ``HOT`` different texts (a passage that very many
 documents share in different surroundings) would be an unbounded group: its
-windows are dealt by their own 64-bit hashes instead, and nothing is left out.
-Whole runs are equal if their anchors' hashes and their texts' are, 128 bits
-together.
+windows are dealt by their own hashes of 128 bits (two polynomials over different
+values of the bytes) instead, and nothing is left out. Whole runs are equal if
+their anchors' hashes and their texts' are, 128 bits together.
 
 Defined results: a null text is an empty one; a null id sorts after all others;
 rows that repeat an id never remove each other's bytes, but each its own later
 repeats; a text shorter than ``length`` loses nothing. A document is never cut
 between blocks: a very long one must fit a worker, with some sixty bytes for
-each of its bytes.
+each of its bytes (eighty where an anchor is hot).
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import answer, answer_rows, blocks_of, buckets_for, elsewhere_earlier, expand, flags, lists, opened, squeeze, twice, with_answers
+from .blocks import PAIR, answer, answer_rows, blocks_of, buckets_for, elsewhere_earlier_pair, expand, flags, lists, opened, squeeze, twice, with_answers
 from .bwt import MOST_SHARDS, merge, transform
 from .scratch import Scratch
-from .text import _BYTE, NO_ID, covered, doc_windows, mix, powers, spread
+from .text import _BYTE, NO_ID, OTHER_BASE, covered, doc_windows, mix, powers, spread
 
 HOT, PART = 512, 96 << 10
 _U = np.uint64
@@ -50,10 +52,10 @@ ROWS = "bucket int, block_id long, a binary, b binary"
 class _Hashed:
     """Hashes of any pieces of a byte string."""
 
-    def __init__(self, buf: np.ndarray):
-        self.p, self.q = powers(_BASE, len(buf) + 1)
+    def __init__(self, buf: np.ndarray, base: int = _BASE, values: np.ndarray = _BYTE):
+        self.p, self.q = powers(base, len(buf) + 1)
         self.h = np.zeros(len(buf) + 1, _U)
-        np.cumsum(_BYTE[buf] * self.p[: len(buf)], out=self.h[1:])
+        np.cumsum(values[buf] * self.p[: len(buf)], out=self.h[1:])
 
     def of(self, start, stop) -> np.ndarray:
         return mix((self.h[stop] - self.h[start]) * self.q[start] + (stop - start).astype(_U))
@@ -128,11 +130,11 @@ class _Block:
         of[order] = np.cumsum(new) - 1
         return live, a[at], t[at], key[at], of
 
-    def first_in_row(self, hashes: np.ndarray, rows: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """Is it the first of its row with this hash?"""
-        order = np.lexsort((places, rows, hashes))
+    def first_in_row(self, of: np.ndarray, rows: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Is it the first of its row that is the same entry?"""
+        order = np.lexsort((places, rows, of))
         new = np.ones(len(order), bool)
-        new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (rows[order][1:] != rows[order][:-1])
+        new[1:] = (of[order][1:] != of[order][:-1]) | (rows[order][1:] != rows[order][:-1])
         out = np.empty(len(order), bool)
         out[order] = new
         return out
@@ -142,7 +144,7 @@ class _Block:
         live, a, t, lo, of = self.runs(row["l1"], n_buckets)
         state = _states(a, n_buckets, row["l2"])
         key = self.ids[self.doc[live]]
-        repeat = state[0][of] | (key > lo[of]) | ~self.first_in_row(mix(a[of]) ^ t[of], self.doc[live], self.s0[live])
+        repeat = state[0][of] | (key > lo[of]) | ~self.first_in_row(of, self.doc[live], self.s0[live])
         rep = np.full(len(a), -1)
         stay = np.flatnonzero(~repeat)
         rep[of[stay][::-1]] = live[stay][::-1]
@@ -155,6 +157,15 @@ class _Block:
         count = self.s1[runs] - self.s0[runs] + 1
         return spread(self.s0[runs], count), np.repeat(np.arange(len(runs)), count)
 
+    def hot_windows(self, runs: np.ndarray, lo: np.ndarray):
+        """Starts of the windows of some runs and the run's index; sorted distinct hashes, the smallest id of each, each window's index among them."""
+        pos, of = self.windows(runs)
+        h = np.empty(len(pos), PAIR)
+        if len(pos):
+            other = _Hashed(self.buf, OTHER_BASE, _BYTE[::-1])
+            h["h"], h["g"] = (x.of(pos, pos + self.length) for x in (self.hash, other))
+        return pos, of, *_distinct(h, lo[of])
+
 
 def _states(a: np.ndarray, n_buckets: int, answers) -> np.ndarray:
     """Three flags for each entry: earlier elsewhere, undecided, hot."""
@@ -195,7 +206,7 @@ def _ask_runs(length, n_buckets):
     return run
 
 
-def _judge_runs(_bucket: int, rows: list[dict]) -> list[np.ndarray]:
+def _judge_runs(_bucket: int, rows: list[dict], most: int = HOT) -> list[np.ndarray]:
     pairs = [expand(r["a"], RUN) for r in rows]
     key = np.concatenate([expand(r["b"], np.int64) for r in rows])
     a, t = (np.concatenate([p[c] for p in pairs]) for c in ("anchor", "text"))
@@ -207,7 +218,7 @@ def _judge_runs(_bucket: int, rows: list[dict]) -> list[np.ndarray]:
     least = k[np.flatnonzero(new)][np.cumsum(new) - 1]
     texts = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_a))[np.cumsum(new_a) - 1]
     state = np.empty((3, len(a)), bool)
-    state[:, order] = [least < k, (least == k) & (texts > 1), texts > HOT]
+    state[:, order] = [least < k, (least == k) & (texts > 1), texts > most]
     edge = np.cumsum([0] + [len(p) for p in pairs])
     return [state[:, x:y].reshape(-1) for x, y in zip(edge[:-1], edge[1:], strict=True)]
 
@@ -233,9 +244,8 @@ def _ask_windows(length, n_buckets):
                 items = _items(b, runs, lo[cold[s]])
                 text = buf[spread(b.s0[runs], items["count"] + length - 1)]
                 rows.append((k, block, squeeze(items), squeeze(text)))
-            pos, of = b.windows(rep[hot])
-            u, least = _distinct(b.hash.of(pos, pos + length), lo[hot][of])[:2]
-            rows += [(n_buckets + k, block, squeeze(u[s]), squeeze(least[s])) for k, s in lists(u, n_buckets)]
+            _, _, u, least, _ = b.hot_windows(rep[hot], lo[hot])
+            rows += [(n_buckets + k, block, squeeze(u[s]), squeeze(least[s])) for k, s in lists(u["h"], n_buckets)]
             yield _batch(rows)
 
     return run
@@ -243,7 +253,7 @@ def _ask_windows(length, n_buckets):
 
 def _distinct(h: np.ndarray, key: np.ndarray):
     """Sorted distinct hashes, the smallest key of each, and each hash's index."""
-    order = np.lexsort((key, h))
+    order = np.lexsort((key, h["g"], h["h"]))
     s = h[order]
     new = np.ones(len(s), bool)
     new[1:] = s[1:] != s[:-1]
@@ -255,7 +265,7 @@ def _distinct(h: np.ndarray, key: np.ndarray):
 def _judge_windows(length: int, n_buckets: int):
     def judge(bucket: int, rows: list[dict]) -> list[np.ndarray]:
         if bucket >= n_buckets:
-            return elsewhere_earlier([expand(r["a"], _U) for r in rows], [expand(r["b"], np.int64) for r in rows])
+            return elsewhere_earlier_pair([expand(r["a"], PAIR) for r in rows], [expand(r["b"], np.int64) for r in rows])
         shards = [expand(r["a"], ITEM) for r in rows]
         edge = np.cumsum([0] + [len(x) for x in shards])
         items = np.concatenate(shards)
@@ -335,10 +345,9 @@ def _finish(length, n_buckets):
                 every = np.unpackbits(np.frombuffer(bits, np.uint8), count=sum(count)).astype(bool) if bits is not None else np.zeros(sum(count), bool)
                 said.update(zip(cold[s].tolist(), np.split(every, np.cumsum(count)[:-1]), strict=True))
             if len(hot):
-                pos, i = b.windows(rep[hot])
-                u, least, back = _distinct(b.hash.of(pos, pos + length), lo[hot][i])
-                elsewhere = flags(u, n_buckets, [{"bucket": k - n_buckets, "bits": x} for k, x in got.items() if k >= n_buckets])
-                again = elsewhere[back] | (least[back] < lo[hot][i]) | ~b.first_in_row(u[back], b.doc[rep[hot]][i], pos)
+                pos, i, u, least, back = b.hot_windows(rep[hot], lo[hot])
+                elsewhere = flags(u["h"], n_buckets, [{"bucket": k - n_buckets, "bits": x} for k, x in got.items() if k >= n_buckets])
+                again = elsewhere[back] | (least[back] < lo[hot][i]) | ~b.first_in_row(back, b.doc[rep[hot]][i], pos)
                 said.update(zip(hot.tolist(), np.split(again, np.cumsum(b.s1[rep[hot]] - b.s0[rep[hot]] + 1)[:-1]), strict=True))
             if said:
                 for run_, entry in zip(*(x.tolist() for x in twin), strict=True):
@@ -359,11 +368,12 @@ def _finish(length, n_buckets):
     return run
 
 
-def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, scratch: Scratch | None = None) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, hot: int = HOT, scratch: Scratch | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, kept (bytes that stay), n_bytes, n_removed, n_spans.
 
     A byte goes if a string of ``length`` bytes covers it that also starts
-    earlier: in a document with a smaller id, or before it in the same one.
+    earlier: in a document with a smaller id, or before it in the same one. An
+    anchor with over ``hot`` texts is decided by hashes of its windows.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "suffix")
@@ -372,7 +382,7 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     n = buckets_for(blocks)
     one = scratch.keep(answer(blocks.mapInArrow(_ask_anchors(length, n), ROWS), twice, (np.uint32, np.uint8)), "anchors")
     blocks = with_answers(blocks, one, "l1")
-    two = scratch.keep(answer_rows(blocks.mapInArrow(_ask_runs(length, n), ROWS), ["a", "b"], _judge_runs), "runs")
+    two = scratch.keep(answer_rows(blocks.mapInArrow(_ask_runs(length, n), ROWS), ["a", "b"], partial(_judge_runs, most=hot)), "runs")
     blocks = with_answers(blocks, two, "l2")
     three = scratch.keep(answer_rows(blocks.mapInArrow(_ask_windows(length, n), ROWS), ["a", "b"], _judge_windows(length, n)), "windows")
     blocks = with_answers(blocks, three, "l3")

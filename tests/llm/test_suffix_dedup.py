@@ -30,10 +30,10 @@ def brute(rows, n):
     return out
 
 
-def check(df, n):
+def check(df, n, hot=S.HOT):
     rows = [(r.doc_id, r.text) for r in df.collect()]
     want = sorted((str(d), *x) for (d, _), x in zip(rows, brute(rows, n), strict=True))
-    got = sorted((str(r.doc_id), bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans) for r in S.remove_repeated_bytes(df, length=n).collect())
+    got = sorted((str(r.doc_id), bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans) for r in S.remove_repeated_bytes(df, length=n, hot=hot).collect())
     assert got == want
     return sum(x[3] for x in got)
 
@@ -48,9 +48,8 @@ def test_empty_table(empty):
 
 
 @pytest.mark.parametrize("hot", [1, 512])
-def test_shared_passages_with_edits(spark, monkeypatch, hot):
+def test_shared_passages_with_edits(spark, hot):
     """Passages that begin and end anywhere, near copies, periodic texts; with and without the way for hot anchors."""
-    monkeypatch.setattr(S, "HOT", hot)
     rnd = random.Random(8)
     text = lambda n, a="abcdefgh é": "".join(rnd.choice(a) for _ in range(n))
     pool = [text(rnd.randrange(30, 200)) for _ in range(6)]
@@ -59,7 +58,7 @@ def test_shared_passages_with_edits(spark, monkeypatch, hot):
         t = "".join(rnd.choice([text(rnd.randrange(1, 60)), p[rnd.randrange(20) :], p[: len(p) - rnd.randrange(20)]]) for p in rnd.choices(pool, k=3))
         rows.append((i, t))
     rows += [(90, "ab" * 150), (91, "ba" * 120), (92, "a" * 300), (93, "a" * 99), (94, text(100)), (89, rows[5][1])]
-    assert check(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 40) > 0
+    assert check(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 40, hot) > 0
 
 
 def test_merge_sorts_and_groups():
