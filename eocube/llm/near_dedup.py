@@ -15,7 +15,8 @@ All nodes of all trees are read off one global sort by (tree, path, salt): equal
 prefixes are neighbours, a node of any size is cut evenly between partitions,
 and no key decides how many rows a task gets. A piece of a cut node has its own
 leader, and pieces differ from tree to tree, so a group of copies that fills a
-third of the table is still tied together. Sketches only filter candidates; a
+third of the table is still tied together. A partition has PART_ROWS paths or
+more, so that a cut rarely falls into a small node, on small tables too. Sketches only filter candidates; a
 link counts when the full sets, built again from both texts, confirm it.
 
 A large group of near copies has members at its fringe that are linked to few
@@ -54,7 +55,7 @@ TOKENS = 128
 DEPTH = 12
 SMALL = 16
 PIECE, PIECE_BYTES = 1024, 4 << 20
-NODE_ROWS = 1 << 17
+NODE_ROWS, PART_ROWS = 1 << 17, 1 << 14
 AGAIN = 10
 COLUMNS = 2048
 EXPECTED_DEPTH = 3
@@ -256,11 +257,11 @@ def _confirm(size: int, percent: int):
             keep = []
             last, left = None, None
             for i, (u, x, y) in enumerate(zip(b.column("u").to_pylist(), b.column("tu").to_pylist(), b.column("tv").to_pylist(), strict=True)):
-                if u != last:
-                    last, left = u, _one(x, size)
+                if (u, x) != last:  # rows that repeat an id may have several texts
+                    last, left = (u, x), _one(x, size)
                 right = _one(y, size)
                 both = len(np.intersect1d(left, right, assume_unique=True))
-                if 100 * both >= percent * (len(left) + len(right) - both):
+                if both and 100 * both >= percent * (len(left) + len(right) - both):
                     keep.append(i)
             if keep:
                 yield b.select(["u", "v"]).take(pa.array(keep))
@@ -362,8 +363,8 @@ def _meetings(nodes: DataFrame, scratch: Scratch) -> DataFrame:
     return nodes.withColumn("a", F.least("piece", "other")).withColumn("b", F.greatest("piece", "other"))
 
 
-def _one(text: str, size: int) -> np.ndarray:
-    raw = np.frombuffer(text.encode(), np.uint8)
+def _one(text: str | None, size: int) -> np.ndarray:
+    raw = np.frombuffer((text or "").encode(), np.uint8)
     return shingle_sets(raw, np.array([0, len(raw)]), size)[0]
 
 
@@ -379,22 +380,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = scratch.keep(src.mapInArrow(_sign(shingle), "doc_id long, n_shingles long, set_key binary, signature binary"), "signed")
     known = signed.where((F.col("doc_id") != int(NO_ID)) & F.col("set_key").isNotNull())
     classes = scratch.keep(known.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "classes")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     number = [trees_for(recall, percent / 100, d) for d in range(EXPECTED_DEPTH, DEPTH + 1)]
 
-    def grown(rows: DataFrame, first: int, most: int, name: str) -> DataFrame:
+    def grown(rows: DataFrame, size: int, first: int, most: int, name: str) -> DataFrame:
+        parts = max(1, min(most_parts, size // PART_ROWS))
         paths = rows.mapInArrow(_paths(first, most), "k binary, doc_id long, sketch binary")
         return scratch.keep(paths.repartitionByRange(parts, "k").sortWithinPartitions("k").mapInArrow(_nodes(_floor(percent / 100), NODE_ROWS), "u long, v long, depth int"), name)
 
-    paths = grown(classes.select(F.col("rep").alias("doc_id"), "signature", F.lit(number[0]).alias("trees")), 0, number[0], "found")
+    paths = grown(classes.select(F.col("rep").alias("doc_id"), "signature", F.lit(number[0]).alias("trees")), classes.count() * number[0], 0, number[0], "found")
     # the mean depth over all trees; those that weren't deep in a tree have no row for it
     deep = paths.where("depth > 0").groupBy(F.col("u").alias("rep")).agg(F.sum(F.col("depth") - EXPECTED_DEPTH).alias("more"))
     deep = deep.withColumn("more", F.least(F.round(F.col("more") / number[0]), F.lit(DEPTH - EXPECTED_DEPTH)).cast("int")).where("more > 0")
     alike = paths.where("u = v and depth = 0").select(F.col("u").alias("rep")).distinct()  # these meet again anyway
     deep = scratch.keep(deep.join(alike, "rep", "left_anti"), "deep")
-    if deep.limit(1).count():
-        rows = sieve(classes, deep, "rep").join(deep, "rep").select(F.col("rep").alias("doc_id"), "signature", F.element_at(F.array(*map(F.lit, number)), F.col("more") + 1).alias("trees"))
-        paths = paths.unionByName(grown(rows, number[0], number[-1], "found_deep"))
+    trees = F.element_at(F.array(*map(F.lit, number)), F.col("more") + 1)
+    size = deep.agg(F.sum(trees - number[0])).first()[0]
+    if size is not None:
+        rows = sieve(classes, deep, "rep").join(deep, "rep").select(F.col("rep").alias("doc_id"), "signature", trees.alias("trees"))
+        paths = paths.unionByName(grown(rows, size, number[0], number[-1], "found_deep"))
     pairs = scratch.keep(paths.where("u <> v").select("u", "v").distinct(), "pairs")
     ends = scratch.keep(pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct(), "ends")
     texts = scratch.keep(sieve(src, ends, "doc_id").join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")

@@ -86,6 +86,20 @@ def test_links_between_pieces_of_a_node(spark, monkeypatch):
     assert got == {i: i - i % 2 for i, _ in rows}
 
 
+def test_small_table_on_many_partitions(spark):
+    """No cut between partitions falls into the nodes of a few documents; an id may have several texts, empty and null ones too."""
+    line = " ".join(f"w{i}" for i in range(100))
+    rows = [(5, ""), (5, line), (5, None), (6, line + " x"), (6, ""), (7, line + " y z"), (9, "q r s t u v"), (9, ""), (None, line)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        found = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(found) == len(rows)
+    assert {(r.doc_id, r.component_id, r.kept) for r in found} == {(5, 5, True), (6, 5, False), (7, 5, False), (9, 9, True), (None, None, True)}
+
+
 def test_fringe_links_match_brute_force():
     rnd = np.random.default_rng(5)
     sets = [np.unique(np.concatenate([np.flatnonzero(rnd.random(60) < 0.93), rnd.integers(100, 160, rnd.integers(1, 9))])).astype(np.uint64) for _ in range(150)]
