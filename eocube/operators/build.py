@@ -99,20 +99,34 @@ def wrap_longitude(df: DataFrame, x: str = "x") -> DataFrame:
     return df.withColumn(x, F.pmod(F.col(x) + 180, F.lit(360.0)) - 180)
 
 
-#: Common names of the bands of public collections.
+#: Common names of the bands of public collections; red edges by their wavelength in tens of nanometres.
 COMMON = {
-    "sentinel-2-l2a": {b: b for b in (*S2_BANDS, "scl")} | {"swir1": "swir16", "swir2": "swir22", "cloud_mask": "scl"},
-    "landsat-c2l2-sr": {"blue": "blue", "green": "green", "red": "red", "nir": "nir08", "swir1": "swir16", "swir2": "swir22", "cloud_mask": "qa_pixel"},
-    "venus-l2a": {"blue": "image_file_B2", "green": "image_file_B4", "red": "image_file_B7", "nir": "image_file_B11"},
-}
+    "sentinel-2-l2a": {b: b for b in (*S2_BANDS, "scl")} | {"rededge70": "rededge1", "rededge74": "rededge2", "rededge78": "rededge3", "swir1": "swir16", "swir2": "swir22", "cloud_mask": "scl"},
+    "landsat-c2l2-sr": {"coastal": "coastal", "blue": "blue", "green": "green", "red": "red", "nir": "nir08", "swir1": "swir16", "swir2": "swir22", "cloud_mask": "qa_pixel"},
+    "venus-l2a": {
+        "coastal": "image_file_SRE_B02", "blue": "image_file_SRE_B03", "green": "image_file_SRE_B04", "red": "image_file_SRE_B07", "rededge70": "image_file_SRE_B08", "rededge74": "image_file_SRE_B09",
+        "rededge78": "image_file_SRE_B10", "nir": "image_file_SRE_B11", "cloud_mask": "detailed_cloud_mask",
+    },
+}
+
+
+def common_bands(collection: str) -> dict[str, str]:
+    """The known common names of a collection's bands, an error for another collection."""
+    if collection not in COMMON:
+        raise NotImplementedError(f"no common band names for {collection!r}; there are {sorted(COMMON)}")
+    return dict(COMMON[collection])
 
 
 def map_bands(collection: str, assets: list[str] | dict | None) -> dict[str, str] | dict | list[str] | None:
-    """Common names as {asset: common}; what a known collection lacks is dropped, an unknown one passes through."""
+    """{asset: the name it was asked by}, which is a common name or the asset's own.
+
+    What a known collection lacks is dropped; an unknown one and a dict pass through.
+    """
     if assets is None or isinstance(assets, dict) or collection not in COMMON:
         return assets
     own = COMMON[collection]
-    return {own[a]: a for a in assets if a in own}
+    held = set(own.values())
+    return {own.get(a, a): a for a in assets if a in own or a in held}
 
 
 #: Resampling kernels by number.

@@ -884,10 +884,10 @@ def drop_null_times(spark, d):
     return build.build(spark, df).select("time", "y", "x", r("red"))
 
 
-@query(f"WITH {PX} SELECT time, y, x, round(red, 6) AS red, round(nir, 6) AS nir FROM px")
+@query(f"WITH {PX} SELECT time, y, x, round(red, 6) AS red, round(nir, 6) AS nir, round(swir16, 6) AS swir16 FROM px")
 def common_band_names(spark, d):
-    df = D.pixels(spark, d, "red", "nir").withColumnRenamed("nir", "nir08")
-    return build.build(spark, df, assets=build.map_bands("landsat-c2l2-sr", ["red", "nir", "lacking"])).select("time", "y", "x", r("red"), r("nir"))
+    df = D.pixels(spark, d, "red", "nir", "swir16").withColumnRenamed("nir", "nir08")
+    return build.build(spark, df, assets=build.map_bands("landsat-c2l2-sr", ["red", "nir", "swir16", "lacking"])).select("time", "y", "x", r("red"), r("nir"), r("swir16"))
 
 
 @query(f"WITH {PX} SELECT time, y, x, round(red, 6) AS red FROM px")

@@ -158,6 +158,12 @@ def test_regrid_and_coarsen(cube):
 def test_band_names():
     assert build.map_bands("sentinel-2-l2a", ["red", "swir1", "none"]) == {"red": "red", "swir16": "swir1"}
     assert build.map_bands("elsewhere", ["red"]) == ["red"] and build.map_bands("sentinel-2-l2a", None) is None
+    assert list(build.map_bands("sentinel-2-l2a", ["blue", "rededge74", "lacking"])) == ["blue", "rededge2"]
+    assert build.map_bands("landsat-c2l2-sr", ["nir", "swir16"]) == {"nir08": "nir", "swir16": "swir16"}
+    assert list(build.map_bands("venus-l2a", ["rededge70", "rededge78"])) == ["image_file_SRE_B08", "image_file_SRE_B10"]
+    assert build.common_bands("venus-l2a")["red"] == "image_file_SRE_B07"
+    with pytest.raises(NotImplementedError):
+        build.common_bands("elsewhere")
 
 
 def test_options(spark):
