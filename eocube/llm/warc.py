@@ -29,6 +29,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import pickle
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
@@ -63,7 +64,7 @@ def _records(batches):
         out = []
         for page, url, when, html, first in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "timestamp", "html", "first")), strict=True):
             body = html.encode()
-            digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
+            digest = _digest(body)
             http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}{END}"
             again = first is not None and first != page
             head = ["WARC/1.1", f"WARC-Type: {'revisit' if again else 'response'}", f"WARC-Record-ID: <urn:x-page:{'null' if page is None else page}>", f"WARC-Date: {when}"]
@@ -88,7 +89,11 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
 
 
 def parse(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of each record of an archive that isn't compressed, from any cuts of its bytes."""
+    """(headers, block) of each record of an archive that isn't compressed, from any cuts of its bytes.
+
+    Names of headers are in lower case. The last record may lack its terminator or a
+    part of it: a reader that cuts at the terminator doesn't tell whether one followed.
+    """
     held, head, need = bytearray(), None, 0
     for piece in pieces:
         held += piece
@@ -97,20 +102,29 @@ def parse(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
                 stop = held.find(b"\r\n\r\n")
                 if stop < 0:
                     break
-                head = dict(x.split(": ", 1) for x in held[:stop].decode().split("\r\n")[1:])
-                need = int(head["Content-Length"])
+                fields = (x.partition(":") for x in held[:stop].decode(errors="replace").split("\r\n")[1:])
+                head = {k.strip().lower(): v.strip() for k, _, v in fields}
+                if "content-length" not in head:
+                    raise ValueError(f"a record without Content-Length: {bytes(held[:80])!r}")
+                need = int(head["content-length"])
                 del held[: stop + 4]
             if len(held) < need + 4:
                 break
             if held[need : need + 4] != b"\r\n\r\n":
-                raise ValueError(f"no end of record after {head.get('WARC-Record-ID')}")
+                raise ValueError(f"no end of record after {head.get('warc-record-id')}")
             yield head, bytes(held[:need])
             del held[: need + 4]
             head = None
-    if head is not None or held.strip(b"\r\n"):  # a reader that cuts at the terminator may end with one too many
+    if head is not None and len(held) >= need and b"\r\n\r\n".startswith(bytes(held[need:])):
+        yield head, bytes(held[:need])
+    elif head is not None or held:
         raise ValueError("the archive ends within a record")
 
 
+def _digest(body: bytes) -> str:
+    return base64.b32encode(hashlib.sha1(body).digest()).decode()
+
+
 def _page(urn: str | None) -> int | None:
     number = (urn or "null").rstrip(">").rpartition(":")[2]
     return None if number == "null" else int(number)
@@ -123,12 +137,13 @@ def order(e: tuple) -> tuple:
 
 def _entry(path: str, seq: int, head: dict[str, str], block: bytes) -> tuple:
     http, _, body = block.partition(b"\r\n\r\n")
-    size = int(http.rpartition(b"Content-Length: ")[2])
-    digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
-    kind = head["WARC-Type"]
-    if kind == "response" and (len(body) != size or base64.b32encode(hashlib.sha1(body).digest()).decode() != digest):
+    kind = head["warc-type"]
+    stated = re.search(rb"(?im)^content-length:\s*(\d+)", http)
+    size = int(stated[1]) if stated else len(body)
+    digest = head["warc-payload-digest"].removeprefix("sha1:") if "warc-payload-digest" in head else _digest(body)
+    if kind == "response" and (len(body) != size or _digest(body) != digest):
         raise ValueError(f"{path}: record {seq} does not match its payload digest")
-    return url_key(head.get("WARC-Target-URI")), head["WARC-Date"], _page(head["WARC-Record-ID"]), size, digest, kind, _page(head["WARC-Refers-To"]) if kind == "revisit" else None
+    return url_key(head.get("warc-target-uri")), head["warc-date"], _page(head["warc-record-id"]), size, digest, kind, _page(head.get("warc-refers-to")) if kind == "revisit" else None
 
 
 def _entries(batches, most: int = RUN):
@@ -140,7 +155,10 @@ def _entries(batches, most: int = RUN):
 
     for path, own in groupby(pieces(), lambda x: x[0]):
         name, rows, part = path.rpartition("/")[2], [], 0
-        for seq, (head, block) in enumerate(parse(x + b"\r\n\r\n" for _, x in own)):
+        raw = (b"\r\n\r\n" * (i > 0) + x for i, (_, x) in enumerate(own))  # what the reader took out stands between pieces
+        for seq, (head, block) in enumerate(parse(raw)):
+            if head["warc-type"] not in ("response", "revisit"):  # warcinfo, request and other records of other writers
+                continue
             rows.append((f"{name}#{part}", seq, *_entry(path, seq, head, block)))
             if len(rows) == most:
                 yield _batch(sorted(rows, key=order))

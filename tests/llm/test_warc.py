@@ -59,7 +59,7 @@ def test_archives_are_warc(spark, tmp_path):
     records = [r for f in (tmp_path / "a").glob("*.gz") for r in W.parse([gzip.decompress(f.read_bytes())])]
     assert len(records) == len(ROWS)
     for head, block in records:
-        assert len(block) == int(head["Content-Length"]) and head["WARC-Type"] in ("response", "revisit") and head["WARC-Record-ID"].startswith("<urn:")
+        assert len(block) == int(head["content-length"]) and head["warc-type"] in ("response", "revisit") and head["warc-record-id"].startswith("<urn:")
 
 
 def test_an_archive_in_small_runs(spark, tmp_path):
@@ -68,8 +68,7 @@ def test_an_archive_in_small_runs(spark, tmp_path):
     W.write_archives(pages(spark, rows), str(tmp_path / "a"))
     raw = b"".join(gzip.decompress(f.read_bytes()) for f in (tmp_path / "a").glob("*.gz"))
     assert list(W.parse([raw])) == list(W.parse(raw[i : i + 7] for i in range(0, len(raw), 7)))
-    cut = raw.split(b"\r\n\r\n")
-    cut = cut if cut[-1] else cut[:-1]
+    cut = raw.split(b"\r\n\r\n")[:-1] if raw.endswith(b"\r\n\r\n") else raw.split(b"\r\n\r\n")
     batch = pa.RecordBatch.from_pydict({"path": ["p"] * len(cut), "piece": cut})
     runs = list(W._entries([batch], 3))
     assert [b.num_rows for b in runs] == [3] * (len(rows) // 3) + [len(rows) % 3] * (len(rows) % 3 > 0) and len({b.column("run")[0].as_py() for b in runs}) == len(runs)
@@ -78,6 +77,32 @@ def test_an_archive_in_small_runs(spark, tmp_path):
         list(W.parse([raw[:-30]]))
 
 
+TAILS = ["", "\r", "\n", "\r\n", "\n\r\n", "\r\n\r", "\r\n\r\n", "\r\r\n\r\n", "\r\n\r\n\r", "\r\n" * 3, "\r\n" * 4, "...\r\n" * 5]
+
+
+def test_every_tail(spark, tmp_path):
+    """Each tail is the last of a file that Spark writes and reads: a record in each file, and all in one."""
+    rows = [(i, f"http://t.org/{i}", f"<p>{i}{x}") for i, x in enumerate(TAILS)] + [(99, "http://t.org/", "\r\n\r\n\r\n")]
+    want = sorted((p, len(h), digest(h)) for p, _, h in rows)
+    for k, parts in enumerate((len(rows) * 4, 1)):
+        W.write_archives(pages(spark, rows).repartition(parts, "page_id"), str(tmp_path / f"{k}"))
+        assert sorted(W.read_archives(spark, str(tmp_path / f"{k}")).select("page_id", "payload_bytes", "payload_digest").collect()) == want
+    for x in TAILS:
+        one = str(tmp_path / f"one{TAILS.index(x)}")
+        W.write_archives(pages(spark, [(1, "http://t.org/", "<p>" + x)]), one)
+        assert [r.payload_digest for r in W.read_archives(spark, one).collect()] == [digest("<p>" + x)]
+
+
+def test_records_of_other_writers(spark, tmp_path):
+    """Other kinds of records, names in lower case without a blank, no digest and no length of the payload."""
+    info = "WARC/1.0\r\nwarc-type:warcinfo\r\nContent-Length: 6\r\n\r\na: b\r\n\r\n\r\n"
+    http = "HTTP/1.1 200 OK\r\nServer: x\r\n\r\n<p>hi</p>\r\n"
+    page = f"WARC/1.0\r\nwarc-type:response\r\nwarc-record-id:<urn:x-page:7>\r\nwarc-date:2024-01-01T00:00:00Z\r\nwarc-target-uri:http://a.org/\r\ncontent-length:{len(http)}\r\n\r\n{http}\r\n\r\n"
+    (tmp_path / "x.gz").write_bytes(gzip.compress((info + page).encode()) + gzip.compress((page + info).replace("page:7", "page:8").encode()))
+    got = W.read_archives(spark, str(tmp_path)).select("page_id", "payload_bytes", "payload_digest", "url_key").collect()
+    assert sorted(map(tuple, got)) == [(i, 11, digest("<p>hi</p>\r\n"), "org,a)/") for i in (7, 8)]
+
+
 def test_a_changed_payload_is_noticed(spark, tmp_path):
     W.write_archives(pages(spark, ROWS[:1]), str(tmp_path / "a"))
     f = next((tmp_path / "a").glob("*.gz"))
