@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from .decontaminate import contamination
 from .embedding_dedup import near_vectors
+from .fill_middle import fill_in_middle, restored
 from .language import declared_in, fit, host_of, identify, visible
+from .mixing import sampled
 from .near_dedup import near_duplicates
 from .packing import pack
 from .sql import SQL
@@ -87,6 +89,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle(_table(spark, sf_dir, "documents"), seed=42, percent=50, spm_percent=80)
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    again = restored(F.col("output"), F.col("form"))
+    return out.select("doc_id", "n", "form", F.length("prefix").cast("long").alias("prefix_chars"), F.length("middle").cast("long").alias("middle_chars"), digest(F.col("output")).alias("output_sha256"), digest(again).alias("restored_sha256"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sampled(_table(spark, sf_dir, "documents"), ["doc_id"], weights=(3, 1, 2), percent=150, most=2)
+    return out.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 

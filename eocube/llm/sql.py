@@ -69,6 +69,24 @@ e AS (SELECT *, dead AND NOT coalesce(lag(dead) OVER (PARTITION BY doc_id ORDER
 r AS (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE dead) AS k, count(*) FILTER (WHERE edge) AS spans, string_agg(c, '' ORDER BY p) FILTER (WHERE NOT dead) AS kept FROM e GROUP BY 1)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_bytes, coalesce(k, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM documents LEFT JOIN r USING (doc_id)"""
 
+MIDDLE = r"""WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS us FROM t),
+k AS (SELECT *, len(us)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(us) + 1) AS x, ('0x' || substr(h, 9, 8))::BIGINT % (len(us) + 1) AS y, ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM u),
+f AS (SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+ array_to_string(us[1:least(x, y)], '') AS p, array_to_string(us[least(x, y) + 1:greatest(x, y)], '') AS m, array_to_string(us[greatest(x, y) + 1:], '') AS s FROM k)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256 FROM f"""
+
+MIXING = r"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS tie FROM documents),
+s AS (SELECT source, sum(size)::HUGEINT AS b, ([3, 1, 2])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::HUGEINT AS w, ('0x' || substr(md5('42:' || coalesce(source, '')), 1, 8))::BIGINT % 1073741824 AS u FROM d GROUP BY source),
+o AS (SELECT *, 150 * sum(b) OVER () - 200 * coalesce(sum(b) OVER (ORDER BY b / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest, sum(w) OVER (ORDER BY b / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS over_, row_number() OVER (ORDER BY b / w, source NULLS LAST) AS i FROM s),
+l AS (SELECT rest, over_ FROM o WHERE 200 * b * over_ > w * rest ORDER BY i LIMIT 1),
+t AS (SELECT source, b, u, CASE WHEN l.rest IS NULL OR 200 * b * over_l <= w * l.rest THEN (2 * b)::DOUBLE ELSE (w * l.rest)::DOUBLE / (100 * over_l)::DOUBLE END AS target,
+ CASE WHEN l.rest IS NULL OR 200 * b * over_l <= w * l.rest THEN 2::HUGEINT ELSE w * l.rest END AS p, CASE WHEN b = 0 THEN NULL WHEN l.rest IS NULL OR 200 * b * over_l <= w * l.rest THEN 1::HUGEINT ELSE 100 * over_l * b END AS q
+ FROM s LEFT JOIN (SELECT rest::HUGEINT AS rest, over_::HUGEINT AS over_l FROM l) l ON true),
+r AS (SELECT doc_id, size, b, target, u, p, q, (row_number() OVER (PARTITION BY d.source ORDER BY size, tie, doc_id))::HUGEINT AS k FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, b::BIGINT AS source_size, target, (coalesce((k * p * 1073741824 + q * u) // (q * 1073741824) - ((k - 1) * p * 1073741824 + q * u) // (q * 1073741824), 0) * size)::BIGINT AS taken FROM r"""
+
 SQL = {
     "op1_near_dedup": NEAR,
     "op2_substring_dedup": SUBSTRING,
@@ -76,4 +94,6 @@ SQL = {
     "op7_embedding_dedup": EMBEDDING,
     "op9_warc": WARC,
     "op10_suffix_dedup": SUFFIX,
+    "op11_fill_in_middle": MIDDLE,
+    "op13_mixing": MIXING,
 }
