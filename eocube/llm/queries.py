@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .collocations import collocations
 from .decontaminate import contamination
 from .embedding_dedup import near_vectors
 from .fill_middle import fill_in_middle, restored
@@ -96,6 +97,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n", "form", F.length("prefix").cast("long").alias("prefix_chars"), F.length("middle").cast("long").alias("middle_chars"), digest(F.col("output")).alias("output_sha256"), digest(again).alias("restored_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"), least=30, longest=4, share=80, most=2000)
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sampled(_table(spark, sf_dir, "documents"), ["doc_id"], weights=(3, 1, 2), percent=150, most=2)
     return out.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))

@@ -77,6 +77,24 @@ f AS (SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '
 SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256 FROM f"""
 
+PHRASES = rf"""WITH t AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang, string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]') AS ps FROM documents),
+p AS (SELECT id, lang, generate_subscripts(ps, 1) AS piece, unnest(ps) AS x FROM t),
+v AS (SELECT id, lang, piece, list_filter(string_split_regex(x, '[\x20\x09]+'), lambda y: y <> '') AS ws FROM p),
+w AS (SELECT id, lang, piece, generate_subscripts(ws, 1) AS i, unnest(ws) AS w1 FROM v),
+q AS (SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3, lead(w1, 3) OVER o AS w4 FROM w WINDOW o AS (PARTITION BY id, piece ORDER BY i)),
+f AS (SELECT lang, ws, count(*)::HUGEINT AS a FROM (SELECT lang, [w1] AS ws FROM q UNION ALL SELECT lang, [w1, w2] FROM q WHERE w2 IS NOT NULL
+ UNION ALL SELECT lang, [w1, w2, w3] FROM q WHERE w3 IS NOT NULL UNION ALL SELECT lang, [w1, w2, w3, w4] FROM q WHERE w4 IS NOT NULL) GROUP BY 1, 2 HAVING count(*) >= 30),
+c AS (SELECT lang, ws, a, unnest(range(1, len(ws))) AS k FROM f WHERE len(ws) > 1),
+s AS (SELECT c.lang, c.ws, c.a, k, x.a AS l, y.a AS r, (2000000 * c.a) // (x.a + y.a) AS score FROM c JOIN f x ON x.lang = c.lang AND x.ws = c.ws[1:k] JOIN f y ON y.lang = c.lang AND y.ws = c.ws[k + 1:]),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) AS best FROM s),
+i AS (SELECT lang, a, ws, unnest(range(1, len(ws))) AS st FROM f WHERE len(ws) > 2),
+j AS (SELECT lang, a, ws, st, unnest(range(2, len(ws))) AS n FROM i),
+m AS (SELECT lang, ws[st:st + n - 1] AS ws, max(a) AS a FROM (SELECT * FROM j WHERE st + n - 1 <= len(ws)) GROUP BY ALL),
+d AS (SELECT b.* FROM b LEFT JOIN m ON m.lang = b.lang AND m.ws = b.ws WHERE best = 1 AND (m.a IS NULL OR 100 * m.a < 80 * b.a)),
+n AS (SELECT lang, count(*) AS n FROM w GROUP BY 1),
+z AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(ws, ' '))) AS rank, array_to_string(ws, ' ') AS phrase, a, l, r, score FROM d)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM z JOIN n USING (lang) WHERE rank <= 2000"""
+
 MIXING = r"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS tie FROM documents),
 s AS (SELECT source, sum(size)::HUGEINT AS b, ([3, 1, 2])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::HUGEINT AS w, ('0x' || substr(md5('42:' || coalesce(source, '')), 1, 8))::BIGINT % 1073741824 AS u FROM d GROUP BY source),
 o AS (SELECT *, 150 * sum(b) OVER () - 200 * coalesce(sum(b) OVER (ORDER BY b / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest, sum(w) OVER (ORDER BY b / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS over_, row_number() OVER (ORDER BY b / w, source NULLS LAST) AS i FROM s),
@@ -95,5 +113,6 @@ SQL = {
     "op9_warc": WARC,
     "op10_suffix_dedup": SUFFIX,
     "op11_fill_in_middle": MIDDLE,
+    "op12_collocations": PHRASES,
     "op13_mixing": MIXING,
 }
