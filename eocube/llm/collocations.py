@@ -206,7 +206,7 @@ def _frequent_words(bits: int, least: int):
         keys, others, counts = ([expand(x, d) for x in t.column(c).to_pylist()] for c, d in (("h", _U), ("g", _U), ("count", np.uint32)))
         total, ranks = _count(keys, others, counts, least)
         lang, word = [None] * len(total), [None] * len(total)
-        new = np.ones(len(total), bool)
+        new = np.ones(len(total) + 1, bool)  # the last is read for entries that are not frequent
         for i, r in enumerate(ranks):
             at = np.flatnonzero((r >= 0) & new[r])
             if len(at):
