@@ -18,7 +18,7 @@ from ..model import GridSpec
 from ..operators import build, filters, mask, mutate, ops, regions, temporal, whittaker, xcal, zonal
 from ..operators import items as items_ops
 from ..session import work_dir
-from ..sources import catalog, loaders, tiff
+from ..sources import catalog, loaders, raster, tiff
 from ..streaming import ingest
 from . import datasets as D
 from . import pipelines
@@ -951,37 +951,109 @@ def region_outlines(spark, d):
 
 
 def _tiff(spark, d) -> DataFrame:
-    """The sizes of parts as a raster of 50 columns: a file of deflated tiles."""
+    """The sizes of parts as eight rasters of 50 columns, of deflated tiles; two of a date overlap by half."""
 
-    def run(batches):
-        for b in batches:
-            sizes = np.array(b.column("sizes")[0].as_py(), np.uint16)
-            a = np.zeros((-(-len(sizes) // 50), 50, 1), np.uint16)
-            a.reshape(-1)[: len(sizes)] = sizes
-            yield pa.RecordBatch.from_arrays([pa.array(["part.tif"]), pa.array([tiff.encode(a, 16, transform=(500.0, 900.0, 10.0, 5.0), epsg=32631)], pa.binary())], ["path", "content"])
+    def one(t: pa.Table) -> pa.Table:
+        f = t.column("f")[0].as_py()
+        sizes = t.sort_by("p_partkey").column("p_size").to_numpy().astype(np.uint16)
+        a = np.zeros((-(-len(sizes) // 50), 50, 1), np.uint16)
+        a.reshape(-1)[: len(sizes)] = sizes
+        return pa.table({"path": [f"part{f}.tif"], "content": pa.array([tiff.encode(a, 16, transform=(500.0 + f % 2 * 250, 900.0, 10.0, 5.0), epsg=32631)], pa.binary()), "n": [len(sizes)]})
 
-    sizes = D.table(spark, d, "part").agg(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "p_size"))), lambda x: x["p_size"]).alias("sizes"))
-    return sizes.mapInArrow(run, "path string, content binary")
+    parts = D.table(spark, d, "part").select((F.col("p_partkey") % 8).cast("int").alias("f"), "p_partkey", "p_size")
+    return parts.groupBy("f").applyInArrow(one, "path string, content binary, n long")
 
 
-@query("SELECT ((k - 1) // 50)::INT AS row, ((k - 1) % 50)::INT AS col, 500 + ((k - 1) % 50 + 0.5) * 10.0::DOUBLE AS x, 900 - ((k - 1) // 50 + 0.5) * 5.0::DOUBLE AS y, v::DOUBLE AS value FROM (SELECT row_number() OVER (ORDER BY p_partkey) AS k, p_size AS v FROM part)")
+_PARTS = "p AS (SELECT (p_partkey % 8)::INT AS f, row_number() OVER (PARTITION BY p_partkey % 8 ORDER BY p_partkey) - 1 AS k, p_size AS v FROM part)"
+
+
+def _part_pixels(spark, d, window=None) -> DataFrame:
+    """Without the cells that fill up a file's last row."""
+    files = _tiff(spark, d)
+    return tiff.pixels_of(files, window).join(files.select("path", "n"), "path").where("row * 50 + col < n").drop("n")
+
+
+@query(f"WITH {_PARTS} SELECT 'part' || f || '.tif' AS path, (k // 50)::INT AS row, (k % 50)::INT AS col, 500 + f % 2 * 250 + (k % 50 + 0.5) * 10.0::DOUBLE AS x, 900 - (k // 50 + 0.5) * 5.0::DOUBLE AS y, v::DOUBLE AS value FROM p")
 def read_tiff_pixels(spark, d):
-    n = D.table(spark, d, "part").agg(F.count("*").alias("n"))
-    px = tiff.pixels_of(_tiff(spark, d))
-    return px.crossJoin(n).where("row * 50 + col < n").select("row", "col", "x", "y", "value")
+    return _part_pixels(spark, d).select("path", "row", "col", "x", "y", "value")
 
 
-@query("SELECT ((k - 1) // 50)::INT AS row, ((k - 1) % 50)::INT AS col, v::DOUBLE AS value FROM (SELECT row_number() OVER (ORDER BY p_partkey) AS k, p_size AS v FROM part) WHERE (k - 1) // 50 BETWEEN 1 AND 3 AND (k - 1) % 50 BETWEEN 10 AND 39")
+@query(f"WITH {_PARTS} SELECT f, (k // 50)::INT AS row, (k % 50)::INT AS col, v::DOUBLE AS value FROM p WHERE k // 50 BETWEEN 1 AND 3 AND k % 50 BETWEEN 10 AND 39")
 def read_tiff_window(spark, d):
-    return tiff.pixels_of(_tiff(spark, d), (1, 10, 3, 30)).select("row", "col", "value")
+    return _part_pixels(spark, d, (1, 10, 3, 30)).select(F.substring("path", 5, 1).cast("int").alias("f"), "row", "col", "value")
 
 
-@query("SELECT 500 + ((k - 1) % 50 + 0.5) * 10.0::DOUBLE AS x, 900 - ((k - 1) // 50 + 0.5) * 5.0::DOUBLE AS y, DATE '2024-05-01' AS time, v::DOUBLE AS red FROM (SELECT row_number() OVER (ORDER BY p_partkey) AS k, p_size AS v FROM part)")
+@query(f"WITH {_PARTS} SELECT 500 + f % 2 * 250 + (k % 50 + 0.5) * 10.0::DOUBLE AS x, 900 - (k // 50 + 0.5) * 5.0::DOUBLE AS y, (DATE '2024-05-01' + f // 2)::DATE AS time, arg_min(v, f)::DOUBLE AS red FROM p GROUP BY 1, 2, 3")
 def cube_from_tiff(spark, d):
-    n = D.table(spark, d, "part").agg(F.count("*").alias("n"))
-    px = tiff.pixels_of(_tiff(spark, d)).crossJoin(n).where("row * 50 + col < n").drop("n")
-    assets = spark.sql("SELECT 'part.tif' AS path, DATE'2024-05-01' AS time, 'red' AS band")
-    return tiff.cube(px, assets, ["red"])
+    assets = spark.range(8).selectExpr("concat('part', id, '.tif') as path", "date_add(date'2024-05-01', cast(id div 2 as int)) as time", "'red' as band", "id as place")
+    return tiff.cube(_part_pixels(spark, d), assets, ["red"])
+
+
+def _places() -> list[tuple]:
+    """24 rasters over each other in two systems: number, EPSG code, left and upper edge, cell, day."""
+    out = []
+    for n in range(24):
+        lon, lat = n % 6 * 0.35, 50 - n // 6 * 0.3
+        x, y = (lon, lat) if n % 2 == 0 else map(round, G.to_mercator(lon, lat))
+        out.append((n, 4326 if n % 2 == 0 else 3857, float(x), float(y), 0.02 if n % 2 == 0 else 2500.0, n // 2 % 2))
+    return out
+
+
+def _rasters(spark, d) -> tuple[str, DataFrame]:
+    """Orders as 24 files: pixels in the order of their keys, each fifth missing, of several packings and kinds."""
+    where, places = work_dir(spark), {p[0]: p for p in _places()}
+
+    def write(t: pa.Table) -> pa.Table:
+        n = t.column("n")[0].as_py()
+        _, code, x, y, cell, _ = places[n]
+        keys = np.sort(t.column("k").to_numpy())
+        a = np.zeros((-(-len(keys) // 25), 25, 1), np.float32 if n % 4 == 3 else np.uint16)
+        a.reshape(-1)[: len(keys)] = np.where(keys % 5 == 0, 0, 1 + keys % 250)
+        fs, path = tiff.store(f"{where}/r{n:02d}.tif")
+        fs.create_dir(path.rpartition("/")[0])
+        with fs.open_output_stream(path) as f:
+            f.write(tiff.encode(a, 16, transform=(x, y, cell, cell), epsg=code, nodata=0, packing=("deflate", "zstd", "plain")[n % 3]))
+        return pa.table({"n": pa.array([n], pa.int32()), "path": [path]})
+
+    keys = D.table(spark, d, "orders").select((F.col("o_custkey") % 24).cast("int").alias("n"), F.col("o_orderkey").alias("k"))
+    written = keys.groupBy("n").applyInArrow(write, "n int, path string").collect()  # a row for each file
+    rows = [(r.path, f"2024-01-0{1 + places[r.n][5]}", "red", r.n) for r in written]
+    return where, spark.createDataFrame(rows, "path string, time string, band string, place int").withColumn("time", F.to_timestamp_ntz("time"))
+
+
+_RASTERS = f"""img(n, code, x0, y0, cell, t) AS (VALUES {", ".join(map(str, _places()))}),
+o AS (SELECT o_custkey % 24 AS n, row_number() OVER (PARTITION BY o_custkey % 24 ORDER BY o_orderkey) - 1 AS k, CASE WHEN o_orderkey % 5 <> 0 THEN 1 + o_orderkey % 250 END AS v FROM orders)"""
+_TARGET = GridSpec(0.013, 49.987, 0.03, -0.03, 90, 220)
+
+
+@query(f"""WITH {_RASTERS}, cell AS (SELECT 0.013 + i * 0.03::DOUBLE AS x, 49.987 - j * 0.03::DOUBLE AS y FROM range(90) a(i), range(220) b(j)),
+hit AS (SELECT t, y, x, n, floor(((CASE code WHEN 4326 THEN x ELSE 6378137 * radians(x) END) - x0) / cell)::BIGINT AS c, floor((y0 - (CASE code WHEN 4326 THEN y ELSE 6378137 * ln(tan(pi() / 4 + radians(y) / 2)) END)) / cell)::BIGINT AS r FROM cell, img)
+SELECT TIMESTAMP '2024-01-01' + t * INTERVAL 1 DAY AS time, round(y, 6) AS y, round(x, 6) AS x, arg_min(v, o.n)::DOUBLE AS red FROM hit JOIN o ON o.n = hit.n AND k = r * 25 + c AND c BETWEEN 0 AND 24 AND r >= 0 WHERE v IS NOT NULL GROUP BY 1, 2, 3""")
+def cube_from_items(spark, d):
+    """Rasters in two systems on one grid, the first of those that have a value."""
+    _, assets = _rasters(spark, d)
+    return raster.load_cube(assets, _TARGET, ["red"], 4326, chunk=32).select("time", r("y"), r("x"), "red")
+
+
+@query(f"WITH {_RASTERS} SELECT n::INT AS n, (k // 25)::INT AS row, (k % 25)::INT AS col, v::DOUBLE AS value FROM o WHERE k // 25 BETWEEN 2 AND 40 AND k % 25 >= 7")
+def raster_source(spark, d):
+    """Spark's reader with conditions that reach the files' tiles."""
+    where, assets = _rasters(spark, d)
+    size = D.table(spark, d, "orders").groupBy((F.col("o_custkey") % 24).cast("int").alias("n")).agg(F.count("*").alias("size"))
+    px = raster.read_rasters(spark, where).where("sample = 0 and row between 2 and 40 and col >= 7")
+    px = px.select(F.regexp_extract("path", r"r(\d+)\.tif$", 1).cast("int").alias("n"), "row", "col", "value")
+    return px.join(size, "n").where("row * 25 + col < size").drop("size")
+
+
+@query(f"""WITH {_RASTERS}, s AS (SELECT n, count(*) AS size FROM o GROUP BY 1), b AS (SELECT x0 + 25 * cell AS x1, y0 - ((size + 24) // 25) * cell AS y1, x0, y0, code FROM s JOIN img USING (n)),
+g AS (SELECT CASE code WHEN 4326 THEN x0 ELSE degrees(x0 / 6378137) END AS x0, CASE code WHEN 4326 THEN x1 ELSE degrees(x1 / 6378137) END AS x1,
+ CASE code WHEN 4326 THEN y0 ELSE degrees(2 * atan(exp(y0 / 6378137)) - pi() / 2) END AS y0, CASE code WHEN 4326 THEN y1 ELSE degrees(2 * atan(exp(y1 / 6378137)) - pi() / 2) END AS y1 FROM b)
+SELECT (ceil(max(x1) / 0.02 - 1e-9) - floor(min(x0) / 0.02 + 1e-9))::INT AS nx, (ceil(max(y0) / 0.02 - 1e-9) - floor(min(y1) / 0.02 + 1e-9))::INT AS ny, 0.02::DOUBLE AS dx FROM g""")
+def grid_of_items(spark, d):
+    """The grid that covers all rasters, with the cells of the finest one of its system."""
+    _, assets = _rasters(spark, d)
+    g = raster.grid_of(raster.footprints(assets, 4326), 4326)
+    return spark.createDataFrame([(g.nx, g.ny, g.dx)], "nx int, ny int, dx double")
 
 
 # -- further catalogue and table operations -----------------------------------------------

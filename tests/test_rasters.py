@@ -45,8 +45,8 @@ def test_strips(packing):
 
 
 def test_unknown_packing_is_an_error(spark, tmp_path):
-    (tmp_path / "a.tif").write_bytes(strips(np.zeros((8, 3), "u1"), 5))
-    with pytest.raises(Exception, match="compression 5"):
+    (tmp_path / "a.tif").write_bytes(strips(np.zeros((8, 3), "u1"), 7))
+    with pytest.raises(Exception, match="compression 7"):
         tiff.read_pixels(spark, str(tmp_path)).collect()
 
 
