@@ -240,8 +240,8 @@ def inside(x: Column, y: Column, edges: Column, down: bool = False) -> Column:
     return F.size(F.filter(edges, lambda e: F.coalesce(left(e), F.lit(False)))) % 2 == 1
 
 
-def touches(x: Column, y: Column, edges: Column, dx: float, dy: float) -> Column:
-    """Does the pixel's rectangle meet the polygon at all?"""
+def meets_pixel(x: Column, y: Column, edges: Column, dx: float, dy: float) -> Column:
+    """Does an edge meet the pixel's rectangle?"""
     hx, hy = abs(dx) / 2, abs(dy) / 2
 
     def meets(e):
@@ -249,7 +249,12 @@ def touches(x: Column, y: Column, edges: Column, dx: float, dy: float) -> Column
         side = [(e["x2"] - e["x1"]) * (y + b - e["y1"]) - (e["y2"] - e["y1"]) * (x + a - e["x1"]) for a in (-hx, hx) for b in (-hy, hy)]
         return ~apart & (F.least(*side) <= 0) & (F.greatest(*side) >= 0)
 
-    return inside(x, y, edges) | F.exists(edges, meets)
+    return F.exists(edges, meets)
+
+
+def touches(x: Column, y: Column, edges: Column, dx: float, dy: float) -> Column:
+    """Does the pixel's rectangle meet the polygon at all?"""
+    return inside(x, y, edges) | meets_pixel(x, y, edges, dx, dy)
 
 
 def in_box(x: Column, y: Column, b: tuple[float, float, float, float]) -> Column:

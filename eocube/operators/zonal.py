@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..model import bands_of
+from .cover import cells_in
 
 #: Reducers by name; missing values are skipped, the smallest of equally frequent values is the mode.
 REDUCERS = {
@@ -22,25 +23,29 @@ REDUCERS = {
 }
 
 
+#: Sides of all zones together up to which each cell is held against each zone's box.
+FEW_SIDES = 256
+
+
 def owners(df: DataFrame, zones: DataFrame | list, all_touched: bool = False, overlap: str = "last", dx: float = 1.0, dy: float = 1.0) -> DataFrame:
     """(y, x, zone): the zone that owns each cell of the grid, the later one of several (``overlap="all"``: all).
 
-    The cells of the grid are distinct first, so times don't multiply the work;
-    zones meet cells by tiles (an equi-join), then by their boxes, before the exact test.
+    The cells of the grid are distinct first, so times don't multiply the work. A
+    few zones that the driver has go to all tasks; others become squares of a tree
+    (``cover``), which cells meet by an equi-join, and only cells on a zone's edge
+    take the exact test.
     """
-    z = zones if isinstance(zones, DataFrame) else G.zones_frame(df.sparkSession, zones)
-    hx, hy = (abs(dx) / 2, abs(dy) / 2) if all_touched else (0.0, 0.0)
+    cells = df.select("y", "x").distinct()
     x, y = F.col("x").cast("double"), F.col("y").cast("double")
-    # a zone is dealt to the four tiles at most, of a size that fits it, that its box meets; cells to their tile of each size in use
-    tile = lambda c: F.floor(c / F.pow(F.lit(2.0), F.col("_size"))).cast("long")
-    wide = F.greatest(F.col("xmax") - F.col("xmin") + 2 * hx, F.col("ymax") - F.col("ymin") + 2 * hy, F.lit(max(abs(dx), abs(dy))))
-    z = z.withColumn("_size", F.ceil(F.log2(wide)).cast("int"))
-    spans = {c: F.sequence(tile(F.col(f"{c}min") - h), tile(F.col(f"{c}max") + h)) for c, h in (("x", hx), ("y", hy))}
-    dealt = z.withColumn("_tx", F.explode(spans["x"])).withColumn("_ty", F.explode(spans["y"]))
-    cells = df.select("y", "x").distinct().crossJoin(z.select("_size").distinct()).withColumns({"_tx": tile(x), "_ty": tile(y)})
-    near = (x >= F.col("xmin") - hx) & (x <= F.col("xmax") + hx) & (y >= F.col("ymin") - hy) & (y <= F.col("ymax") + hy)
-    exact = G.touches(x, y, F.col("edges"), dx, dy) if all_touched else G.inside(x, y, F.col("edges"), dy < 0)
-    hit = cells.join(dealt, ["_size", "_tx", "_ty"]).where(near & exact).select("y", "x", "zone")
+    if not isinstance(zones, DataFrame) and sum(len(z.edges) for z in zones) <= FEW_SIDES:
+        z = G.zones_frame(df.sparkSession, zones).drop("geometry")
+        hx, hy = (abs(dx) / 2, abs(dy) / 2) if all_touched else (0.0, 0.0)
+        near = (x >= F.col("xmin") - hx) & (x <= F.col("xmax") + hx) & (y >= F.col("ymin") - hy) & (y <= F.col("ymax") + hy)
+        exact = G.touches(x, y, F.col("edges"), dx, dy) if all_touched else G.inside(x, y, F.col("edges"), dy < 0)
+        hit = cells.join(F.broadcast(z), near & exact).select("y", "x", "zone")
+    else:
+        z = zones if isinstance(zones, DataFrame) else G.zones_frame(df.sparkSession, zones)
+        hit = cells_in(cells, z, dx, dy, all_touched)
     return hit if overlap == "all" else hit.groupBy("y", "x").agg(F.max("zone").alias("zone"))
 
 

@@ -950,6 +950,24 @@ def region_outlines(spark, d):
     return regions.region_outlines(found, D.GRID).groupBy("time", "region").agg(F.count("*").alias("sides"))
 
 
+_TRIANGLES = """tri AS (SELECT c_custkey AS zone, (c_custkey * 37) % 1900 + 0.25::DOUBLE AS a, (c_custkey * 13) % 90 + 0.25::DOUBLE AS b,
+ CASE WHEN c_custkey % 500 = 0 THEN 1900 ELSE 5 + c_custkey % 40 END AS w, CASE WHEN c_custkey % 500 = 0 THEN 95 ELSE 3 + c_custkey % 17 END AS h FROM customer)"""
+
+
+@query(f"""WITH {PX}, {_TRIANGLES}, g AS (SELECT DISTINCT y, x FROM px), o AS (SELECT zone, y, x FROM g JOIN tri ON y >= b AND y < b + h AND x <= a + w AND x > a + w * (y - b) / h)
+SELECT zone, count(*) AS n, round(sum(nir), 4) AS nir FROM o JOIN px USING (y, x) GROUP BY 1""")
+def zones_by_squares(spark, d):
+    """A triangle for each customer, some of them as large as the grid."""
+    key, point = F.col("c_custkey"), lambda n: F.col(n).cast("double")
+    z = D.table(spark, d, "customer").select(key.alias("zone"), ((key * 37) % 1900 + 0.25).alias("a"), ((key * 13) % 90 + 0.25).alias("b"), F.when(key % 500 == 0, 1900).otherwise(5 + key % 40).alias("w"), F.when(key % 500 == 0, 95).otherwise(3 + key % 17).alias("h"))
+    corner = [("a", "b"), ("right", "b"), ("right", "top")]
+    z = z.withColumn("right", F.col("a") + F.col("w")).withColumn("top", F.col("b") + F.col("h"))
+    sides = [F.struct(point(p[0]).alias("x1"), point(p[1]).alias("y1"), point(q[0]).alias("x2"), point(q[1]).alias("y2")) for p, q in zip(corner, corner[1:] + corner[:1], strict=True)]
+    px = D.pixels(spark, d, "nir")
+    own = zonal.owners(px, z.select("zone", F.array(*sides).alias("edges")), overlap="all")
+    return px.join(own, ["y", "x"]).groupBy("zone").agg(F.count("*").alias("n"), F.round(F.sum("nir"), 4).alias("nir"))
+
+
 def _tiff(spark, d) -> DataFrame:
     """The sizes of parts as eight rasters of 50 columns, of deflated tiles; two of a date overlap by half."""
 

@@ -113,11 +113,3 @@ def test_series_side_by_side_equal_series_alone():
 def test_bands_and_frequencies():
     assert C.band_info("red")["band_id"] == "B04" and C.band_info("scl")["band_id"] == "scl"
     assert step_of("6h") == "6 hours" and step_of("7D") is None and parse("W-SUN") == (1, "W", "SUN")
-
-
-def test_zone_join_has_equal_keys(spark):
-    from eocube.operators import zonal
-
-    df = spark.createDataFrame([(0, 1.0, 1.0, 2.0)], "time int, y double, x double, b double")
-    plan = zonal.owners(df, [G.box(0, 0, 3, 3), G.box(0, 0, 300, 300)])._jdf.queryExecution().executedPlan().toString()
-    assert "HashJoin [_size" in plan or "SortMergeJoin [_size" in plan

@@ -1,7 +1,10 @@
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from eocube.functions import geometry as G
 from eocube.operators import zonal
+from eocube.operators.cover import SIDES, cells_in, cover
 
 OK2 = G.Geometry("Polygon", (((1.0, 1.0), (9.0, 1.0), (9.0, 2.1)),))
 ZONES = [G.box(0, 0, 1.2, 1.2), G.box(0, 0, 0.5, 0.5), OK2]
@@ -67,3 +70,43 @@ def test_against_a_plain_raster(cube):
         return n % 2 == 1
 
     assert got == {(float(y), float(x)) for y in range(3) for x in range(8) if inside(x, y)}
+
+
+def blob(rng, n, x, y, size, least=0.3):
+    """A star of n corners."""
+    turn = np.sort(rng.uniform(0, 2 * np.pi, n))
+    r = size * rng.uniform(least, 1.0, n)
+    return G.Geometry("Polygon", (tuple(zip((x + r * np.cos(turn)).tolist(), (y + r * np.sin(turn)).tolist(), strict=True)),))
+
+
+@pytest.mark.parametrize("all_touched", [False, True])
+@pytest.mark.parametrize(("dx", "dy"), [(1.0, 1.0), (0.5, -0.25)])
+def test_squares_equal_the_exact_test(spark, all_touched, dx, dy):
+    """Stars of few and many corners, a box along cells' centres, one zone as large as the grid: with and without squares."""
+    rng = np.random.default_rng(3)
+    zones = [blob(rng, n, rng.uniform(-20, 90) * dx, rng.uniform(-10, 50) * abs(dy), s * dx) for n, s in ((3, 5), (9, 30), (40, 40), (4, 2), (150, 90), (3, 0.3))]
+    zones += [G.box(10 * dx, 10 * abs(dy), 20 * dx, 20 * abs(dy)), G.box(-1e3, -1e3, 1e3, 1e3), G.box(1e6, 1e6, 1e6 + 1, 1e6 + 1)]
+    cells = spark.range(110 * 50).selectExpr(f"(id div 110 - 15) * {dy} as y", f"(id % 110 - 30) * {dx} as x")
+    z = G.zones_frame(spark, zones)
+    got = {(r.y, r.x, r.zone) for r in cells_in(cells, z, dx, dy, all_touched).collect()}
+    hit = G.touches(F.col("x"), F.col("y"), F.col("edges"), dx, dy) if all_touched else G.inside(F.col("x"), F.col("y"), F.col("edges"), dy < 0)
+    want = {(r.y, r.x, r.zone) for r in cells.crossJoin(z).where(hit).select("y", "x", "zone").collect()}
+    assert got == want and {z for _, _, z in want} >= {1, 2, 4, 7}
+
+
+def test_few_cells_take_the_exact_test(spark):
+    """Inside, squares are whole; a square on the edge carries few sides, and no square has more than 256 pixels on a side."""
+    zones = [blob(np.random.default_rng(4), 1000, 4000.0, 4000.0, 3800.0, 0.99), G.box(0, 0, 9000, 9000)]
+    c = cover(G.zones_frame(spark, zones), 1.0, 1.0).withColumn("area", F.element_at(F.array(*(F.lit(s * s) for s in SIDES)), F.col("_level") + 1))
+    r = c.where("zone = 0").agg(F.sum(F.when(F.col("whole"), F.col("area"))).alias("whole"), F.sum(F.when(~F.col("whole"), F.col("area"))).alias("edge"), F.expr("percentile(case when not whole then size(edges) end, 0.9)").alias("most")).first()
+    assert r.whole > r.edge / 4 and r.most <= 40
+    assert c.where("zone = 1 and not whole").agg(F.max(F.size("edges"))).first()[0] <= 4
+    assert c.where("zone = 1 and whole").count() > 1000
+
+
+def test_zone_join_has_equal_keys(spark):
+    df = spark.createDataFrame([(0, 1.0, 1.0, 2.0)], "time int, y double, x double, b double")
+    plan = zonal.owners(df, G.zones_frame(spark, [G.box(0, 0, 3, 3), G.box(0, 0, 300, 300)]))._jdf.queryExecution().executedPlan().toString()
+    assert "HashJoin [_level" in plan or "SortMergeJoin [_level" in plan
+    few = zonal.owners(df, [G.box(0, 0, 3, 3)])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" in few and "MapInArrow" not in few
