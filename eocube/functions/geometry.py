@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .projections import SYSTEMS
+
 Ring = list[tuple[float, float]]
 RADIUS = 6378137.0  # fixed value: WGS 84 equatorial radius in metres
 
@@ -182,19 +184,23 @@ def from_utm(x, y, zone: int, south: bool = False, m=math):
 
 
 def transform_point(x, y, source: int, target: int, m=math):
-    """A point between EPSG:4326, EPSG:3857 and the UTM zones (326zz north, 327zz south)."""
+    """A point between EPSG:4326, EPSG:3857, the UTM zones (326zz north, 327zz south) and the systems of ``projections``."""
     if source == target:
         return x, y
     if source == 3857:
         x, y = from_mercator(x, y, m)
     elif source // 100 in (326, 327):
         x, y = from_utm(x, y, source % 100, source // 100 == 327, m)
+    elif source in SYSTEMS:
+        x, y = SYSTEMS[source].back(x, y, m)
     elif source != 4326:
         raise ValueError(f"EPSG:{source} is not supported")
     if target == 3857:
         return to_mercator(x, y, m)
     if target // 100 in (326, 327):
         return to_utm(x, y, target % 100, target // 100 == 327, m)
+    if target in SYSTEMS:
+        return SYSTEMS[target].forward(x, y, m)
     if target != 4326:
         raise ValueError(f"EPSG:{target} is not supported")
     return x, y

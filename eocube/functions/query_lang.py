@@ -71,21 +71,26 @@ def split_range(value, days: int | str | None = "auto") -> list[tuple[datetime,
     return out[::-1]
 
 
-def property_of(df: DataFrame, name: str) -> Column:
-    """A column of that name, else a member of the ``properties`` JSON."""
+def property_of(df: DataFrame, name: str, sample=None) -> Column:
+    """A column of that name, else a member of ``properties``: of its JSON text, or of a VARIANT, which is typed like ``sample``."""
     plain = name.removeprefix("properties.")
     if plain in df.columns:
         return df[plain]
     if "properties" in df.columns:
+        if dict(df.dtypes)["properties"] == "variant":
+            return F.try_variant_get("properties", f"$['{plain}']", _kind(sample))
         return F.get_json_object("properties", f"$['{plain}']")
     raise ValueError(f"no property {name!r}")
 
 
-def _typed(c: Column, value) -> Column:
+def _kind(value) -> str:
     sample = value[0] if isinstance(value, (list, tuple)) and value else value
-    if isinstance(sample, bool):
-        return c.cast("boolean")
-    return c.cast("double") if isinstance(sample, (int, float)) else c
+    return "boolean" if isinstance(sample, bool) else "double" if isinstance(sample, (int, float)) else "string"
+
+
+def _typed(c: Column, value) -> Column:
+    kind = _kind(value)
+    return c if kind == "string" else c.cast(kind)
 
 
 #: Operators of the public STAC Query extension.
@@ -110,7 +115,7 @@ def stac_query(df: DataFrame, query: dict) -> Column:
         for op, value in (ops if isinstance(ops, dict) else {"eq": ops}).items():
             if op not in _QUERY:
                 raise ValueError(f"unknown query operator {op!r}")
-            parts.append(F.coalesce(_QUERY[op](_typed(property_of(df, name), value), value), F.lit(False)))
+            parts.append(F.coalesce(_QUERY[op](_typed(property_of(df, name, value), value), value), F.lit(False)))
     return reduce(lambda a, b: a & b, parts)
 
 
@@ -134,7 +139,7 @@ def post_query(df: DataFrame, query: dict[str, dict]) -> Column:
             if op not in _POST:
                 raise ValueError(f"unknown operator {op!r}")
             options = list(values) if isinstance(values, (list, tuple, set)) else [values]
-            any_of = [F.coalesce(_POST[op](_typed(property_of(df, name), v), v), F.lit(False)) for v in options]
+            any_of = [F.coalesce(_POST[op](_typed(property_of(df, name, v), v), v), F.lit(False)) for v in options]
             parts.append(reduce(lambda a, b: a | b, any_of, F.lit(False)))
     return reduce(lambda a, b: a & b, parts)
 

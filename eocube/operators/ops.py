@@ -50,8 +50,8 @@ def merge(left: DataFrame, right: DataFrame, compat: str = "no_conflicts", check
     For bands that both have: ``override`` takes the left one as it is,
     ``no_conflicts`` what is there if the two never differ, the others demand
     equal columns (``minimal`` and ``broadcast_equals`` like ``equals`` here). A
-    conflict stops the query that reads the result; ``check_now`` runs the join
-    for it at once.
+    conflict stops any query that reads the result, whichever bands it takes;
+    ``check_now`` runs the join for it at once.
     """
     if compat not in COMPAT:
         raise ValueError(f"compat is one of {COMPAT}, not {compat!r}")
@@ -64,7 +64,7 @@ def merge(left: DataFrame, right: DataFrame, compat: str = "no_conflicts", check
         if check_now and out.where(conflict).limit(1).count():
             raise DatacubeMergeError(f"bands {both} differ ({compat})")
         stop = F.raise_error(F.lit(f"DatacubeMergeError: bands {both} differ ({compat})"))
-        out = out.withColumn(both[0], F.when(F.coalesce(conflict, F.lit(False)), stop.cast(dict(out.dtypes)[both[0]])).otherwise(F.col(both[0])))
+        out = out.where(F.when(F.coalesce(conflict, F.lit(False)), stop.cast("boolean")).otherwise(True))
     if compat == "no_conflicts":
         out = out.withColumns({b: F.coalesce(b, f"_r_{b}") for b in both})
     return out.drop(*(f"_r_{b}" for b in both))
@@ -192,18 +192,79 @@ def times_with_few(df: DataFrame, hit: Column, most: float) -> DataFrame:
     return df.join(share.where(F.col("_share") < most).select("time"), "time", "left_semi")
 
 
-def _percentile(band: str, p: float, accuracy: int | None) -> Column:
-    return F.percentile(band, F.lit(p)) if accuracy is None else F.percentile_approx(band, p, accuracy)
+#: Ranges that a round of a selection tells apart.
+RANGES = 1 << 14
+
+
+def order_statistics(df: DataFrame, wanted: list[tuple[str, float]]) -> list[float | None]:
+    """Exact percentiles of bands, interpolated between neighbours, for (band, share) each; None where a band has no value.
+
+    Each rank is found by selection: values within the bounds known so far are
+    counted in RANGES ranges, and the range that holds the rank gives the next
+    bounds, until they are one value. A round is one aggregate with partial counts
+    for all ranks, so no task holds a band's values, only counts of ranges.
+    """
+    bands = list(dict.fromkeys(b for b, _ in wanted))
+    clean = df.select(*(F.when(~F.isnan(F.col(b).cast("double")), F.col(b).cast("double")).alias(b) for b in bands)).persist()
+    try:
+        ends = clean.agg(*(f(b).alias(f"{n}_{b}") for b in bands for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max)))).first()
+        ranks = {(b, k) for b, p in wanted if ends[f"n_{b}"] for k in (math.floor(p * (ends[f"n_{b}"] - 1)), math.ceil(p * (ends[f"n_{b}"] - 1)))}
+        open_ = {(b, k): (0, ends[f"lo_{b}"], ends[f"hi_{b}"]) for b, k in ranks}  # values before the bounds, and the bounds
+        value = {}
+        while open_:
+            value |= {t: lo for t, (_, lo, hi) in open_.items() if lo == hi}
+            open_ = {t: x for t, x in open_.items() if t not in value}
+            if open_:
+                open_ = _narrower(clean, open_)
+    finally:
+        clean.unpersist()
+    out = []
+    for b, p in wanted:
+        if not ends[f"n_{b}"]:
+            out.append(None)
+            continue
+        place = p * (ends[f"n_{b}"] - 1)
+        lo, hi = value[b, math.floor(place)], value[b, math.ceil(place)]
+        out.append(lo if lo == hi else lo + (hi - lo) * (place - math.floor(place)))
+    return out
+
+
+def _narrower(clean: DataFrame, bounds: dict) -> dict:
+    """The same ranks with the bounds of the range that each lies in."""
+    todo = list(bounds)
+
+    def cell(b, lo, hi):
+        c = F.col(b)
+        low, high = max(lo, -1.7e308), min(hi, 1.7e308)  # infinite values are in the first and last range
+        step = high / RANGES - low / RANGES
+        n = F.floor((c - F.lit(low)) / F.lit(step)) if step > 0 and math.isfinite(1 / step) else F.lit(0)
+        inner = F.least(F.lit(RANGES - 2), F.greatest(F.lit(1), n + 1))
+        return F.when(c.between(lo, hi), F.when(c == lo, 0).when(c == hi, RANGES - 1).otherwise(inner).cast("int"))
+
+    cells = F.array(*(F.struct(F.lit(n).alias("t"), cell(b, lo, hi).alias("c"), F.col(b).alias("v")) for n, ((b, _), (_, lo, hi)) in enumerate(bounds.items())))
+    counts = clean.select(F.explode(F.filter(cells, lambda x: x["c"].isNotNull())).alias("x")).groupBy("x.t", "x.c").agg(F.count("*").alias("n"), F.min("x.v").alias("lo"), F.max("x.v").alias("hi"))
+    run = Window.partitionBy("t").orderBy("c").rowsBetween(Window.unboundedPreceding, 0)  # over RANGES rows at most
+    rank = F.element_at(F.array(*(F.lit(k - bounds[b, k][0]).cast("long") for b, k in todo)), F.col("t") + 1)
+    hit = counts.withColumn("to", F.sum("n").over(run)).where((F.col("to") > rank) & (F.col("to") - F.col("n") <= rank)).collect()
+    return {todo[r.t]: (bounds[todo[r.t]][0] + r.to - r.n, r.lo, r.hi) for r in hit}
+
+
+def _percentiles(df: DataFrame, wanted: list[tuple[str, float]], accuracy: int | None) -> list[Column]:
+    """One value for each as a column: exact ones are found now, sketches (off by 1/accuracy in rank) too, in one aggregate."""
+    if accuracy is None:
+        return [F.lit(v).cast("double") for v in order_statistics(df, wanted)]
+    row = df.agg(*(F.percentile_approx(b, p, accuracy).alias(str(n)) for n, (b, p) in enumerate(wanted))).first()
+    return [F.lit(v).cast("double") for v in row]
 
 
 def above_percentile(df: DataFrame, band: str, p: float, accuracy: int | None = None) -> DataFrame:
-    """Pixels of a band above its percentile over the whole cube.
+    """Pixels of a band above its percentile over the whole cube, which is found at once.
 
-    The exact percentile keeps each distinct value of the band in one task; with
-    ``accuracy`` it is a sketch of bounded size, off by 1/accuracy in rank.
+    It is exact, by a few aggregates of bounded size; with ``accuracy`` it is a
+    sketch, off by 1/accuracy in rank.
     """
-    cut = df.agg(_percentile(band, p, accuracy).alias("_cut"))
-    return df.crossJoin(F.broadcast(cut)).where(F.col(band) > F.col("_cut")).drop("_cut")
+    (cut,) = _percentiles(df, [(band, p)], accuracy)
+    return df.where(F.col(band) > cut)
 
 
 #: Names of aggregates that a coarser grid can take of a cell's pixels.
@@ -222,7 +283,7 @@ def coarsen(df: DataFrame, factor: int, grid: GridSpec, method: str = "average",
 
 
 def nearest_dates(times: DataFrame, targets: DataFrame, days: int = 0, method: str = "nearest") -> DataFrame:
-    """(target, time, delta): for each target date the nearest of ``times`` within ``days``; each time once.
+    """(target, date, delta): for each target date the nearest date of ``times`` within ``days``; a date that is the nearest of several targets is listed once, with the nearest of them.
 
     Dates are spread over the days they can serve, so the join is an equi-join on the date.
     """
@@ -232,7 +293,8 @@ def nearest_dates(times: DataFrame, targets: DataFrame, days: int = 0, method: s
     found = targets.select(F.to_date("time").alias("target")).distinct().join(reach, "target")
     w = Window.partitionBy("target").orderBy("delta", F.col("date").desc())
     best = found.withColumn("_rank", F.row_number().over(w)).where("_rank = 1")
-    return best.select("target", "date", "delta")
+    once = Window.partitionBy("date").orderBy("delta", "target")
+    return best.withColumn("_rank", F.row_number().over(once)).where("_rank = 1").select("target", "date", "delta")
 
 
 def difference(df: DataFrame) -> DataFrame:
@@ -250,10 +312,9 @@ def time_gaps(df: DataFrame) -> DataFrame:
 
 def stretch(df: DataFrame, bands: list[str], lower: float = 0.02, upper: float = 0.98, accuracy: int | None = None) -> DataFrame:
     """Each band from its percentiles (``accuracy`` as in ``above_percentile``) to 0..255."""
-    cuts = df.agg(*(_percentile(b, p, accuracy).alias(f"_{n}_{b}") for b in bands for n, p in (("lo", lower), ("hi", upper))))
-    both = df.crossJoin(F.broadcast(cuts))
-    new = {b: F.least(F.lit(255.0), F.greatest(F.lit(0.0), (F.col(b) - F.col(f"_lo_{b}")) * 255 / F.nullif(F.col(f"_hi_{b}") - F.col(f"_lo_{b}"), F.lit(0.0)))) for b in bands}
-    return both.withColumns(new).drop(*cuts.columns)
+    cuts = _percentiles(df, [(b, p) for b in bands for p in (lower, upper)], accuracy)
+    ends = dict(zip(bands, zip(cuts[::2], cuts[1::2], strict=True), strict=True))
+    return df.withColumns({b: F.least(F.lit(255.0), F.greatest(F.lit(0.0), (F.col(b) - lo) * 255 / F.nullif(hi - lo, F.lit(0.0)))) for b, (lo, hi) in ends.items()})
 
 
 def area_hectares(df: DataFrame, hit: Column, grid: GridSpec) -> DataFrame:

@@ -1,8 +1,9 @@
-"""Connected regions of pixels, and their areas."""
+"""Connected regions of pixels, their areas and outlines."""
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,31 +61,101 @@ def region_outlines(regions: DataFrame, grid: GridSpec) -> DataFrame:
     return alone.drop("_kx", "_ky", "_n")
 
 
-def region_polygons(regions: DataFrame, grid: GridSpec) -> DataFrame:
-    """(time, region, wkt): the outline of each region as a polygon with its holes; the sides of one region go to one task."""
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        ahead: dict[tuple, list[tuple]] = {}
-        for a, b, c, d in pdf[["x1", "y1", "x2", "y2"]].round(6).itertuples(index=False):
-            ahead.setdefault((a, b), []).append((c, d))
-        rings = []
-        while ahead:
-            ring = [next(iter(ahead))]
-            while (nexts := ahead.get(ring[-1])) is not None:
-                # at a corner where two rings touch, the one that turns left is this one's
-                came = (ring[-1][0] - ring[-2][0], ring[-1][1] - ring[-2][1]) if len(ring) > 1 else (0.0, 0.0)
-                here = ring[-1]
-                nexts.sort(key=lambda p: came[0] * (p[1] - here[1]) - came[1] * (p[0] - here[0]))
-                ring.append(nexts.pop())
-                if not nexts:
-                    del ahead[here]
-                if ring[-1] == ring[0]:
-                    break
-            rings.append(ring)
-        area = lambda r: sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, r[1:], strict=False))
-        rings.sort(key=lambda r: -area(r))  # the outline first, holes run the other way
-        text = ", ".join("(" + ", ".join(f"{x:.10g} {y:.10g}" for x, y in r) + ")" for r in rings)
-        return pd.DataFrame({"time": pdf["time"].iloc[:1], "region": pdf["region"].iloc[:1], "wkt": [f"POLYGON ({text})"]})
+#: Cells on a side of the tiles that outlines are traced in.
+TILE = 64
+_PATH = "id long, after long, ring boolean, xs array<long>, ys array<long>"
+
+
+def _successors(outlines: DataFrame, grid: GridSpec) -> DataFrame:
+    """Sides between corners numbered by the grid, each with its direction, the side that follows, and whether it turns off the one before."""
+    at = lambda c, origin, step: F.round((F.col(c) - origin) / abs(step) + 0.5).cast("long")
+    x0, y0 = min(grid.x0, grid.x0 + (grid.nx - 1) * grid.dx), min(grid.y0, grid.y0 + (grid.ny - 1) * grid.dy)
+    s = outlines.select("time", "region", at("x1", x0, grid.dx).alias("i"), at("y1", y0, grid.dy).alias("j"), at("x2", x0, grid.dx).alias("i2"), at("y2", y0, grid.dy).alias("j2"))
+    s = s.withColumn("u", F.col("i2") - F.col("i")).withColumn("v", F.col("j2") - F.col("j"))
+    # a corner and one of four directions name a side
+    number = lambda i, j, u, v: ((j * (grid.nx + 2) + i) * 4 + F.when(u == 1, 0).when(v == 1, 1).when(u == -1, 2).otherwise(3)).cast("long")
+    s = s.withColumn("id", number(F.col("i"), F.col("j"), F.col("u"), F.col("v")))
+    ahead = s.select("time", "region", F.col("i").alias("i2"), F.col("j").alias("j2"), F.col("id").alias("after"), F.col("u").alias("nu"), F.col("v").alias("nv"), F.col("i").alias("ni"), F.col("j").alias("nj"))
+    left = F.col("u") * F.col("nv") - F.col("v") * F.col("nu")  # where two outlines touch, the one that turns left goes on
+    both = s.join(ahead, ["time", "region", "i2", "j2"]).groupBy("time", "region", "id").agg(*(F.first(c).alias(c) for c in ("i", "j", "u", "v")), F.max_by(F.struct("after", "nu", "nv", "ni", "nj"), left).alias("n"))
+    turns = both.select("time", "region", F.col("n.after").alias("id"), ((F.col("n.nu") != F.col("u")) | (F.col("n.nv") != F.col("v"))).alias("turn"))
+    tile = lambda i, j: F.struct(F.floor(i / TILE).cast("int").alias("ti"), F.floor(j / TILE).cast("int").alias("tj"))
+    sides = both.select("time", "region", "id", "i", "j", F.col("n.after").alias("after"), tile(F.col("i"), F.col("j")).alias("tile"), tile(F.col("n.ni"), F.col("n.nj")).alias("beyond"))
+    return sides.join(turns, ["time", "region", "id"])
+
+
+def _trace(table: pa.Table) -> pa.Table:
+    """The sides of a tile as paths that enter and leave it, and as rings that don't: their turns only."""
+    cols = {c: table.column(c).to_pylist() for c in ("region", "id", "i", "j", "after", "turn", "stays")}
+    place = {(r, k): n for n, (r, k) in enumerate(zip(cols["region"], cols["id"], strict=True))}
+    follow = [place[r, a] if stay else -1 for r, a, stay in zip(cols["region"], cols["after"], cols["stays"], strict=True)]
+    entered = np.ones(len(follow), bool)
+    entered[[n for n in follow if n >= 0]] = False
+    out, seen = [], np.zeros(len(follow), bool)
+    for start in [*np.flatnonzero(entered).tolist(), *range(len(follow))]:
+        if seen[start]:
+            continue
+        n, turns = start, []
+        while n >= 0 and not seen[n]:
+            seen[n], last = True, n
+            if cols["turn"][n]:
+                turns.append(n)
+            n = follow[n]
+        out.append((cols["region"][start], cols["id"][start], cols["after"][last], n >= 0, [cols["i"][t] for t in turns], [cols["j"][t] for t in turns]))
+    time = table.column("time")[0]
+    kinds = (table.schema.field("region").type, pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+    cells = [pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)]
+    return pa.Table.from_arrays([pa.array([time.as_py()] * len(out), time.type), *cells], names=["time", "region", "id", "after", "ring", "xs", "ys"])
+
+
+def region_rings(regions: DataFrame, grid: GridSpec, work: str) -> DataFrame:
+    """(time, region, ring, xs, ys): the outlines of regions and of their holes as turns in order, in numbers of grid corners.
+
+    Sides are traced within tiles; the paths between tiles are put in order by
+    pointer jumping, so an outline through many tiles is many tasks' work until its
+    turns become one row. ``work`` is a folder that all executors share.
+    """
+    spark = regions.sparkSession
+    keys = ["time", "region"]
+
+    def store(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.mode("overwrite").parquet(f"{work}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{work}/{name}")
 
     kinds = dict(regions.dtypes)
-    return region_outlines(regions, grid).groupBy("time", "region").applyInPandas(chain, f"time {kinds['time']}, region {kinds['region']}, wkt string")
+    sides = _successors(region_outlines(regions, grid), grid).withColumn("stays", F.col("tile") == F.col("beyond"))
+    paths = sides.groupBy("time", "tile").applyInArrow(_trace, f"time {kinds['time']}, region {kinds['region']}, {_PATH}")
+    paths = store(paths, "paths")
+    # the least number on each cycle of paths
+    links = store(paths.where("not ring").select(*keys, "id", "after", F.col("id").alias("least"), F.lit(True).alias("changed")), "least0")
+    n = 0
+    while links.where("changed").limit(1).count():
+        n += 1
+        then = links.select(*keys, F.col("id").alias("after"), F.col("after").alias("_after"), F.col("least").alias("_least"))
+        links = store(links.join(then, [*keys, "after"]).select(*keys, "id", F.col("_after").alias("after"), F.least("least", "_least").alias("least"), (F.col("_least") < F.col("least")).alias("changed")), f"least{n}")
+    # cut there, each cycle is a list: steps to its end
+    named = links.select(*keys, "id", F.col("least").alias("start"))
+    open_ = paths.where("not ring").select(*keys, "id", "after").join(named, [*keys, "id"])
+    ranks = store(open_.select(*keys, "id", "start", F.when(F.col("after") != F.col("start"), F.col("after")).alias("after"), F.lit(1).cast("long").alias("left")), "rank0")
+    n = 0
+    while ranks.where("after is not null").limit(1).count():
+        n += 1
+        then = ranks.select(*keys, F.col("id").alias("after"), F.col("after").alias("_after"), F.col("left").alias("_left"))
+        ranks = store(ranks.join(then, [*keys, "after"], "left").select(*keys, "id", "start", F.col("_after").alias("after"), (F.col("left") + F.coalesce("_left", F.lit(0))).alias("left")), f"rank{n}")
+    placed = paths.join(ranks.select(*keys, "id", "start", "left"), [*keys, "id"], "left")
+    ordered = placed.groupBy(*keys, F.coalesce("start", "id").alias("ring")).agg(F.sort_array(F.collect_list(F.struct((-F.coalesce("left", F.lit(0))).alias("n"), "xs", "ys"))).alias("parts"))
+    return ordered.select(*keys, "ring", F.flatten("parts.xs").alias("xs"), F.flatten("parts.ys").alias("ys"))
+
+
+def region_polygons(regions: DataFrame, grid: GridSpec, work: str) -> DataFrame:
+    """(time, region, wkt): the outline of each region as a polygon with its holes, each ring from its turns; ``work`` as above."""
+    rings = region_rings(regions, grid, work)
+    x0, y0 = min(grid.x0, grid.x0 + (grid.nx - 1) * grid.dx), min(grid.y0, grid.y0 + (grid.ny - 1) * grid.dy)
+    turns = F.arrays_zip("xs", "ys")
+    closed = F.concat(turns, F.slice(turns, 1, 1))
+    number = lambda c, origin, step: F.regexp_replace(F.format_string("%.6f", (c - 0.5) * abs(step) + origin), r"\.?0+$", "")
+    text = F.concat(F.lit("("), F.array_join(F.transform(closed, lambda p: F.concat(number(p["xs"], x0, grid.dx), F.lit(" "), number(p["ys"], y0, grid.dy))), ", "), F.lit(")"))
+    twice = F.expr("aggregate(sequence(0, size(xs) - 1), 0L, (s, k) -> s + xs[k] * ys[(k + 1) % size(xs)] - xs[(k + 1) % size(xs)] * ys[k])")
+    each = rings.select("time", "region", F.struct((-twice).alias("area"), "ring", text.alias("text")).alias("r"))  # the outline first: holes run the other way
+    whole = each.groupBy("time", "region").agg(F.sort_array(F.collect_list("r")).alias("rs"))
+    return whole.select("time", "region", F.concat(F.lit("POLYGON ("), F.array_join("rs.text", ", "), F.lit(")")).alias("wkt"))

@@ -484,12 +484,13 @@ _xcal("xcal_linear", ("AF", "NO"))
 _xcal("xcal_piecewise", ("RF", "NF"))
 
 
-@query("""WITH t AS (SELECT DISTINCT l_shipdate::DATE AS d FROM lineitem WHERE day(l_shipdate) % 4 = 0), o AS (SELECT DISTINCT o_orderdate::DATE AS d FROM orders WHERE day(o_orderdate) % 7 = 1)
-SELECT target::DATE AS target, date::DATE AS date, delta FROM (SELECT o.d AS target, t.d AS date, abs(t.d - o.d)::INT AS delta, row_number() OVER (PARTITION BY o.d ORDER BY abs(t.d - o.d), t.d DESC) AS k
- FROM o JOIN t ON abs(t.d - o.d) <= 3) WHERE k = 1""")
+@query("""WITH t AS (SELECT DISTINCT last_day(l_shipdate)::DATE AS d FROM lineitem), o AS (SELECT DISTINCT o_orderdate::DATE AS d FROM orders),
+b AS (SELECT * FROM (SELECT o.d AS target, t.d AS date, abs(t.d - o.d)::INT AS delta, row_number() OVER (PARTITION BY o.d ORDER BY abs(t.d - o.d), t.d DESC) AS k FROM o JOIN t ON abs(t.d - o.d) <= 3) WHERE k = 1)
+SELECT target::DATE AS target, date::DATE AS date, delta FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY delta, target) AS m FROM b) WHERE m = 1""")
 def nearest_dates(spark, d):
-    times = D.raw_pixels(spark, d).where(F.day("time") % 4 == 0).select("time")
-    targets = D.items(spark, d).where(F.day("datetime") % 7 == 1).select(F.col("datetime").alias("time"))
+    """The ends of months that have pixels, for the days that have items."""
+    times = D.raw_pixels(spark, d).select(F.last_day("time").alias("time"))
+    targets = D.items(spark, d).select(F.col("datetime").alias("time"))
     return ops.nearest_dates(times, targets, 3)
 
 
@@ -634,6 +635,14 @@ def json_props(spark, d):
     return rows.where(Q.stac_query(rows, {"k": {"gt": 50}})).select("event_id", Q.property_of(rows, "k").cast("long").alias("k"))
 
 
+@query("SELECT event_id AS id, json_extract(props, '$.k')::BIGINT AS k FROM events WHERE json_extract(props, '$.k')::DOUBLE BETWEEN 10 AND 60 AND json_extract(props, '$.k')::DOUBLE <> 30")
+def variant_props(spark, d):
+    """Properties parsed once, then searched by typed paths."""
+    rows = catalog.parsed(D.series(spark, d).select(F.col("event_id").alias("id"), F.col("props").alias("properties")), f"{work_dir(spark)}/items")
+    found = catalog.search(rows, query={"k": {"gte": 10, "lte": 60}}, filter={"op": "<>", "args": [{"property": "k"}, 30]})
+    return found.select("id", Q.property_of(found, "k", 0).cast("long").alias("k"))
+
+
 @query("""SELECT c_nationkey AS id, CASE WHEN count(DISTINCT c_mktsegment) = 1 THEN max(c_mktsegment) END AS seg, CASE WHEN count(DISTINCT c_nationkey % 3) = 1 THEN max(c_nationkey % 3) END AS m FROM customer GROUP BY 1""")
 def enrich_promote(spark, d):
     rows = D.table(spark, d, "customer").select(F.col("c_nationkey").alias("id"), F.col("c_mktsegment").alias("seg"), (F.col("c_nationkey") % 3).alias("m"))
@@ -925,11 +934,11 @@ def align_by_position(spark, d):
     return ops.align_by_position(one(1996, "red"), one(1997, "nir")).select("time", "y", "x", r("red"), r("nir"))
 
 
-_HIT = "h AS (SELECT DISTINCT last_day(time) AS time, y, x // 8 AS x FROM px WHERE nir > 46 AND month(time) = 3)"
+_HIT = "h AS (SELECT DISTINCT last_day(time) AS time, y, x // 8 AS x FROM px WHERE nir > 46)"
 
 
 def _hits(spark, d) -> DataFrame:
-    p = D.pixels(spark, d, "nir").where("nir > 46 and month(time) = 3")
+    p = D.pixels(spark, d, "nir").where("nir > 46")
     return p.select(F.last_day("time").alias("time"), "y", F.floor(F.col("x") / 8).alias("x")).distinct()
 
 
@@ -950,6 +959,34 @@ def region_outlines(spark, d):
     return regions.region_outlines(found, D.GRID).groupBy("time", "region").agg(F.count("*").alias("sides"))
 
 
+@query(f"""WITH RECURSIVE {PX}, {_HIT}, e AS (SELECT a.time, a.y * 2000 + a.x AS u, b.y * 2000 + b.x AS v FROM h a JOIN h b ON a.time = b.time AND abs(a.x - b.x) + abs(a.y - b.y) = 1),
+reach(time, u, v) AS (SELECT time, y * 2000 + x, y * 2000 + x FROM h UNION SELECT r.time, r.u, e.v FROM reach r JOIN e ON r.time = e.time AND r.v = e.u),
+c AS (SELECT time, u // 2000 AS y, u % 2000 AS x, min(v) AS region FROM reach GROUP BY time, u),
+k AS (SELECT time, region, y + dy AS j, x + dx AS i, abs(sum(s)) AS turns FROM c, (VALUES (0, 0, 1), (1, 1, 1), (0, 1, -1), (1, 0, -1)) d(dy, dx, s) GROUP BY 1, 2, 3, 4),
+t AS (SELECT time, region, sum(turns)::BIGINT AS turns FROM k GROUP BY 1, 2)
+SELECT c.time, c.region::BIGINT AS region, count(*)::DOUBLE AS area, any_value(turns) AS turns FROM c JOIN t ON t.time = c.time AND t.region = c.region GROUP BY 1, 2""")
+def region_wkt(spark, d):
+    """Polygons of regions as text; their areas and turns are those of the raster."""
+    work = work_dir(spark)
+    found = regions.connected_regions(_hits(spark, d), F.lit(True), D.GRID, f"{work}/labels")
+    rings = F.split(F.regexp_replace("wkt", r"^POLYGON \(\(|\)\)$", ""), r"\), \(")
+    points = F.transform(rings, lambda r: F.transform(F.split(r, ", "), lambda p: F.struct(F.split(p, " ")[0].cast("double").alias("x"), F.split(p, " ")[1].cast("double").alias("y"))))
+    area = "aggregate(rings, 0D, (s, r) -> s + aggregate(sequence(0, size(r) - 2), 0D, (t, k) -> t + (r[k].x * r[k + 1].y - r[k + 1].x * r[k].y) / 2))"
+    shapes = regions.region_polygons(found, D.GRID, f"{work}/rings").withColumn("rings", points)
+    return shapes.select("time", "region", F.expr(area).alias("area"), F.expr("aggregate(rings, 0L, (s, r) -> s + size(r) - 1)").alias("turns"))
+
+
+@query(f"""WITH {PX}, c AS (SELECT 0.02 + i * 0.05::DOUBLE AS x, 0.011 + j * 0.01::DOUBLE AS y FROM range(400) a(i), range(80) b(j)), e AS (SELECT *, sqrt(1 / 298.257223563 * (2 - 1 / 298.257223563)) AS e, sin(radians(y)) AS s FROM c),
+k AS (SELECT *, cos(radians(30)) / sqrt(1 - e * e * 0.25) AS k, (1 - e * e) * (s / (1 - e * e * s * s) - ln((1 - e * s) / (1 + e * s)) / (2 * e)) AS q FROM e),
+m AS (SELECT x, y, round(6378137 * k * radians(x) / 1000)::BIGINT AS i, round(6378137 * q / (2 * k) / 1000)::BIGINT AS j FROM k)
+SELECT time, round(m.y, 6) AS y, round(m.x, 6) AS x, round(nir, 6) AS nir FROM m JOIN px ON px.x = i AND px.y = j""")
+def regrid_equal_area(spark, d):
+    """A cube of an equal-area system, cells of a kilometre, on a grid of degrees."""
+    px = D.pixels(spark, d, "nir").withColumns({"x": F.col("x") * 1000.0, "y": F.col("y") * 1000.0})
+    out = ops.regrid(px, GridSpec(0.0, 0.0, 1000.0, 1000.0, 2001, 101), GridSpec(0.02, 0.011, 0.05, 0.01, 400, 80), "nearest", 6933, 4326)
+    return out.select("time", r("y"), r("x"), r("nir"))
+
+
 _TRIANGLES = """tri AS (SELECT c_custkey AS zone, (c_custkey * 37) % 1900 + 0.25::DOUBLE AS a, (c_custkey * 13) % 90 + 0.25::DOUBLE AS b,
  CASE WHEN c_custkey % 500 = 0 THEN 1900 ELSE 5 + c_custkey % 40 END AS w, CASE WHEN c_custkey % 500 = 0 THEN 95 ELSE 3 + c_custkey % 17 END AS h FROM customer)"""
 

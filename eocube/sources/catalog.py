@@ -19,6 +19,15 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else spark.read.schema(ITEM).json(path)
 
 
+def parsed(items: DataFrame, path: str) -> DataFrame:
+    """Items with their properties as a VARIANT, written once and read again: searches take typed paths and parse no text.
+
+    Properties that are no JSON are missing.
+    """
+    items.withColumn("properties", F.try_parse_json("properties")).write.mode("overwrite").parquet(path)
+    return items.sparkSession.read.parquet(path)
+
+
 def search(items: DataFrame, *, collections=None, datetime=None, bbox=None, intersects=None, ids=None, query=None, filter=None, post_query=None, sortby=None, fields=None, assets=None, max_items=None, days_per_chunk=None, max_items_per_chunk=None) -> DataFrame:
     """Items that meet all predicates given.
 

@@ -123,7 +123,7 @@ def test_projections():
     g = G.reproject(G.box(2, 48, 3, 49), 32631)
     assert G.reproject(g, 4326).bbox == pytest.approx((2, 48, 3, 49), abs=1e-7)
     with pytest.raises(ValueError):
-        G.reproject(g, 2154)
+        G.reproject(g, 27700)
 
 
 def _tiff(a: np.ndarray) -> bytes:
@@ -175,3 +175,19 @@ def test_item_stream(spark, tmp_path):
     for _ in range(2):  # the second run finds nothing new
         ingest.append_new(ingest.read_item_stream(spark, str(tmp_path / "in")), str(tmp_path / "table"), str(tmp_path / "cp")).awaitTermination()
     assert sorted(ids(spark.read.parquet(str(tmp_path / "table")))) == ["a", "b"]
+
+
+def test_properties_as_variant(spark, tmp_path):
+    """The same answers as from text, and no text is parsed in a search."""
+    from eocube.sources import catalog
+
+    rows = [("a", '{"eo:cloud_cover": 5, "n": "x", "ok": true}'), ("b", '{"eo:cloud_cover": 50.5, "n": "yx"}'), ("c", "no json"), ("d", None), ("e", '{"eo:cloud_cover": null, "n": "x", "ok": false}')]
+    text = spark.createDataFrame(rows, "id string, properties string")
+    variant = catalog.parsed(text, str(tmp_path / "items"))
+    p = lambda n: {"property": n}
+    searches = [{"query": {"eo:cloud_cover": {"lt": 20}}}, {"query": {"n": {"startsWith": "x"}, "ok": {"eq": True}}}, {"post_query": {"eo:cloud_cover": {"ge": [50, 1]}}}, {"filter": {"op": "or", "args": [{"op": ">", "args": [p("eo:cloud_cover"), 20]}, {"op": "like", "args": [p("n"), "%x"]}]}}, {"filter": {"op": "isNull", "args": [p("eo:cloud_cover")]}}, {"query": {"ok": False}}]
+    for s in searches:
+        one, other = (sorted(r.id for r in catalog.search(t, **s).collect()) for t in (text.where("id <> 'c'"), variant.where("id <> 'c'")))
+        assert one == other, s
+    plan = catalog.search(variant, **searches[0])._jdf.queryExecution().optimizedPlan().toString()
+    assert "parse_json" not in plan and "get_json_object" not in plan

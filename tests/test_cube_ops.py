@@ -175,3 +175,44 @@ def test_options(spark):
         options.set_option(spark, "zone_overlap", "first")
     with pytest.raises(KeyError):
         options.describe_option("none")
+
+
+@pytest.mark.parametrize("compat", ["no_conflicts", "equals"])
+def test_a_conflict_stops_queries_of_other_bands(cube, compat):
+    left = cube([("2024-01-01", 0.0, 0.0, 1.0, 5.0)], ["a", "b"])
+    right = cube([("2024-01-01", 0.0, 0.0, 2.0, 5.0)], ["a", "b"])
+    for read in (lambda df: df.select("b").collect(), lambda df: df.count(), lambda df: df.select("time").collect()):
+        with pytest.raises(Exception, match="DatacubeMergeError"):
+            read(ops.merge(left, right, compat))
+        read(ops.merge(left, left, compat))
+
+
+def test_a_date_serves_one_target(spark):
+    day = lambda *ds: spark.createDataFrame([(f"2024-01-{d:02d}",) for d in ds], "time string").withColumn("time", F.to_timestamp("time"))
+    got = {(r.target.day, r.date.day, r.delta) for r in ops.nearest_dates(day(10, 20), day(8, 11, 12, 19, 28), 4).collect()}
+    assert got == {(11, 10, 1), (19, 20, 1)}
+
+
+VALUES = {
+    "ties": [1.0] * 500 + [2.0] * 3 + [3.0] * 400,
+    "wide": [10.0**k * s for k in range(-300, 300, 7) for s in (-1, 1)],
+    "ends": [float("-inf"), -5.0, 0.0, 1.5, float("inf"), float("inf")],
+    "one": [7.25],
+    "near": [1.0 + k * 2.0**-52 for k in range(300)],
+    "many": [((k * 7919) % 100_003) / 7 for k in range(40_000)],
+}
+
+
+@pytest.mark.parametrize("name", sorted(VALUES))
+def test_order_statistics_are_exact(spark, monkeypatch, name):
+    monkeypatch.setattr(ops, "RANGES", 16 if name != "many" else 1 << 14)
+    values = sorted(VALUES[name])
+    df = spark.createDataFrame([(v, None) for v in [*values, None, float("nan")]], "v double, none double")
+    shares = [0.0, 0.02, 0.5, 0.77, 0.98, 1.0]
+    got = ops.order_statistics(df, [("v", p) for p in shares] + [("none", 0.5)])
+    want = []
+    for p in shares:
+        k = p * (len(values) - 1)
+        lo, hi = values[int(k)], values[-int(-k // 1)]
+        want.append(lo if lo == hi else lo + (hi - lo) * (k - int(k)))
+    assert list(map(str, got)) == list(map(str, [*want, None]))
