@@ -277,10 +277,10 @@ def gap_fill_linear(spark, d):
 
 
 def _gaps(name: str, freq: str, label: str):
-    """Periods without data: only some months have any."""
+    """Periods without data: all times are moved to four months of their years, all cells to 5 rows of 50."""
 
     @query(
-        f"""WITH {PX}, q AS (SELECT time, y, x, nir FROM px WHERE month(time) IN (1, 2, 6, 11) AND y < 5), o AS (SELECT min(time)::DATE AS o FROM q),
+        f"""WITH {PX}, q AS (SELECT make_date(year(time), ([1, 2, 6, 11])[(month(time) - 1) % 4 + 1], least(day(time), 28))::TIMESTAMP AS time, y % 5 AS y, x % 50 AS x, nir FROM px), o AS (SELECT min(time)::DATE AS o FROM q),
 b AS (SELECT {label.format(t='time')} AS time, y, x, avg(nir) AS nir FROM q, o GROUP BY 1, 2, 3),
 e AS (SELECT DISTINCT {label.format(t='t')} AS time FROM o, (SELECT unnest(generate_series((SELECT min(time) FROM q)::DATE::TIMESTAMP, (SELECT max(time) FROM q)::DATE::TIMESTAMP, INTERVAL 1 DAY)) AS t))
 SELECT time, count(*) AS cells, count(nir) AS n, round(sum(nir), 6) AS s FROM (SELECT * FROM b UNION ALL
@@ -288,7 +288,9 @@ SELECT time, count(*) AS cells, count(nir) AS n, round(sum(nir), 6) AS s FROM (S
         name=name,
     )
     def run(spark, d):
-        q = D.pixels(spark, d, "nir").where(F.month("time").isin(1, 2, 6, 11) & (F.col("y") < 5))
+        month = F.element_at(F.array(*map(F.lit, (1, 2, 6, 11))), (F.month("time") - 1) % 4 + 1)
+        moved = F.make_date(F.year("time"), month, F.least(F.day("time"), F.lit(28))).cast("timestamp_ntz")
+        q = D.pixels(spark, d, "nir").select(moved.alias("time"), (F.col("y") % 5).alias("y"), (F.col("x") % 50).alias("x"), "nir")
         out = temporal.temporal_aggregate(q, "mean", freq, fill_gaps=True)
         return out.groupBy("time").agg(F.count("*").alias("cells"), F.count("nir").alias("n"), F.round(F.sum("nir"), 6).alias("s"))
 
@@ -301,12 +303,12 @@ _gaps("fill_gaps_7d", "7D", "(o + ((({t}::DATE - o) // 7) * 7)::INT)::DATE")
 _gaps("fill_gaps_day", "1D", "{t}::DATE")
 
 
-@query("""WITH q AS (SELECT ts, user_id AS x, value FROM events WHERE day(ts) % 3 = 0), o AS (SELECT min(ts)::DATE::TIMESTAMP AS o FROM q),
+@query("""WITH q AS (SELECT ts - to_days((day(ts) % 3)::INT) AS ts, user_id AS x, value FROM events), o AS (SELECT min(ts)::DATE::TIMESTAMP AS o FROM q),
 b AS (SELECT time_bucket(INTERVAL 6 HOUR, ts, o) AS time, x, sum(value) AS value FROM q, o GROUP BY 1, 2),
 e AS (SELECT unnest(generate_series((SELECT min(time) FROM b), (SELECT max(time) FROM b), INTERVAL 6 HOUR)) AS time)
 SELECT time, count(*) AS cells, count(value) AS n FROM (SELECT * FROM b UNION ALL SELECT e.time, c.x, NULL FROM (SELECT time FROM e WHERE time NOT IN (SELECT time FROM b)) e, (SELECT DISTINCT x FROM b) c) GROUP BY 1""")
 def fill_gaps_6h(spark, d):
-    q = D.event_cube(spark, d).where(F.day("time") % 3 == 0)
+    q = D.event_cube(spark, d).withColumn("time", F.expr("time - make_dt_interval(day(time) % 3)"))
     out = temporal.temporal_aggregate(q, "mean", "6h", fill_gaps=True)
     return out.groupBy("time").agg(F.count("*").alias("cells"), F.count("value").alias("n"))
 
@@ -1114,9 +1116,17 @@ def grid_of_items(spark, d):
 # -- further catalogue and table operations -----------------------------------------------
 
 
-@query(f"WITH {ITEMS} SELECT id FROM items WHERE collection = '1-URGENT' AND year(datetime) = 1996")
+@query(f"""WITH {ITEMS}, m AS (SELECT *, max(updated) OVER (PARTITION BY footprint, datetime) AS newest FROM items)
+SELECT id, CASE WHEN id % 2 = 0 THEN 'https://host/' ELSE 's3://store/' END || id || '/red' AS href FROM m WHERE updated = newest""")
 def legacy_search(spark, d):
-    return pipelines.legacy_search(D.items(spark, d), alternate=None, deduplicate=False, raise_no_items=False, collections="1-URGENT", datetime="1996").select("id")
+    """Chosen assets, their alternate addresses, and of items of a place and time those with the latest update."""
+    names = F.array(F.lit("red"), F.lit("nir"))
+    at = lambda host, a: F.concat(F.lit(host), F.col("id"), F.lit("/"), F.lit(a))
+    other = lambda a: F.when(F.col("id") % 2 == 0, F.create_map(F.lit("download"), F.struct(at("https://host/", a).alias("href"))))
+    assets = F.array(*(F.struct(at("s3://store/", a).alias("href"), F.lit(None).cast("array<double>").alias("proj_transform"), other(a).alias("alternate")) for a in ("red", "nir")))
+    rows = D.items(spark, d).withColumn("assets", F.map_from_arrays(names, assets))
+    found = pipelines.legacy_search(rows, assets={"red": "r"}, datetime="1990-01-01/2030-01-01")
+    return found.select("id", F.col("assets")["r"]["href"].alias("href"))
 
 
 @query(f"WITH {ITEMS} SELECT id, (3 - date_diff('day', TIMESTAMP '1996-01-01', datetime) // 91)::INT AS batch FROM items WHERE datetime >= '1996-01-01' AND datetime < '1996-12-30'")
