@@ -18,7 +18,7 @@ from ..model import GridSpec
 from ..operators import build, filters, mask, mutate, ops, regions, temporal, whittaker, xcal, zonal
 from ..operators import items as items_ops
 from ..session import work_dir
-from ..sources import catalog, loaders, raster, tiff
+from ..sources import catalog, layout, loaders, raster, tiff
 from ..streaming import ingest
 from . import datasets as D
 from . import pipelines
@@ -637,6 +637,14 @@ def json_props(spark, d):
     return rows.where(Q.stac_query(rows, {"k": {"gt": 50}})).select("event_id", Q.property_of(rows, "k").cast("long").alias("k"))
 
 
+@query(f"WITH {ITEMS} SELECT id FROM items WHERE b0 <= 12.5 AND b0 + 1.5 >= 8 AND datetime >= '1995-03-05' AND datetime < '1996-02-21'")
+def search_laid_out(spark, d):
+    """A search of a catalogue that was written by months and along a curve."""
+    where = f"{work_dir(spark)}/catalogue"
+    layout.lay_out(D.items(spark, d), where)
+    return layout.search(spark, where, datetime="1995-03-05/1996-02-20", bbox=(8, 8, 12.5, 12.5)).select("id")
+
+
 @query("SELECT event_id AS id, json_extract(props, '$.k')::BIGINT AS k FROM events WHERE json_extract(props, '$.k')::DOUBLE BETWEEN 10 AND 60 AND json_extract(props, '$.k')::DOUBLE <> 30")
 def variant_props(spark, d):
     """Properties parsed once, then searched by typed paths."""
