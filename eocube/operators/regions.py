@@ -115,33 +115,40 @@ def region_rings(regions: DataFrame, grid: GridSpec, work: str) -> DataFrame:
     pointer jumping, so an outline through many tiles is many tasks' work until its
     turns become one row. ``work`` is a folder that all executors share.
     """
-    spark = regions.sparkSession
-    keys = ["time", "region"]
-
-    def store(rows: DataFrame, name: str) -> DataFrame:
-        rows.write.mode("overwrite").parquet(f"{work}/{name}")
-        return spark.read.schema(rows.schema).parquet(f"{work}/{name}")
-
     kinds = dict(regions.dtypes)
     sides = _successors(region_outlines(regions, grid), grid).withColumn("stays", F.col("tile") == F.col("beyond"))
     paths = sides.groupBy("time", "tile").applyInArrow(_trace, f"time {kinds['time']}, region {kinds['region']}, {_PATH}")
-    paths = store(paths, "paths")
-    # the least number on each cycle of paths
-    links = store(paths.where("not ring").select(*keys, "id", "after", F.col("id").alias("least"), F.lit(True).alias("changed")), "least0")
+    return rings_in_order(stored(paths, f"{work}/paths"), ["time", "region"], work)
+
+
+def stored(rows: DataFrame, path: str) -> DataFrame:
+    """Written and read again."""
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def rings_in_order(paths: DataFrame, keys: list[str], work: str) -> DataFrame:
+    """(keys, ring, xs, ys): ``paths(keys, id, after, ring, xs, ys)``, each followed by the path ``after``, put together.
+
+    Pointer jumping finds the least number on each cycle, then each path's place
+    from there: as many rounds as the longest cycle's length has bits, each a join
+    by number. Paths that are rings already pass through.
+    """
+    links = stored(paths.where("not ring").select(*keys, "id", "after", F.col("id").alias("least"), F.lit(True).alias("changed")), f"{work}/least0")
     n = 0
     while links.where("changed").limit(1).count():
         n += 1
         then = links.select(*keys, F.col("id").alias("after"), F.col("after").alias("_after"), F.col("least").alias("_least"))
-        links = store(links.join(then, [*keys, "after"]).select(*keys, "id", F.col("_after").alias("after"), F.least("least", "_least").alias("least"), (F.col("_least") < F.col("least")).alias("changed")), f"least{n}")
+        links = stored(links.join(then, [*keys, "after"]).select(*keys, "id", F.col("_after").alias("after"), F.least("least", "_least").alias("least"), (F.col("_least") < F.col("least")).alias("changed")), f"{work}/least{n}")
     # cut there, each cycle is a list: steps to its end
     named = links.select(*keys, "id", F.col("least").alias("start"))
     open_ = paths.where("not ring").select(*keys, "id", "after").join(named, [*keys, "id"])
-    ranks = store(open_.select(*keys, "id", "start", F.when(F.col("after") != F.col("start"), F.col("after")).alias("after"), F.lit(1).cast("long").alias("left")), "rank0")
+    ranks = stored(open_.select(*keys, "id", "start", F.when(F.col("after") != F.col("start"), F.col("after")).alias("after"), F.lit(1).cast("long").alias("left")), f"{work}/rank0")
     n = 0
     while ranks.where("after is not null").limit(1).count():
         n += 1
         then = ranks.select(*keys, F.col("id").alias("after"), F.col("after").alias("_after"), F.col("left").alias("_left"))
-        ranks = store(ranks.join(then, [*keys, "after"], "left").select(*keys, "id", "start", F.col("_after").alias("after"), (F.col("left") + F.coalesce("_left", F.lit(0))).alias("left")), f"rank{n}")
+        ranks = stored(ranks.join(then, [*keys, "after"], "left").select(*keys, "id", "start", F.col("_after").alias("after"), (F.col("left") + F.coalesce("_left", F.lit(0))).alias("left")), f"{work}/rank{n}")
     placed = paths.join(ranks.select(*keys, "id", "start", "left"), [*keys, "id"], "left")
     ordered = placed.groupBy(*keys, F.coalesce("start", "id").alias("ring")).agg(F.sort_array(F.collect_list(F.struct((-F.coalesce("left", F.lit(0))).alias("n"), "xs", "ys"))).alias("parts"))
     return ordered.select(*keys, "ring", F.flatten("parts.xs").alias("xs"), F.flatten("parts.ys").alias("ys"))

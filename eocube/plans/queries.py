@@ -15,7 +15,7 @@ from ..functions import geometry as G
 from ..functions import indices as I
 from ..functions import query_lang as Q
 from ..model import GridSpec
-from ..operators import build, filters, mask, mutate, ops, regions, temporal, whittaker, xcal, zonal
+from ..operators import build, filters, mask, mutate, ops, overlay, regions, temporal, whittaker, xcal, zonal
 from ..operators import items as items_ops
 from ..session import work_dir
 from ..sources import catalog, layout, loaders, raster, tiff
@@ -1015,6 +1015,22 @@ def zones_by_squares(spark, d):
     return px.join(own, ["y", "x"]).groupBy("zone").agg(F.count("*").alias("n"), F.round(F.sum("nir"), 4).alias("nir"))
 
 
+@query("""WITH b AS (SELECT c_mktsegment AS part, (c_custkey * 37) % 1900 AS x, (c_custkey * 13) % 90 AS y, 2 + c_custkey % 9 AS w, 2 + c_custkey % 5 AS h FROM customer),
+c AS (SELECT DISTINCT part, x + i AS x, y + j AS y FROM b, range(11) s(i), range(7) t(j) WHERE i < w AND j < h),
+s AS (SELECT part, x, y, dx, dy FROM c, (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)) d(dx, dy)),
+l AS (SELECT s.part, count(*) AS n FROM s LEFT JOIN c ON c.part = s.part AND c.x = s.x + dx AND c.y = s.y + dy WHERE c.x IS NULL GROUP BY 1)
+SELECT part, count(*)::DOUBLE AS area, any_value(n)::DOUBLE AS outline FROM c JOIN l USING (part) GROUP BY 1""")
+def dissolved_boxes(spark, d):
+    """The boxes of each market segment as one outline: its area and length are those of the cells."""
+    key = F.col("c_custkey")
+    b = D.table(spark, d, "customer").select(key.alias("zone"), F.col("c_mktsegment").alias("part"), *((e.cast("double")).alias(n) for n, e in (("a", (key * 37) % 1900), ("b", (key * 13) % 90), ("w", 2 + key % 9), ("h", 2 + key % 5))))
+    b = b.withColumn("right", F.col("a") + F.col("w")).withColumn("top", F.col("b") + F.col("h"))
+    corner = [("a", "b"), ("right", "b"), ("right", "top"), ("a", "top")]
+    sides = F.array(*(F.struct(F.col(p[0]).alias("x1"), F.col(p[1]).alias("y1"), F.col(q[0]).alias("x2"), F.col(q[1]).alias("y2")) for p, q in zip(corner, corner[1:] + corner[:1], strict=True)))
+    rings = overlay.union(b.select("zone", "part", sides.alias("edges")), work_dir(spark), "part")
+    return rings.groupBy("part").agg(F.round(F.sum(overlay.ring_area()), 4).alias("area"), F.round(F.sum(overlay.ring_length()), 4).alias("outline"))
+
+
 def _tiff(spark, d) -> DataFrame:
     """The sizes of parts as eight rasters of 50 columns, of deflated tiles; two of a date overlap by half."""
 
