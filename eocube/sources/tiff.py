@@ -252,6 +252,12 @@ def fitting(read: Read, cell: float | None = None) -> Image:
             best = now
 
 
+def tags(data: bytes) -> tuple[str, dict[int, tuple]]:
+    """The byte order and the tags of a file's first image."""
+    image = Image(held(data))
+    return image.order, image.tags
+
+
 def header(data: bytes) -> dict:
     return Image(held(data)).header
 
