@@ -51,7 +51,7 @@ BLOCK_BYTES, BUCKET_BYTES = 3 << 19, 2 << 20
 LEAF = 1 << 18
 BREAK = np.uint32(2**32 - 1)
 _U = np.uint64
-_BLOCK = "block_id long, langs array<string>, n array<long>, h binary, g binary, count binary, lang binary, size binary, words binary, stream binary"
+_BLOCK = "block_id long, langs array<string>, n array<long>, count binary, lang binary, size binary, words binary, stream binary"
 _COUNTED = "block_id long, bucket int, slots binary, slot long, prefix long, last long, lang string, word string, a long"
 
 
@@ -63,6 +63,14 @@ def _names(langs: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return mix(word_hashes(buf, starts, ends) + _U(1)), mix(word_hashes(buf, starts, ends, OTHER_BASE) + _U(1))
 
 
+def _hashes(langs: list[str], lang: np.ndarray, size: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of each word, of words that stand one after another in ``letters``."""
+    lang_h, lang_g = _names(langs)
+    ends = np.cumsum(size, dtype=np.int64)
+    starts = ends - size
+    return mix(word_hashes(letters, starts, ends) + lang_h[lang]), mix(word_hashes(letters, starts, ends, OTHER_BASE) + lang_g[lang])
+
+
 def _distinct(h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """One of each, which of them each is, and how many: sorted by h, which g only tells apart where it must."""
     _, one, inv, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
@@ -100,9 +108,9 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             stream = np.insert(inv.astype(np.uint32), np.flatnonzero(apart), BREAK)
             size = ends[one] - starts[one]
             letters = low[np.repeat(starts[one] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())] if len(one) else low[:0]
-            cells = [squeeze(x) for x in (h[one], g[one], count.astype(np.uint32), lang[one].astype(np.uint32), size.astype(np.uint32), letters, stream)]
+            cells = [squeeze(x) for x in (count.astype(np.uint32), lang[one].astype(np.uint32), size.astype(np.uint32), letters, stream)]
             row = [[(part << 32) | seq], [langs], [np.bincount(lang, minlength=len(langs)).tolist()], *([x] for x in cells)]
-            kinds = [pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), *[pa.binary()] * 7]
+            kinds = [pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), *[pa.binary()] * 5]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], [x.split()[0] for x in _BLOCK.split(", ")])
             seq += 1
         tidy()
@@ -114,12 +122,13 @@ def _word_lists(n: int):
     def run(batches):
         for b in batches:
             for r in b.to_pylist():
-                h, g, count, lang, size = (expand(r[c], t) for c, t in (("h", _U), ("g", _U), ("count", np.uint32), ("lang", np.uint32), ("size", np.uint32)))
+                count, lang, size = (expand(r[c], np.uint32) for c in ("count", "lang", "size"))
                 letters = expand(r["words"], np.uint8)
+                h, _ = _hashes(r["langs"], lang, size, letters)
                 at = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
-                out = [(r["block_id"], k, squeeze(h[s]), squeeze(g[s]), squeeze(count[s]), squeeze(lang[s]), squeeze(size[s]), squeeze(letters[at[s.start] : at[s.stop]]), r["langs"]) for k, s in lists(h, n)]
-                kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 6, pa.list_(pa.string())]
-                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], ["block_id", "bucket", "h", "g", "count", "lang", "size", "words", "langs"])
+                out = [(r["block_id"], k, squeeze(count[s]), squeeze(lang[s]), squeeze(size[s]), squeeze(letters[at[s.start] : at[s.stop]]), r["langs"]) for k, s in lists(h, n)]
+                kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4, pa.list_(pa.string())]
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], ["block_id", "bucket", "count", "lang", "size", "words", "langs"])
             tidy()
 
     return run
@@ -203,18 +212,18 @@ def _answers(bucket: int, bits: int, block_ids: list[int], ranks: list[np.ndarra
 
 def _frequent_words(bits: int, least: int):
     def run(t: pa.Table) -> pa.Table:
-        keys, others, counts = ([expand(x, d) for x in t.column(c).to_pylist()] for c, d in (("h", _U), ("g", _U), ("count", np.uint32)))
+        counts, codes, sizes = ([expand(x, np.uint32) for x in t.column(c).to_pylist()] for c in ("count", "lang", "size"))
+        named, texts = t.column("langs").to_pylist(), [expand(x, np.uint8) for x in t.column("words").to_pylist()]
+        keys, others = map(list, zip(*(_hashes(*x) for x in zip(named, codes, sizes, texts, strict=True)), strict=True))
         total, ranks = _count(keys, others, counts, least)
         lang, word = [None] * len(total), [None] * len(total)
         new = np.ones(len(total) + 1, bool)  # the last is read for entries that are not frequent
         for i, r in enumerate(ranks):
             at = np.flatnonzero((r >= 0) & new[r])
             if len(at):
-                langs = t.column("langs")[i].as_py()
-                codes, size = (expand(t.column(c)[i].as_py(), np.uint32) for c in ("lang", "size"))
-                letters, ends = expand(t.column("words")[i].as_py(), np.uint8).tobytes(), np.cumsum(size, dtype=np.int64)
+                letters, ends = texts[i].tobytes(), np.cumsum(sizes[i], dtype=np.int64)
                 for j in at.tolist():
-                    lang[r[j]], word[r[j]] = langs[codes[j]], letters[ends[j] - size[j] : ends[j]].decode(errors="replace")
+                    lang[r[j]], word[r[j]] = named[i][codes[i][j]], letters[ends[j] - sizes[i][j] : ends[j]].decode(errors="replace")
                 new[r[at]] = False
         tidy()
         return _answers(t.column("bucket")[0].as_py(), bits, t.column("block_id").to_pylist(), ranks, total, {"lang": lang, "word": word})
@@ -280,7 +289,8 @@ def _next(k: int, n: int):
             for r in b.to_pylist():
                 if k == 1:
                     ranks = expand(r["stream"], np.uint32)
-                    spelt = np.append(_spell(expand(r["h"], _U), n, r["got"]), BREAK)
+                    h, _ = _hashes(r["langs"], *(expand(r[c], t) for c, t in (("lang", np.uint32), ("size", np.uint32), ("words", np.uint8))))
+                    spelt = np.append(_spell(h, n, r["got"]), BREAK)
                     slots = spelt[np.minimum(ranks, len(spelt) - 1)]
                     now = None
                 else:
@@ -312,7 +322,7 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, lang_col: str = "lang",
     found, now = [], blocks
     for k in range(1, longest + 1):
         if k == 1:
-            asked = now.drop("stream", "n").mapInArrow(_word_lists(buckets), "block_id long, bucket int, h binary, g binary, count binary, lang binary, size binary, words binary, langs array<string>")
+            asked = now.drop("stream", "n").mapInArrow(_word_lists(buckets), "block_id long, bucket int, count binary, lang binary, size binary, words binary, langs array<string>")
             judged = asked.groupBy("bucket").applyInArrow(_frequent_words(bits, least), _COUNTED)
         else:
             asked = now.mapInArrow(_phrase_lists(k, buckets), "block_id long, bucket int, key binary, count binary")
@@ -322,7 +332,7 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, lang_col: str = "lang",
         found.append(often.select("slot", "lang", "word", "a") if k == 1 else often.select("slot", "prefix", "last", "a"))
         if k < longest:
             got = judged.where("slots is not null").groupBy("block_id").agg(F.collect_list(F.struct("bucket", "slots")).alias("got"))
-            own = now.select("block_id", "h", "stream") if k == 1 else now
+            own = now.select("block_id", "langs", "lang", "size", "words", "stream") if k == 1 else now
             after = scratch.keep(own.join(got, "block_id").mapInArrow(_next(k, buckets), "block_id long, stream binary, prefix binary"), f"blocks{k + 1}")
             scratch.drop("blocks" if k == 1 else f"blocks{k}")
             now = after
