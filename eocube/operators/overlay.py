@@ -55,14 +55,16 @@ def _cuts(sides: DataFrame, tile: float, eps: float) -> DataFrame:
     return pairs.select(c("a.part").alias("part"), F.explode(F.array_compact(found)).alias("p")).select("part", "p.*").distinct()
 
 
-def union(zones: DataFrame, work: str, by: str | None = None) -> DataFrame:
+def union(zones: DataFrame, work: str, by: str | None = None, away: str | None = None) -> DataFrame:
     """(part, ring, xs, ys): outlines of the union of ``zones(zone, edges)``, one union for each value of ``by``.
 
+    Zones for which the boolean column ``away`` is true are taken away from the others.
+
     Rings around a part run against the clock, those around its holes with it;
     ``work`` is a folder that all executors share.
     """
     part = F.col(by).cast("string") if by else F.lit("")
-    own = stored(zones.select("zone", part.alias("part"), "edges"), f"{work}/zones")
+    own = stored(zones.select("zone", part.alias("part"), (F.col(away) if away else F.lit(False)).alias("away"), "edges"), f"{work}/zones")
     sides = own.select("part", F.explode("edges").alias("e")).select("part", "e.*").where("x1 <> x2 or y1 <> y2")
     # both directions of a side are one
     turn = (F.col("x1") > F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") > F.col("y2")))
@@ -90,7 +92,7 @@ def union(zones: DataFrame, work: str, by: str | None = None) -> DataFrame:
     beside = pieces.select("part", "id", F.explode(F.array(*(F.struct(F.lit(s).alias("side"), (middle[0] + s * off[0]).alias("x"), (middle[1] + s * off[1]).alias("y")) for s in (1, -1)))).alias("b")).select("part", "id", "b.*")
     beside = stored(beside, f"{work}/beside")
     hit = cells_in(beside.select("y", "x").distinct(), own.select("zone", "edges"), extent / 4096, extent / 4096)
-    hit = hit.join(own.select("zone", "part"), "zone").select("y", "x", "part").distinct()
+    hit = hit.join(own.select("zone", "part", "away"), "zone").groupBy("y", "x", "part").agg(F.bool_or("away").alias("away")).where("not away").drop("away")
     covered = beside.join(hit, ["part", "y", "x"]).groupBy("part", "id").agg(F.sum("side").alias("side")).where("side <> 0")  # 0: on both sides
     kept = pieces.join(covered, ["part", "id"])
     ahead = F.col("side") > 0

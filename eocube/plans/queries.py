@@ -15,7 +15,7 @@ from ..functions import geometry as G
 from ..functions import indices as I
 from ..functions import query_lang as Q
 from ..model import GridSpec
-from ..operators import build, filters, mask, mutate, ops, overlay, regions, temporal, whittaker, xcal, zonal
+from ..operators import buffer, build, filters, mask, mutate, ops, overlay, regions, temporal, whittaker, xcal, zonal
 from ..operators import items as items_ops
 from ..session import work_dir
 from ..sources import catalog, layout, loaders, raster, tiff
@@ -1031,6 +1031,53 @@ def dissolved_boxes(spark, d):
     return rings.groupBy("part").agg(F.round(F.sum(overlay.ring_area()), 4).alias("area"), F.round(F.sum(overlay.ring_length()), 4).alias("outline"))
 
 
+_SUPPLIER_BOXES = "b AS (SELECT s_suppkey AS zone, (5 + s_suppkey % 17)::DOUBLE AS w, (3 + s_suppkey % 5)::DOUBLE AS h FROM supplier)"
+
+
+@query(f"""WITH {_SUPPLIER_BOXES}
+SELECT zone, 'grown' AS form, round(w * h + 2 * (w + h) * 2.25 + 32 * 2.25 * 2.25 * sin(pi() / 32), 4) AS area, round(2 * (w + h) + 128 * 2.25 * sin(pi() / 64), 4) AS outline FROM b
+UNION ALL SELECT zone, 'shrunk', round((w - 3.5) * (h - 3.5), 4), round(2 * (w + h - 7), 4) FROM b WHERE h > 3.5""")
+def buffer_outlines(spark, d):
+    """Boxes of suppliers grown and shrunk; some vanish."""
+    s = F.col("s_suppkey")
+    x0, y0 = (s % 40 * 30).cast("double"), F.floor(s / 40).cast("double") * 30
+    b = D.table(spark, d, "supplier").select(s.alias("zone"), x0.alias("x0"), y0.alias("y0"), (x0 + 5 + s % 17).alias("x1"), (y0 + 3 + s % 5).alias("y1"))
+    side = lambda *ends: F.struct(*(F.col(c).alias(n) for c, n in zip(ends, ("x1", "y1", "x2", "y2"), strict=True)))
+    zones = b.select("zone", F.array(side("x0", "y0", "x1", "y0"), side("x1", "y0", "x1", "y1"), side("x1", "y1", "x0", "y1"), side("x0", "y1", "x0", "y0")).alias("edges"))
+
+    def sums(form: str, distance: float) -> DataFrame:
+        cross = F.aggregate("edges", F.lit(0.0), lambda a, e: a + (e["x1"] * e["y2"] - e["x2"] * e["y1"]) / 2)
+        length = F.aggregate("edges", F.lit(0.0), lambda a, e: a + F.sqrt((e["x2"] - e["x1"]) ** 2 + (e["y2"] - e["y1"]) ** 2))
+        return buffer.buffer(zones, distance, work_dir(spark)).select("zone", F.lit(form).alias("form"), F.round(cross, 4).alias("area"), F.round(length, 4).alias("outline"))
+
+    return sums("grown", 2.25).unionByName(sums("shrunk", -1.75))
+
+
+_PLANE = "0.0066943799901413165"  # the square of the ellipsoid's eccentricity
+
+
+def _east(lon: str) -> str:
+    return f"(radians({lon}) * 6378137 * cos(radians(30)) / sqrt(1 - {_PLANE} * 0.25))"
+
+
+def _north(lat: str) -> str:
+    s, e = f"sin(radians({lat}))", f"sqrt({_PLANE})"
+    q = f"((1 - {_PLANE}) * ({s} / (1 - {_PLANE} * {s} * {s}) - ln((1 - {e} * {s}) / (1 + {e} * {s})) / (2 * {e})))"
+    return f"({q} * 6378137 * sqrt(1 - {_PLANE} * 0.25) / (2 * cos(radians(30))))"
+
+
+@query(f"""WITH {PX}, m AS (SELECT time, red, {_east("x / 1000.0::DOUBLE")} AS e, {_north("y / 1000.0::DOUBLE")} AS n FROM px),
+z AS (SELECT zone, {_east("x0")} AS x0, {_east("x1")} AS x1, {_north("y0")} AS y0, {_north("y1")} AS y1 FROM (VALUES (0, 0.01, 0.05, 0.004, 0.006), (1, 0.12, 0.13, 0.002, 0.009)) v(zone, x0, x1, y0, y1)),
+near AS (SELECT z.zone, m.* FROM m JOIN z ON pow(greatest(x0 - e, 0, e - x1), 2) + pow(greatest(y0 - n, 0, n - y1), 2) <= 333.3 * 333.3)
+SELECT zone AS feature, time, round(avg(red), 6) AS red_mean, count(red) AS red_count FROM near GROUP BY 1, 2""")
+def zonal_buffered_metres(spark, d):
+    """Pixels of a thousandth of a degree in zones grown by 333.3 metres."""
+    zones = buffer.zones_of(spark, [G.box(0.01, 0.004, 0.05, 0.006), G.box(0.12, 0.002, 0.13, 0.009)])
+    df = D.pixels(spark, d, "red").withColumns({c: F.col(c) / 1000.0 for c in "xy"})
+    out = buffer.zonal_stats(df, zones, 333.3, work_dir(spark), reducers=["mean", "count"], all_touched=False, overlap="all", dx=0.001, dy=0.001)
+    return out.select("feature", "time", r("red_mean"), "red_count")
+
+
 def _tiff(spark, d) -> DataFrame:
     """The sizes of parts as eight rasters of 50 columns, of deflated tiles; two of a date overlap by half."""
 
