@@ -112,11 +112,18 @@ def square_keys(x: Column, y: Column, dx: float, dy: float) -> Column:
     return F.array(*(F.struct(F.lit(k).alias("_level"), F.floor(x / (n * abs(dx))).cast("long").alias("_i"), F.floor(y / (n * abs(dy))).cast("long").alias("_j")) for k, n in enumerate(SIDES)))
 
 
-def cells_in(cells: DataFrame, zones: DataFrame, dx: float, dy: float, all_touched: bool = False) -> DataFrame:
-    """(y, x, zone) of ``cells(y, x)`` in ``zones(zone, edges)``: an equi-join on squares; only those on an edge take the exact test."""
+def cells_in(cells: DataFrame, zones: DataFrame, dx: float, dy: float, all_touched: bool = False, keys: tuple[str, ...] = (), carry: tuple[str, ...] = ()) -> DataFrame:
+    """(y, x, zone) of ``cells(y, x)`` in ``zones(zone, edges)``: an equi-join on squares; only those on an edge take the exact test.
+
+    ``keys`` are columns of both that must be equal too, ``carry`` more columns of the zones; both are in the result.
+    """
     x, y = F.col("x").cast("double"), F.col("y").cast("double")
-    keyed = cells.select("y", "x", F.explode(square_keys(x, y, dx, dy)).alias("_key")).select("y", "x", "_key.*")
+    keyed = cells.select("y", "x", *keys, F.explode(square_keys(x, y, dx, dy)).alias("_key")).select("y", "x", *keys, "_key.*")
     within = G.inside(x, y, F.col("edges"), dy < 0) != F.col("odd")
     if all_touched:
         within = (G.inside(x, y, F.col("edges")) != F.col("odd")) | G.meets_pixel(x, y, F.col("edges"), dx, dy)
-    return keyed.join(cover(zones, dx, dy, all_touched), ["_level", "_i", "_j"]).where(F.col("whole") | within).select("y", "x", "zone")
+    more = [*keys, *carry]
+    found = cover(zones.select(F.struct("zone", *more).alias("zone"), "edges") if more else zones, dx, dy, all_touched)
+    if more:
+        found = found.select("_level", "_i", "_j", "whole", "odd", "edges", "zone.*")
+    return keyed.join(found, ["_level", "_i", "_j", *keys]).where(F.col("whole") | within).select("y", "x", "zone", *more)

@@ -91,8 +91,8 @@ def union(zones: DataFrame, work: str, by: str | None = None, away: str | None =
     off = [-(F.col("y2") - F.col("y1")) * reach, (F.col("x2") - F.col("x1")) * reach]
     beside = pieces.select("part", "id", F.explode(F.array(*(F.struct(F.lit(s).alias("side"), (middle[0] + s * off[0]).alias("x"), (middle[1] + s * off[1]).alias("y")) for s in (1, -1)))).alias("b")).select("part", "id", "b.*")
     beside = stored(beside, f"{work}/beside")
-    hit = cells_in(beside.select("y", "x").distinct(), own.select("zone", "edges"), extent / 4096, extent / 4096)
-    hit = hit.join(own.select("zone", "part", "away"), "zone").groupBy("y", "x", "part").agg(F.bool_or("away").alias("away")).where("not away").drop("away")
+    hit = cells_in(beside.select("part", "y", "x").distinct(), own, extent / 4096, extent / 4096, keys=("part",), carry=("away",))
+    hit = hit.groupBy("y", "x", "part").agg(F.bool_or("away").alias("away")).where("not away").drop("away")
     covered = beside.join(hit, ["part", "y", "x"]).groupBy("part", "id").agg(F.sum("side").alias("side")).where("side <> 0")  # 0: on both sides
     kept = pieces.join(covered, ["part", "id"])
     ahead = F.col("side") > 0
@@ -126,8 +126,8 @@ def dissolve(zones: DataFrame, work: str, by: str | None = None) -> DataFrame:
     dx, dy = F.col("xs")[1] - F.col("xs")[0], F.col("ys")[1] - F.col("ys")[0]
     reach = F.lit(4 * TOLERANCE * size) / F.sqrt(dx * dx + dy * dy)
     place = holes.select("part", "id", ((F.col("xs")[0] + F.col("xs")[1]) / 2 - dy * reach).alias("x"), ((F.col("ys")[0] + F.col("ys")[1]) / 2 + dx * reach).alias("y"))
-    hit = cells_in(place.select("y", "x").distinct(), outer.select(F.col("id").alias("zone"), edges.alias("edges")), size / 4096, size / 4096)
-    around = place.join(hit, ["y", "x"]).join(outer.select(F.col("id").alias("zone"), "part", "area"), ["zone", "part"])
+    hit = cells_in(place.select("part", "y", "x").distinct(), outer.select(F.col("id").alias("zone"), "part", "area", edges.alias("edges")), size / 4096, size / 4096, keys=("part",), carry=("area",))
+    around = place.join(hit, ["part", "y", "x"])
     owner = around.groupBy("part", "id").agg(F.min_by("zone", "area").alias("of"))
     text = F.expr("concat('(', array_join(transform(concat(arrays_zip(xs, ys), slice(arrays_zip(xs, ys), 1, 1)), p -> concat_ws(' ', cast(p.xs as string), cast(p.ys as string))), ', '), ')')")
     every = outer.select("part", F.col("id").alias("of"), F.struct((-F.col("area")).alias("area"), text.alias("text")).alias("r")).unionByName(holes.join(owner, ["part", "id"]).select("part", "of", F.struct((-F.col("area")).alias("area"), text.alias("text")).alias("r")))

@@ -19,7 +19,7 @@ from ..operators import buffer, build, filters, mask, mutate, ops, overlay, regi
 from ..operators import items as items_ops
 from ..session import work_dir
 from ..sources import catalog, layout, loaders, raster, tiff
-from ..streaming import ingest
+from ..streaming import ingest, near_dup
 from . import datasets as D
 from . import pipelines
 
@@ -613,10 +613,13 @@ _dedupe("last", "DESC")
 _dedupe("first", "ASC")
 
 
-@query("""WITH RECURSIVE s AS (SELECT user_id, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+NEAR_DUPLICATES = """WITH RECURSIVE s AS (SELECT user_id, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
 f AS (SELECT user_id, rn, ts, event_id, ts AS anchor FROM s WHERE rn = 1 UNION ALL
  SELECT s.user_id, s.rn, s.ts, s.event_id, CASE WHEN s.ts - f.anchor <= INTERVAL 60 MINUTE THEN f.anchor ELSE s.ts END FROM f JOIN s ON s.user_id = f.user_id AND s.rn = f.rn + 1)
-SELECT event_id, anchor AS group_start FROM (SELECT event_id, anchor, event_id * 7919 % 1000 AS u, max(event_id * 7919 % 1000) OVER (PARTITION BY user_id, anchor) AS m FROM f) WHERE u = m""")
+SELECT event_id, anchor AS group_start FROM (SELECT event_id, anchor, event_id * 7919 % 1000 AS u, max(event_id * 7919 % 1000) OVER (PARTITION BY user_id, anchor) AS m FROM f) WHERE u = m"""
+
+
+@query(NEAR_DUPLICATES)
 def near_dup_latest(spark, d):
     rows = D.series(spark, d).select("event_id", "pixel", F.col("time").alias("datetime"), (F.col("event_id") * 7919 % 1000).alias("updated"))
     return items_ops.near_duplicates(rows, ["pixel"]).select("event_id", "group_start")
@@ -1289,6 +1292,26 @@ def item_stream(spark, d):
     return spark.read.parquet(f"{work}/table").select("id", "collection")
 
 
+@query(NEAR_DUPLICATES)
+def stream_near_duplicates(spark, d):
+    """Events that arrive in three parts, out of order within each and some of them twice; one far ahead ends the last groups."""
+    work = work_dir(spark)
+    e = D.series(spark, d).select("event_id", "pixel", F.col("time").cast("timestamp").alias("event_time"), (F.col("event_id") * 7919 % 1000).alias("updated"))
+    ends = e.agg(F.min("event_time").alias("a"), F.max("event_time").alias("b")).first()
+    part = F.least(F.lit(2), F.floor((F.unix_micros("event_time") - F.unix_micros(F.lit(ends.a))) * 3 / (F.unix_micros(F.lit(ends.b)) - F.unix_micros(F.lit(ends.a)) + 1)))
+    last = spark.range(1).select(F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("pixel"), (F.lit(ends.b) + F.expr("INTERVAL 9 DAYS")).alias("event_time"), F.lit(0).cast("long").alias("updated"))
+    rows = e.select(F.col("event_id").cast("long"), F.col("pixel").cast("long"), "event_time", F.col("updated").cast("long"), part.alias("part"))
+    every = rows.drop("part").schema
+    for k in range(3):
+        new = rows.where(F.col("part") == k).drop("part")
+        new = new.unionByName(new.where("event_id % 7 = 0"))
+        (new.unionByName(last) if k == 2 else new).write.mode("append").parquet(f"{work}/in")
+        stream = spark.readStream.schema(every).parquet(f"{work}/in").withWatermark("event_time", "1 hour")
+        once = stream.dropDuplicatesWithinWatermark(["event_id"])
+        near_dup.near_duplicates(once, ["pixel"], late=None).writeStream.option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start(f"{work}/out", format="parquet").awaitTermination()
+    return spark.read.parquet(f"{work}/out").where("event_id >= 0").select("event_id", "group_start")
+
+
 @query("SELECT l_returnflag AS flag, l_linestatus AS status, count(*) AS n, count(DISTINCT l_suppkey) AS suppliers, sum(l_linenumber)::BIGINT AS lines FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)")
 def grouping_sets(spark, d):
     rows = D.table(spark, d, "lineitem").select(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"), "l_suppkey", "l_linenumber")
