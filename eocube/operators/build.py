@@ -81,13 +81,19 @@ def time_properties(times: DataFrame, items: DataFrame, names: list[str], order:
     return times.select("time").distinct().join(own, "time", "left")
 
 
-def positional_properties(times: DataFrame, items: DataFrame, names: list[str], order: str = "pos") -> DataFrame:
-    """The properties of the items by position: the n-th time gets those of the n-th item; times beyond the items get none.
+def _numbered(rows: DataFrame, time: str, *order: str) -> DataFrame:
+    """With _n, the place from 1 by time and ``order``, nulls first: rows are numbered within their day, only days' counts are summed in one task."""
+    marked = rows.withColumn("_day", F.to_date(time))
+    days = marked.groupBy(F.col("_day").alias("_of")).agg(F.count("*").alias("_c"))
+    before = days.select("_of", F.coalesce(F.sum("_c").over(Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    ranked = marked.withColumn("_k", F.row_number().over(Window.partitionBy("_day").orderBy(time, *order)))
+    return ranked.join(before, F.col("_day").eqNullSafe(F.col("_of"))).withColumn("_n", F.col("_k") + F.col("_before")).drop("_day", "_of", "_before", "_k")
 
-    There is a row for each time and each item, so one window over them is small.
-    """
-    own = times.select("time").distinct().withColumn("_n", F.row_number().over(Window.orderBy("time")))
-    ranked = items.withColumn("_n", F.row_number().over(Window.orderBy("datetime", order))).select("_n", *names)
+
+def positional_properties(times: DataFrame, items: DataFrame, names: list[str], order: str = "pos") -> DataFrame:
+    """The properties of the items by position: the n-th time gets those of the n-th item; times beyond the items get none."""
+    own = _numbered(times.select("time").distinct(), "time")
+    ranked = _numbered(items, "datetime", order).select("_n", *names)
     return own.join(ranked, "_n", "left").drop("_n")
 
 
