@@ -11,7 +11,8 @@ from .errors import DatacubeMaskingError, DatacubeValidationError, DatacubeVisua
 from .functions import geometry as G
 from .functions import indices as I
 from .model import KEYS, CubeMeta, GridSpec, bands_of, from_nan, to_nan
-from .operators import filters, mask, ops, temporal, whittaker, zonal
+from .operators import buffer, filters, mask, ops, temporal, whittaker, zonal
+from .session import work_dir
 
 
 class Datacube:
@@ -126,9 +127,14 @@ class Datacube:
         out = whittaker.smooth(self._df.select(*KEYS, *names), beta, weights, names)
         return self.with_df(out.withColumnRenamed("day", "time"))
 
-    def zonal_stats(self, zones, reducers: list[str] | None = None, all_touched: bool = True) -> DataFrame:
+    def zonal_stats(self, zones, reducers: list[str] | None = None, all_touched: bool = True, buffer_metres: float | None = None, metres_crs: str = "EPSG:6933") -> DataFrame:
+        """Statistics by zone; with ``buffer_metres`` zones are first grown (shrunk) by metres of the plane ``metres_crs``."""
         dx, dy = self.resolution if self.meta.grid else (1.0, 1.0)
-        parts = zones if isinstance(zones, DataFrame) else G.parse(zones)
+        if buffer_metres:
+            parts = zones if isinstance(zones, DataFrame) else buffer.zones_of(self._df.sparkSession, zones)
+            parts = buffer.buffer_metres(parts, buffer_metres, work_dir(self._df.sparkSession), self.meta.crs, metres_crs)
+        else:
+            parts = zones if isinstance(zones, DataFrame) else G.parse(zones)
         return zonal.zonal_stats(self._df, parts, reducers, all_touched, dx=dx, dy=dy)
 
     def lee_filter(self, band: str, window: int = 7) -> "Datacube":

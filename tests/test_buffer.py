@@ -4,7 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from eocube.cube import Datacube
 from eocube.functions import geometry as G
+from eocube.model import CubeMeta
 from eocube.operators import buffer as B
 
 from .test_zonal import blob
@@ -86,3 +88,15 @@ def test_metres_and_back(spark, tmp_path):
     ends = [G.transform_point(e.x1, e.y1, 4326, 32631) for e in r.edges]
     assert len(ends) == 64
     assert all(math.hypot(a - east, b - north) == pytest.approx(1000, abs=0.01) for a, b in ends)
+
+
+def test_statistics_of_a_point_grown_by_metres(cube):
+    """In a system of metres the pixels within the distance count; without a buffer a point has none."""
+    rows = [("2024-01-01", float(y), float(x), float(x + 100 * y)) for y in range(500_000, 500_009) for x in range(400_000, 400_009)]
+    df = cube(rows, ["red"])
+    c = Datacube(df, CubeMeta(crs="EPSG:32631"))
+    got = c.zonal_stats("POINT (400004 500004)", ["count", "mean"], all_touched=False, buffer_metres=2.1, metres_crs="EPSG:32631").collect()
+    near = [r[3] for r in rows if (r[2] - 400_004) ** 2 + (r[1] - 500_004) ** 2 <= 2.1**2]
+    assert [(r.feature, r.red_count) for r in got] == [(0, len(near))]
+    assert got[0].red_mean == pytest.approx(sum(near) / len(near))
+    assert c.zonal_stats("POINT (400004 500004)", ["count"], all_touched=False).count() == 0

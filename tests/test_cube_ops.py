@@ -216,3 +216,12 @@ def test_order_statistics_are_exact(spark, monkeypatch, name):
         lo, hi = values[int(k)], values[-int(-k // 1)]
         want.append(lo if lo == hi else lo + (hi - lo) * (k - int(k)))
     assert list(map(str, got)) == list(map(str, [*want, None]))
+
+
+def test_properties_by_position_over_days(spark):
+    """Items without a time come first, items of a time by their order; times beyond the items get none."""
+    items = spark.createDataFrame([("2024-01-02 10:00:00", 2, "c"), ("2024-01-02 10:00:00", 1, "b"), (None, 5, "a"), ("2024-01-03 00:00:00", 0, "d")], "t string, pos int, name string").selectExpr("cast(t as timestamp_ntz) datetime", "pos", "name")
+    times = spark.createDataFrame([(f"2024-02-0{k} 00:00:00",) for k in (1, 1, 2, 3, 4, 5)], "t string").selectExpr("cast(t as timestamp_ntz) time")
+    got = build.positional_properties(times, items, ["name"]).orderBy("time").collect()
+    assert [r.name for r in got] == ["a", "b", "c", "d", None]
+    assert build.positional_properties(times, items.limit(0), ["name"]).where("name is null").count() == 5
