@@ -109,6 +109,7 @@ def smooth(df: DataFrame, beta: float = 1e4, weights: dict | None = None, bands:
 
     def run(batches):
         held: list[pa.RecordBatch] = []
+        count = 0
 
         def solved(table: pa.Table) -> pa.Table:
             new = np.zeros(table.num_rows, bool)
@@ -144,8 +145,10 @@ def smooth(df: DataFrame, beta: float = 1e4, weights: dict | None = None, bands:
         for b in batches:
             if b.num_rows:
                 held.append(b)
-                if sum(x.num_rows for x in held) * 4 > CELLS // 8:
+                count += b.num_rows
+                if count * 4 > CELLS // 8:
                     yield from whole(False)
+                    count = sum(x.num_rows for x in held)
         if held:
             yield from whole(True)
 

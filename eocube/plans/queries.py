@@ -329,7 +329,26 @@ _fill("ffill", "<=")
 _fill("bfill", ">=")
 
 
-@query()
+def _diagonal(k: int) -> str:
+    """The k-th diagonal of the third differences' squares at row i of n."""
+    at = lambda e: f"[-1, 3, -3, 1][{e} + 1]"
+    return " + ".join(f"CASE WHEN i - {a} BETWEEN 0 AND n - 4 THEN {at(a)} * {at(a - k)} ELSE 0 END" for a in range(k, 4))
+
+
+@query(f"""WITH RECURSIVE o AS (SELECT user_id AS pixel, ts::DATE AS day, avg(value) AS y FROM events GROUP BY 1, 2),
+s AS (SELECT pixel, min(day) AS first, (max(day) - min(day) + 5)::INT AS n FROM o GROUP BY 1 HAVING count(y) >= 3),
+a AS (SELECT s.pixel, g.i::INT AS i, s.n, CASE WHEN o.y IS NULL THEN 0 ELSE 1 END AS w, coalesce(o.y, 0) AS y,
+ 100.0::DOUBLE * ({_diagonal(0)}) AS b0, 100.0::DOUBLE * ({_diagonal(1)}) AS b1, 100.0::DOUBLE * ({_diagonal(2)}) AS b2, 100.0::DOUBLE * ({_diagonal(3)}) AS b3
+ FROM s, generate_series(0, s.n - 1) g(i) LEFT JOIN o ON o.pixel = s.pixel AND o.day = s.first + g.i::INT),
+f(pixel, i, l1, l2, l3, d, u, l1b, d2, d3, u2, u3) AS (
+ SELECT pixel, i, 0::DOUBLE, 0::DOUBLE, 0::DOUBLE, w + b0, (w * y)::DOUBLE, 0::DOUBLE, 1::DOUBLE, 1::DOUBLE, 0::DOUBLE, 0::DOUBLE FROM a WHERE i = 0
+ UNION ALL SELECT pixel, i, m1, m2, m3, w + b0 - m1 * m1 * d - m2 * m2 * d2 - m3 * m3 * d3, w * y - m1 * u - m2 * u2 - m3 * u3, l1, d, d2, u, u2
+ FROM (SELECT *, (b1 - m2 * l1 * d2 - m3 * l2 * d3) / d AS m1 FROM (SELECT *, (b2 - m3 * l1b * d3) / d2 AS m2 FROM
+  (SELECT a.pixel, a.i, w, y, b0, b1, b2, l1, l2, l1b, d, d2, d3, u, u2, u3, b3 / d3 AS m3 FROM f JOIN a ON a.pixel = f.pixel AND a.i = f.i + 1)))),
+t AS (SELECT pixel, i, u / d AS v, lead(l1, 1, 0::DOUBLE) OVER p AS e1, lead(l2, 2, 0::DOUBLE) OVER p AS e2, lead(l3, 3, 0::DOUBLE) OVER p AS e3, max(i) OVER (PARTITION BY pixel) AS top FROM f WINDOW p AS (PARTITION BY pixel ORDER BY i)),
+z(pixel, i, z1, z2, z3) AS (SELECT pixel, i, v, 0::DOUBLE, 0::DOUBLE FROM t WHERE i = top
+ UNION ALL SELECT t.pixel, t.i, v - e1 * z1 - e2 * z2 - e3 * z3, z1, z2 FROM z JOIN t ON t.pixel = z.pixel AND t.i = z.i - 1)
+SELECT o.pixel, o.day, round(CASE WHEN s.pixel IS NULL THEN o.y ELSE z1 END, 6) AS value FROM o LEFT JOIN s ON s.pixel = o.pixel LEFT JOIN z ON z.pixel = o.pixel AND z.i = o.day - s.first""")
 def whittaker_smooth(spark, d):
     out = whittaker.smooth(D.series(spark, d).select("time", "pixel", "value"), 100.0, bands=["value"], series=("pixel",))
     return out.select("pixel", "day", r("value"))
